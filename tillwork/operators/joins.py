@@ -1,0 +1,22 @@
+"""Joins of a large table with hot keys."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+DEFAULT_SALTS = 16
+
+
+def salted_inner_join(
+    facts: DataFrame, small: DataFrame, key: str, spread_by: str, salts: int = DEFAULT_SALTS
+) -> DataFrame:
+    """Inner join on ``key`` that spreads each key over ``salts`` tasks.
+
+    ``spread_by`` is a fact column with many values within one key. Every row of
+    ``small`` is repeated once per salt, so it should be far smaller than ``facts``;
+    Spark still broadcasts it when its size is under the session's limit.
+    """
+    salt = F.pmod(F.xxhash64(spread_by), F.lit(salts))
+    salted = facts.withColumn("_salt", salt)
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return salted.join(repeated, [key, "_salt"]).drop("_salt")
