@@ -17,13 +17,15 @@ from pyspark.sql import Column, functions as F
 
 from tillwork.functions._args import ColumnLike, as_column
 
-# Country code of numbers without one, and the accepted digit counts.
+# Country code of numbers without one, and the accepted forms once
+# everything but digits and a leading plus is gone.
 DEFAULT_COUNTRY_CODE = "1"
-LOCAL_LENGTHS = (7, 10)
-INTERNATIONAL_MIN_DIGITS = 7
-INTERNATIONAL_MAX_DIGITS = 15
+LOCAL_FORM = r"^(\d{7}|\d{10})$"
+NATIONAL_FORM = r"^1\d{10}$"
+INTERNATIONAL_FORM = r"^\+(1(\d{7}|\d{10})|[2-9]\d{6,14})$"
 
 _EXTENSION = r"(?i)\s*(?:;?ext|x|#).*$"
+_NOT_LEADING_PLUS_OR_DIGIT = r"(?!^\+)\D"
 
 
 def clean_phone(name: ColumnLike) -> Column:
@@ -35,22 +37,9 @@ def format_phone_e164(name: ColumnLike) -> Column:
     """Phone number in E.164 form (``+12125550147``), or null if it cannot be one."""
     number = F.regexp_replace(F.trim(as_column(name)), "^00", "+")
     number = F.regexp_replace(number, _EXTENSION, "")
-    digits = F.regexp_replace(number, r"\D", "")
-    count = F.length(digits)
-    has_plus = F.startswith(number, F.lit("+"))
-    has_default_code = F.startswith(digits, F.lit(DEFAULT_COUNTRY_CODE))
-    with_code_lengths = [n + len(DEFAULT_COUNTRY_CODE) for n in LOCAL_LENGTHS]
-
-    bare = ~has_plus & count.isin(*LOCAL_LENGTHS)
-    default_country = has_default_code & (
-        F.when(has_plus, count.isin(*with_code_lengths)).otherwise(count == max(with_code_lengths))
-    )
-    other_country = (
-        has_plus
-        & ~has_default_code
-        & ~F.startswith(digits, F.lit("0"))
-        & count.between(INTERNATIONAL_MIN_DIGITS, INTERNATIONAL_MAX_DIGITS)
-    )
-    return F.when(bare, F.concat(F.lit("+" + DEFAULT_COUNTRY_CODE), digits)).when(
-        default_country | other_country, F.concat(F.lit("+"), digits)
+    packed = F.regexp_replace(number, _NOT_LEADING_PLUS_OR_DIGIT, "")
+    return (
+        F.when(packed.rlike(INTERNATIONAL_FORM), packed)
+        .when(packed.rlike(LOCAL_FORM), F.concat(F.lit("+" + DEFAULT_COUNTRY_CODE), packed))
+        .when(packed.rlike(NATIONAL_FORM), F.concat(F.lit("+"), packed))
     )

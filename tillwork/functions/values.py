@@ -9,8 +9,10 @@ from pyspark.sql import Column, functions as F
 
 from tillwork.functions._args import ColumnLike, as_column
 
-# Accepted timestamp formats, first match wins.
-TIMESTAMP_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd")
+# The accepted shapes of a timestamp text, ISO date-time to the second
+# (yyyy-MM-dd'T'HH:mm:ss) and ISO date (yyyy-MM-dd).
+TIMESTAMP_SHAPE = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}:\d{2})?$"
+TIME_TYPES = ("timestamp", "timestamp_ntz", "date")
 
 
 def cast_to_integer(name: ColumnLike, default_val: int = 0) -> Column:
@@ -32,10 +34,13 @@ def cast_to_boolean(name: ColumnLike, default_val: bool = False) -> Column:
 def standardize_date(name: ColumnLike) -> Column:
     """Timestamp from ISO date-time or ISO date text; anything else is null.
 
-    A timestamp column passes through unchanged.
+    A column that already holds times passes through. The shape test comes first, so
+    the cast parses only text in one of the two forms, and no value raises an error.
     """
     value = as_column(name)
-    return F.coalesce(*[F.try_to_timestamp(value, F.lit(form)) for form in TIMESTAMP_FORMATS])
+    is_time = F.typeof(value).isin(*TIME_TYPES)
+    has_shape = value.cast("string").rlike(TIMESTAMP_SHAPE)
+    return F.when(is_time | has_shape, value.try_cast("timestamp"))
 
 
 def gross_margin_percentage(
