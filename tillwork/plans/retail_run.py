@@ -6,6 +6,8 @@ a run reads what is new; a run without new files changes nothing but the stock s
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +28,15 @@ CLEANERS = {
 
 
 def _write(df: DataFrame, table: str, contract: Contract) -> None:
-    write_table(df, table, contract.mode, contract.keys, contract.cluster)
+    # Every table of the run is deduplicated or grouped by its key.
+    write_table(df, table, contract.mode, contract.keys, contract.cluster, check_unique=False)
+
+
+def together(steps: Sequence[Callable[[], None]]) -> None:
+    """Independent steps at the same time, so a small feed does not hold up a large one."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
 
 
 class RetailRun:
@@ -44,71 +54,76 @@ class RetailRun:
     def checkpoint(self, table: str) -> str:
         return f"{self.root}/checkpoint/{table}"
 
-    def ingest(self) -> None:
-        for feed, source in FEEDS.items():
-            ingest_raw_to_bronze(
-                self.spark,
-                f"{self.landing}/{source.folder}",
-                self.name("bronze", source.table),
-                self.checkpoint(f"{source.table}_bronze"),
-                source.file_format,
-                source.options,
-                FEED_SCHEMAS[feed],
-            )
-
-    def clean(self) -> None:
-        for feed, source in FEEDS.items():
-
-            def step(batch: DataFrame, feed: str = feed, table: str = source.table) -> None:
-                _write(CLEANERS[feed](batch), self.name("silver", table), SILVER_TABLES[table])
-
-            follow_table(
-                self.spark,
-                self.name("bronze", source.table),
-                self.checkpoint(f"{source.table}_silver"),
-                step,
-            )
+    def ingest(self, feed: str) -> None:
+        """New files of one feed to its bronze table."""
+        source = FEEDS[feed]
+        ingest_raw_to_bronze(
+            self.spark,
+            f"{self.landing}/{source.folder}",
+            self.name("bronze", source.table),
+            self.checkpoint(f"{source.table}_bronze"),
+            source.file_format,
+            source.options,
+            FEED_SCHEMAS[feed],
+        )
+
+    def clean(self, feed: str) -> None:
+        """New bronze rows of one feed to its clean table."""
+        table = FEEDS[feed].table
+        follow_table(
+            self.spark,
+            self.name("bronze", table),
+            self.checkpoint(f"{table}_silver"),
+            lambda rows: _write(CLEANERS[feed](rows), self.name("silver", table), SILVER_TABLES[table]),
+        )
 
     def _gold(self, df: DataFrame, table: str) -> None:
         _write(df, self.name("gold", table), GOLD_TABLES[table])
 
-    def dimensions(self) -> None:
+    def _fact(self, source: str, table: str, transform: Callable[[DataFrame], DataFrame]) -> None:
+        follow_table(
+            self.spark,
+            self.name("silver", source),
+            self.checkpoint(table),
+            lambda rows: self._gold(transform(rows), table),
+        )
+
+    def customers(self) -> None:
         customers, crm = self.table("silver", "sql_customers"), self.table("silver", "crm_customers")
         self._gold(marts.transfer_silver_to_gold_dim_customer(customers, crm), "dim_customers")
+
+    def products(self) -> None:
         products = self.table("silver", "sql_products")
         self._gold(marts.transfer_silver_to_gold_dim_products(products), "dim_products")
         self._gold(marts.transfer_silver_to_gold_fact_inventory(products), "fact_inventory")
 
-    def facts(self) -> None:
-        for source, table, transform in (
-            ("sql_sales_transactions", "fact_sales", marts.transfer_silver_to_gold_fact_sales),
-            ("clickstream", "fact_clicks", marts.transfer_silver_to_gold_fact_clicks),
-        ):
+    def sales(self) -> None:
+        self._fact("sql_sales_transactions", "fact_sales", marts.transfer_silver_to_gold_fact_sales)
 
-            def step(batch: DataFrame, table: str = table, transform=transform) -> None:
-                self._gold(transform(batch), table)
+    def clicks(self) -> None:
+        self._fact("clickstream", "fact_clicks", marts.transfer_silver_to_gold_fact_clicks)
 
-            follow_table(self.spark, self.name("silver", source), self.checkpoint(table), step)
+    def daily_sales(self) -> None:
+        gold = partial(self.table, "gold")
+        report = marts.daily_sales(gold("dim_customers"), gold("dim_products"), gold("fact_sales"))
+        self._gold(report, "fact_daily_sales")
 
-    def reports(self) -> None:
+    def low_stock(self) -> None:
         gold = partial(self.table, "gold")
-        self._gold(
-            marts.daily_sales(gold("dim_customers"), gold("dim_products"), gold("fact_sales")),
-            "fact_daily_sales",
-        )
-        self._gold(
-            marts.low_stock_alert(
-                df_dim_prod=gold("dim_products"),
-                df_fct_clicks=gold("fact_clicks"),
-                df_fct_inven=gold("fact_inventory"),
-            ),
-            "fact_low_stock_alert",
+        alerts = marts.low_stock_alert(
+            df_dim_prod=gold("dim_products"),
+            df_fct_clicks=gold("fact_clicks"),
+            df_fct_inven=gold("fact_inventory"),
         )
+        self._gold(alerts, "fact_low_stock_alert")
 
     def run(self) -> None:
         create_layers(self.spark, self.root, self.prefix)
-        self.ingest()
-        self.clean()
-        self.dimensions()
-        self.facts()
-        self.reports()
+
+        def bring_in(feed: str) -> None:
+            self.ingest(feed)
+            self.clean(feed)
+
+        together([partial(bring_in, feed) for feed in FEEDS])
+        together([self.customers, self.products, self.sales, self.clicks])
+        together([self.daily_sales, self.low_stock])

@@ -46,11 +46,13 @@ class SchemaLog:
             return None
         return log.orderBy(F.desc("version")).first()
 
-    def add(self, columns: list[str], files_until: str | None) -> None:
-        last = self.last()
-        row = [(last["version"] + 1 if last else 1, columns, files_until)]
-        rows = self.spark.createDataFrame(row, _LOG_SCHEMA)
-        rows.coalesce(1).write.mode("append").json(self.folder)
+    def add(self, version: int, columns: list[str], files_until: str) -> None:
+        row = self.spark.range(1).select(
+            F.lit(version).cast("long").alias("version"),
+            F.array(*[F.lit(name) for name in columns]).alias("columns"),
+            F.lit(files_until).alias("files_until"),
+        )
+        row.write.mode("append").json(self.folder)
 
 
 def _flag(options: dict[str, str], name: str, default: bool = False) -> bool:
@@ -246,4 +248,4 @@ def ingest_raw_to_bronze(
                 raise
             columns = grown
     spark.catalog.refreshTable(target_table)
-    log.add(columns, started)
+    log.add(last["version"] + 1 if last else 1, columns, started)

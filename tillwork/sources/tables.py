@@ -113,10 +113,10 @@ def _switch(spark: SparkSession, name: str, location: str, schema: StructType) -
     spark.catalog.refreshTable(name)
 
 
-def _create(df: DataFrame, name: str, keys, cluster_keys, options: dict[str, str]) -> None:
+def _create(df: DataFrame, name: str, keys, cluster_keys, options, check: bool) -> None:
     spark = df.sparkSession
     location = _new_version(_laid_out(df, cluster_keys), name, options)
-    if keys:
+    if keys and check:
         require_unique(spark.read.schema(df.schema).parquet(location), keys, name)
     spark.catalog.createTable(name, path=location, source="parquet", schema=df.schema)
 
@@ -128,7 +128,7 @@ def _overwrite(df: DataFrame, name: str, cluster_keys, options: dict[str, str])
     _switch(spark, name, location, rows.schema)
 
 
-def _append(df: DataFrame, name: str, keys, options: dict[str, str]) -> None:
+def _append(df: DataFrame, name: str, keys, options: dict[str, str], check: bool) -> None:
     """Add rows; with ``keys`` only those whose key the table does not hold yet.
 
     The table's key columns are first reduced to the keys that also occur in ``df``.
@@ -140,7 +140,8 @@ def _append(df: DataFrame, name: str, keys, options: dict[str, str]) -> None:
     rows = _to_table_types(df, target.schema)
     if keys:
         rows = staged(rows, "append")
-        require_unique(rows, keys, name)
+        if check:
+            require_unique(rows, keys, name)
         offered, stored = rows.select(*keys), target.select(*keys)
         present = stored.join(offered, same_key(stored, offered, keys), "left_semi")
         rows = rows.join(present, same_key(rows, present, keys), "left_anti")
@@ -150,7 +151,7 @@ def _append(df: DataFrame, name: str, keys, options: dict[str, str]) -> None:
     spark.catalog.refreshTable(name)
 
 
-def _merge(df: DataFrame, name: str, keys, cluster_keys, options: dict[str, str]) -> None:
+def _merge(df: DataFrame, name: str, keys, cluster_keys, options, check: bool) -> None:
     """Replace rows whose key occurs in ``df``, keep the others, add the new ones."""
     spark = df.sparkSession
     target = read_table(spark, name)
@@ -158,7 +159,8 @@ def _merge(df: DataFrame, name: str, keys, cluster_keys, options: dict[str, str]
     if missing:
         raise ValueError(f"{name}: a merge replaces whole rows, but columns {missing} are missing")
     source = staged(_to_table_types(df, target.schema), "merge")
-    require_unique(source, keys, name)
+    if check:
+        require_unique(source, keys, name)
     replaced = source.select(*keys)
     kept = target.join(replaced, same_key(target, replaced, keys), "left_anti")
     merged = kept.unionByName(source, allowMissingColumns=True)
@@ -173,6 +175,7 @@ def write_table(
     merge_key: str | Sequence[str] | None = None,
     cluster_keys: Sequence[str] | None = None,
     option_dict: dict[str, str] | None = None,
+    check_unique: bool = True,
 ) -> None:
     """Write ``df`` to a catalog table, creating it when missing.
 
@@ -180,7 +183,9 @@ def write_table(
     with ``merge_key`` only those with a new key, so a repeated run adds nothing;
     ``overwrite`` replaces the rows. Keys match null-safe and must be unique in ``df``.
     New columns are added to the table. ``cluster_keys`` order the files whenever a
-    whole version is written. ``option_dict`` goes to the parquet writer.
+    whole version is written. ``option_dict`` goes to the parquet writer. Rows that are
+    unique by construction, such as the result of a group by, need no ``check_unique``,
+    which saves a shuffle of the keys.
     """
     mode = write_mode.lower()
     if mode not in WRITE_MODES:
@@ -191,11 +196,11 @@ def write_table(
     options = dict(option_dict or {})
 
     if not df.sparkSession.catalog.tableExists(table_name):
-        _create(df, table_name, keys, cluster_keys, options)
+        _create(df, table_name, keys, cluster_keys, options, check_unique)
     elif mode == "merge":
-        _merge(df, table_name, keys, cluster_keys, options)
+        _merge(df, table_name, keys, cluster_keys, options, check_unique)
     elif mode == "append":
-        _append(df, table_name, keys, options)
+        _append(df, table_name, keys, options, check_unique)
     else:
         _overwrite(df, table_name, cluster_keys, options)
 
