@@ -41,5 +41,4 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="tillwork-")
-        spark.conf.set("tillwork.local.scratch", shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -18,6 +18,7 @@ def follow_table(
 
     A batch may be handed over again after a failure, so ``step`` has to be a keyed
     write. The source only grows; a table whose rows are replaced cannot be followed.
+    After the source is compacted its files are new, so all rows are handed over again.
     """
     query = (
         spark.readStream.options(**options)
