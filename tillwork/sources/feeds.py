@@ -8,8 +8,10 @@ find no partner, so the left joins downstream have unmatched rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tillwork.sources.schemas import ARRIVAL, FEED_COLUMNS, RESCUED, SOURCE_FILE
 
@@ -17,8 +19,15 @@ from tillwork.sources.schemas import ARRIVAL, FEED_COLUMNS, RESCUED, SOURCE_FILE
 FIRST_ARRIVAL = "2026-01-01 02:00:00"
 
 
+@cache
+def _stored_schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A source table; its footers are read for the schema once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_stored_schema(spark, path)).parquet(path)
 
 
 def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
