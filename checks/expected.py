@@ -208,6 +208,10 @@ FINAL_SQL = {
     "ingest_csv": f"SELECT transaction_id, {columns(SALES_COLUMNS)}, last_modified_ts, {NO_RESCUE}, TRUE AS has_lineage FROM feed_sales",
     "ingest_json_multiline": f"SELECT customer_id, {columns(CRM_COLUMNS)}, {NO_RESCUE}, TRUE AS has_lineage FROM feed_crm",
     "ingest_jsonl": f"SELECT event_id, {columns(CLICK_COLUMNS)}, {NO_RESCUE}, TRUE AS has_lineage FROM feed_clicks",
+    "ingest_typed": f"""SELECT * REPLACE (TRY_CAST(quantity AS BIGINT) AS quantity,
+        CAST(unit_price AS DOUBLE) AS unit_price,
+        CASE WHEN quantity = 'many' THEN '{{"quantity":"many"}}' END AS _rescued_data)
+        FROM (SELECT transaction_id, {columns(SALES_COLUMNS)}, last_modified_ts, _rescued_data FROM feed_sales)""",
     "schema_evolution": f"""SELECT customer_id AS id,
         CASE WHEN file_name LIKE '%/part-2.%' THEN 'web ' || customer_id END AS channel, {NO_RESCUE} FROM feed_customers
         UNION ALL SELECT event_id, CASE WHEN file_name LIKE '%/part-2.%' THEN 'web ' || event_id END, {NO_RESCUE}

@@ -1,9 +1,11 @@
 import json
+from datetime import date
 from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.errors import StreamingQueryException
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 from tillwork.sources.ingest import ingest_raw_to_bronze
 from tillwork.sources.landing import land_csv, land_json_array, land_json_lines
@@ -88,6 +90,15 @@ def test_json_lines_fixed_columns(spark, folder, layers):
     assert found[1] == ("2", "b", None) and json.loads(found[0][2])["age"] == "7"
 
 
+def test_typed_columns_rescue_what_does_not_fit(spark, folder, layers):
+    schema = StructType([StructField("id", IntegerType()), StructField("name", StringType()), StructField("day", DateType())])
+    feed = Landing(spark, folder, layers, "csv", schema=schema)
+    feed.put("a.csv", "id,name,day\n1,a,2025-03-04\nx,b,soon\n,c,\n2,d,never\n")
+    found = feed.run("id", "name", "day", "_rescued_data")
+    assert found == sorted([(1, "a", date(2025, 3, 4), None), (None, "b", None, '{"id":"x","day":"soon"}'),
+                            (None, "c", None, None), (2, "d", None, '{"day":"never"}')], key=repr)
+
+
 def test_json_documents(spark, folder, layers):
     feed = Landing(spark, folder, layers, "json", {"multiLine": "true"}, schema=SCHEMA)
     feed.put("a.json", '[\n {"id": 1,\n "name": "a"},\n {"id": 2, "name": "b"}\n]')

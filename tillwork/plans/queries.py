@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DecimalType, IntegerType, StringType, StructField, StructType
 
 from tillwork import functions as fn
 from tillwork.operators import governance
@@ -16,7 +17,7 @@ from tillwork.plans.retail_run import CLEANERS, RetailRun
 from tillwork.session import scratch_folder
 from tillwork.sources import feeds
 from tillwork.sources.ingest import ingest_raw_to_bronze
-from tillwork.sources.landing import LANDERS, land_json_lines, raw_columns
+from tillwork.sources.landing import LANDERS, raw_columns
 from tillwork.sources.schemas import (
     ARRIVAL,
     FEED_SCHEMAS,
@@ -261,6 +262,21 @@ def ingest_csv(spark, sf_dir):
     return _ingested(spark, sf_dir, "sales")
 
 
+def ingest_typed(spark, sf_dir):
+    """Sales with typed numbers; text that is no number is rescued."""
+    space, source = Workspace(spark, "typed"), FEEDS["sales"]
+    landing, table = f"{space.root}/landing", space.name("bronze", "sales")
+    types = {"quantity": IntegerType(), "unit_price": DecimalType(10, 2)}
+    schema = StructType(
+        [StructField(n, types.get(n, StringType())) for n in FEED_SCHEMAS["sales"].names]
+    )
+    LANDERS["sales"](feed(spark, sf_dir, "sales"), landing)
+    ingest_raw_to_bronze(
+        spark, landing, table, f"{space.root}/checkpoint", source.file_format, source.options, schema
+    )
+    return comparable(read_table(spark, table).drop(ARRIVAL, SOURCE_FILE))
+
+
 def ingest_json_multiline(spark, sf_dir):
     return _ingested(spark, sf_dir, "crm")
 
@@ -501,6 +517,7 @@ QUERIES: dict[str, Query] = {
     "ingest_csv": ingest_csv,
     "ingest_json_multiline": ingest_json_multiline,
     "ingest_jsonl": ingest_jsonl,
+    "ingest_typed": ingest_typed,
     "schema_evolution": schema_evolution,
     "rescued_rows": rescued_rows,
     "upsert": upsert,

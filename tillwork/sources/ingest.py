@@ -1,8 +1,8 @@
 """Incremental file ingest: landing folder -> bronze table.
 
 One file stream per feed reads what arrived since the last run and stops. The stream's
-checkpoint and Spark's file sink make each file count once. All feed columns are kept
-as text; typing is the cleaning step's work.
+checkpoint and Spark's file sink make each file count once. Feed columns are kept as
+text, as cleaning is the next step's work, unless the feed's schema types them.
 
 The column list of a feed is remembered beside its checkpoint. When a file brings a
 column that is not on the list, the stream stops before it commits; the new files are
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tillwork.sources.schemas import (
     ARRIVAL,
@@ -166,6 +166,24 @@ def _read_json_documents(spark, source_path, options, columns) -> DataFrame:
     )
 
 
+def _typed(rows: DataFrame, schema: StructType | None) -> DataFrame:
+    """Columns in the types of ``schema``; text that does not fit is rescued as JSON."""
+    types = {f.name: f.dataType for f in schema or [] if f.dataType != StringType()}
+    if not types:
+        return rows
+    misfits = {
+        name: F.when(F.col(name).try_cast(kind).isNull(), F.col(name)) for name, kind in types.items()
+    }
+    any_misfit = F.coalesce(*misfits.values()).isNotNull()
+    rescued = F.to_json(F.struct(*[text.alias(name) for name, text in misfits.items()]))
+    return rows.withColumns(
+        {
+            **{name: F.col(name).try_cast(kind) for name, kind in types.items()},
+            RESCUED: F.when(any_misfit, rescued).otherwise(F.col(RESCUED)),
+        }
+    )
+
+
 def read_raw_stream(
     spark: SparkSession,
     source_path: str,
@@ -173,14 +191,16 @@ def read_raw_stream(
     options: dict[str, str],
     columns: list[str],
     add_new_columns: bool = True,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """Feed columns as text, rescued data, arrival time and source file."""
+    """Feed columns, rescued data, arrival time and source file."""
     if file_format == "csv":
         rows = _read_csv(spark, source_path, options, columns, add_new_columns)
     elif _flag(options, "multiLine"):
         rows = _read_json_documents(spark, source_path, options, columns)
     else:
         rows = _read_json_lines(spark, source_path, options, columns, add_new_columns)
+    rows = _typed(rows, schema)
     return rows.select(*columns, RESCUED, F.current_timestamp().alias(ARRIVAL), SOURCE_FILE)
 
 
@@ -207,7 +227,8 @@ def ingest_raw_to_bronze(
 
     ``file_format`` is ``csv`` or ``json`` (JSON lines, or one document or array per
     file with option ``multiLine``). ``schema`` names the feed's columns; without it
-    they are taken from the first files. CSV files may add columns at the end; a header
+    they are taken from the first files. A column it gives a type other than string is
+    cast, and a value that does not fit goes to ``_rescued_data``. CSV files may add columns at the end; a header
     that renames or reorders columns is an error. With ``add_new_columns=False`` the
     columns stay fixed and unknown data goes to ``_rescued_data``.
     """
@@ -228,7 +249,9 @@ def ingest_raw_to_bronze(
     started = spark.range(1).select(F.expr(_NOW).alias("now")).first()["now"]
     while True:
         _grow_table(spark, target_table, columns)
-        rows = read_raw_stream(spark, source_path, file_format, options, columns, add_new_columns)
+        rows = read_raw_stream(
+            spark, source_path, file_format, options, columns, add_new_columns, schema
+        )
         query = (
             rows.writeStream.format("parquet")
             .outputMode("append")
