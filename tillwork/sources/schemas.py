@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import StringType, StructField, StructType
 
 RESCUED = "_rescued_data"
 ARRIVAL = "ingesttime"
@@ -43,19 +43,6 @@ FEED_COLUMNS = {
 FEED_SCHEMAS = {feed: text_schema(names) for feed, names in FEED_COLUMNS.items()}
 
 
-def with_audit_columns(schema: StructType) -> StructType:
-    """The feed's schema as it is stored in bronze."""
-    fields = [f for f in schema.fields if f.name not in (RESCUED, ARRIVAL, SOURCE_FILE)]
-    return StructType(
-        fields
-        + [
-            StructField(RESCUED, StringType()),
-            StructField(ARRIVAL, TimestampType()),
-            StructField(SOURCE_FILE, StringType()),
-        ]
-    )
-
-
 @dataclass(frozen=True)
 class Feed:
     """One raw feed: its landing folder, file format and bronze table."""
