@@ -3,9 +3,13 @@
 import pytest
 from conftest import rows
 
-from tillwork.plans.queries import _run_three_times
+from pyspark.sql import functions as F
+
+from tillwork.plans.queries import _run_three_times, feed
 from tillwork.plans.retail_run import RetailRun
-from tillwork.sources.schemas import GOLD_TABLES, SILVER_TABLES
+from tillwork.session import scratch_folder
+from tillwork.sources.landing import LANDERS
+from tillwork.sources.schemas import FEEDS, GOLD_TABLES, SILVER_TABLES
 
 SF = "/root/testdata/sf0.001"
 CLOCKS = ("_silver_processed_at", "_gold_updated_at", "_ingest_timestamp")
@@ -49,3 +53,31 @@ def test_bronze_keeps_every_arrival(run, spark):
     copies = events.filter("event_id % 10 = 0").count()
     assert run.table("bronze", "clickstream").count() == events.count() + copies
     assert run.table("silver", "clickstream").count() == events.count()
+
+
+def test_moved_customers_and_a_new_column(run, spark):
+    """Every customer moves to one region and the file brings one more column."""
+    moved = feed(spark, SF, "customers").filter("file_name LIKE '%/part-1.%'").withColumns(
+        {"region": F.lit("anz"), "channel": F.lit("web")})
+    LANDERS["customers"](moved, f"{run.landing}/{FEEDS['customers'].folder}")
+    customers = run.table("silver", "sql_customers").count()
+    run.run()
+    silver = run.table("silver", "sql_customers")
+    assert silver.count() == customers == silver.filter("region = 'ANZ' AND channel = 'web'").count()
+    report, sales = run.table("gold", "fact_daily_sales"), run.table("gold", "fact_sales")
+    assert {r[0] for r in report.select("customer_region").distinct().collect()} == {"ANZ", None}
+    assert report.selectExpr("sum(daily_sale)").first() == sales.selectExpr("sum(total_amount)").first()
+
+
+def test_small_batches_give_the_same_dimensions(run, spark):
+    """A first load cut into batches of one file each, on feeds that arrive once."""
+    root = scratch_folder(spark, "small")
+    small = RetailRun(spark, f"{root}/landing", f"{root}/lake", "small_", max_files_per_batch=2)
+    for name, source in FEEDS.items():
+        rows_of = feed(spark, SF, name)
+        first = rows_of if name == "sales" else rows_of.filter("file_name LIKE '%/part-1.%'")
+        LANDERS[name](first.repartition(4), f"{small.landing}/{source.folder}")
+    small.run()
+    for table, key in (("clickstream", "event_id"), ("sql_products", "product_id"), ("crm_customers", "customer_id")):
+        assert rows(small.table("silver", table), key) == rows(run.table("silver", table), key)
+    assert small.table("silver", "sql_sales_transactions").count() == run.table("silver", "sql_sales_transactions").count()

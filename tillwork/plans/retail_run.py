@@ -42,8 +42,19 @@ def together(steps: Sequence[Callable[[], None]]) -> None:
 class RetailRun:
     """The steps of a run, on databases ``<prefix>bronze``, ``<prefix>silver``, ``<prefix>gold``."""
 
-    def __init__(self, spark: SparkSession, landing: str, root: str, prefix: str = ""):
+    def __init__(
+        self,
+        spark: SparkSession,
+        landing: str,
+        root: str,
+        prefix: str = "",
+        max_files_per_batch: int | None = None,
+    ):
+        """``max_files_per_batch`` cuts a very large first load into several commits."""
         self.spark, self.landing, self.root, self.prefix = spark, landing, root, prefix
+        self.stream_options = (
+            {"maxFilesPerTrigger": str(max_files_per_batch)} if max_files_per_batch else {}
+        )
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.prefix}{layer}.{table}"
@@ -63,7 +74,7 @@ class RetailRun:
             self.name("bronze", source.table),
             self.checkpoint(f"{source.table}_bronze"),
             source.file_format,
-            source.options,
+            {**source.options, **self.stream_options},
             FEED_SCHEMAS[feed],
         )
 
@@ -75,6 +86,7 @@ class RetailRun:
             self.name("bronze", table),
             self.checkpoint(f"{table}_silver"),
             lambda rows: _write(CLEANERS[feed](rows), self.name("silver", table), SILVER_TABLES[table]),
+            **self.stream_options,
         )
 
     def _gold(self, df: DataFrame, table: str) -> None:
@@ -86,6 +98,7 @@ class RetailRun:
             self.name("silver", source),
             self.checkpoint(table),
             lambda rows: self._gold(transform(rows), table),
+            **self.stream_options,
         )
 
     def customers(self) -> None:

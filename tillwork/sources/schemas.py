@@ -74,7 +74,9 @@ class Contract:
     cluster: tuple[str, ...]
 
 
-# Table names, write modes, keys and clustering columns.
+# Table names, write modes, keys and clustering columns. The daily report
+# is computed in full each time and replaces itself, as merging would keep groups that
+# no longer occur after a customer or product changed, and count their sales twice.
 SILVER_TABLES = {
     "sql_customers": Contract("merge", ("customer_id",), ("customer_id",)),
     "crm_customers": Contract("merge", ("customer_id",), ("customer_id",)),
@@ -89,7 +91,7 @@ GOLD_TABLES = {
     "fact_sales": Contract("append", ("transaction_id",), ("customer_id", "product_id")),
     "fact_clicks": Contract("append", ("event_id",), ("customer_id",)),
     "fact_daily_sales": Contract(
-        "merge",
+        "overwrite",
         ("sales_date", "product_category", "customer_region"),
         ("sales_date", "product_category", "customer_region"),
     ),
