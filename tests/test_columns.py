@@ -146,3 +146,72 @@ def test_defaults_never_null(spark):
     df = spark.createDataFrame([("x",)], "v string").select(
         fn.cast_to_integer("v").alias("i"), fn.cast_to_decimal("v").alias("d"), fn.cast_to_boolean("v").alias("b"))
     assert [f.nullable for f in df.schema] == [False, False, False]
+
+
+def _texts(alphabet, count=400, longest=18, seed=7):
+    import random
+
+    pick = random.Random(seed)
+    return ["".join(pick.choice(alphabet) for _ in range(pick.randint(0, longest))) for _ in range(count)]
+
+
+def test_phone_against_plain_rules(spark):
+    import re
+
+    def expected(text):
+        text = text.strip(" ")
+        text = "+" + text[2:] if text.startswith("00") else text
+        text = re.split(r"\s*(?:;?ext|x|#)", text, maxsplit=1, flags=re.I)[0]
+        digits = re.sub(r"[^0-9]", "", text)
+        if not text.startswith("+"):
+            if len(digits) in (7, 10):
+                return "+1" + digits
+            return "+" + digits if len(digits) == 11 and digits[0] == "1" else None
+        if digits.startswith("1"):
+            return "+" + digits if len(digits) in (8, 11) else None
+        return "+" + digits if 7 <= len(digits) <= 15 and digits[0] != "0" else None
+
+    values = _texts("0123456789012345678901234567890123456789+-() x") + ["00" + t for t in _texts("0123456789 ", 200)]
+    values += ["+" + t for t in _texts("0123456789 ", 200)] + ["1" + t for t in _texts("0123456789", 200, 12)]
+    found = apply(spark, values, fn.format_phone_e164)
+    assert sum(v is not None for v in found) > 100
+    assert [(v, f) for v, f in zip(values, found) if f != expected(v)] == []
+
+
+def test_text_and_url_against_plain_rules(spark):
+    import re
+
+    values = _texts("aB c  Dé\t\n.")
+    squeezed = [re.sub(r"[ \t\n]+", " ", v).strip(" ") for v in values]
+    titled = [" ".join(w[:1].upper() + w[1:].lower() for w in s.split(" ")) for s in squeezed]
+    assert apply(spark, values, fn.clean_spaces) == squeezed
+    assert apply(spark, values, fn.clean_text_standard) == titled
+    assert apply(spark, values, lambda c: fn.clean_text_standard(c, is_acronym=True)) == [
+        s.upper() if len(s) <= 5 and " " not in s else t for s, t in zip(squeezed, titled)]
+    urls = _texts("?&q==ab#")
+    found = [re.search(r"[?&]q=([^&]+)", u) for u in urls]
+    assert apply(spark, urls, lambda c: fn.search_term(F.lit("SEARCH"), c)) == [m and m.group(1) for m in found]
+
+
+def test_dates_against_plain_rules(spark):
+    import re
+
+    def expected(text):
+        if not re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9]{2}:[0-9]{2}:[0-9]{2})?", text):
+            return None
+        try:
+            return datetime.fromisoformat(text)
+        except ValueError:
+            return None
+
+    import random
+
+    pick = random.Random(3)
+    values = []
+    for _ in range(400):
+        day = f"20{pick.randint(0, 39):02d}-{pick.randint(0, 13):02d}-{pick.randint(0, 32):02d}"
+        clock = f"{pick.randint(0, 24):02d}:{pick.randint(0, 60):02d}:{pick.randint(0, 60):02d}"
+        values.append(pick.choice([day, f"{day}T{clock}", f"{day} {clock}", f"{day}T{clock}Z", f" {day}"]))
+    found = apply(spark, values, fn.standardize_date)
+    assert sum(v is not None for v in found) > 100
+    assert [(v, f) for v, f in zip(values, found) if f != expected(v)] == []
