@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from tillwork.llm import warc
+from tillwork.llm import bpe, packing, warc
 
-QUERIES = {"op1_warc": warc.op1_warc}
+QUERIES = {
+    "op1_warc": warc.op1_warc,
+    "op5_bpe": bpe.op5_bpe,
+    "op10_packing": packing.op10_packing,
+}
 ORACLE_SQL = {"op1_warc": warc.ORACLE_SQL}

@@ -189,9 +189,12 @@ def read_archives(index: DataFrame, folder: str, keep_payload: bool = True) -> D
             yield _record_batch(rows)
 
     block = F.floor(F.col("offset") / BLOCK_BYTES)
-    return (
+    spark = index.sparkSession
+    size = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BLOCK_BYTES + 1)
+    return (  # the number of tasks follows the archives' bytes, not the small index
         index.select("file", "offset", "length")
-        .repartition(F.col("file"), block).sortWithinPartitions("file", "offset")
+        .repartition(tasks, F.col("file"), block).sortWithinPartitions("file", "offset")
         .mapInArrow(read, RECORD)
     )
 
