@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tillwork.llm import bpe, packing, warc
+from tillwork.llm import bpe, language, packing, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op5_bpe": bpe.op5_bpe,
+    "op6_toxicity": toxicity.op6_toxicity,
+    "op7_language": language.op7_language,
     "op10_packing": packing.op10_packing,
 }
 ORACLE_SQL = {"op1_warc": warc.ORACLE_SQL}
