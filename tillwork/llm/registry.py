@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwork.llm import bpe, fingerprints, language, packing, toxicity, warc
+from tillwork.llm import bpe, embeddings, fingerprints, language, packing, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_bpe": bpe.op5_bpe,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_language": language.op7_language,
+    "op8_embeddings": embeddings.op8_embeddings,
     "op10_packing": packing.op10_packing,
 }
 ORACLE_SQL = {"op1_warc": warc.ORACLE_SQL}
