@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tillwork.llm import bpe, embeddings, fingerprints, language, packing, toxicity, warc
+from tillwork.llm import bpe, embeddings, fingerprints, jaccard, language, packing, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op3_fingerprints": fingerprints.op3_fingerprints,
+    "op4_jaccard": jaccard.op4_jaccard,
     "op5_bpe": bpe.op5_bpe,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_language": language.op7_language,
