@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tillwork.llm import bpe, embeddings, fingerprints, jaccard, language, packing, toxicity, warc
+from tillwork.llm import bpe, embeddings, fingerprints, jaccard, language, packing, suffix_tree, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
+    "op2_suffix_tree": suffix_tree.op2_suffix_tree,
     "op3_fingerprints": fingerprints.op3_fingerprints,
     "op4_jaccard": jaccard.op4_jaccard,
     "op5_bpe": bpe.op5_bpe,
