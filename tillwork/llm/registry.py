@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillwork.llm import bpe, embeddings, fingerprints, jaccard, language, packing, suffix_tree, toxicity, warc
+from tillwork.llm import bpe, embeddings, fingerprints, jaccard, language, licences, packing, suffix_tree, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_language": language.op7_language,
     "op8_embeddings": embeddings.op8_embeddings,
+    "op9_licences": licences.op9_licences,
     "op10_packing": packing.op10_packing,
 }
 ORACLE_SQL = {"op1_warc": warc.ORACLE_SQL}
