@@ -131,20 +131,6 @@ WIDEN_SQL = f"""SELECT {SILVER_OUT['products']}, {AUDIT_OUT} FROM (
   SELECT * REPLACE (CAST(NULL AS VARCHAR) AS brand, CAST(NULL AS VARCHAR) AS supplier_id) FROM first_products
   UNION ALL BY NAME SELECT * FROM second_products)"""
 
-# The run ingests all sales at one time, so only their own columns order them.
-RELATIONS["latest_landed_sales"] = latest(
-    "feed_sales", "transaction_id", ["last_modified_ts"], SALES_COLUMNS
-)
-RELATIONS["silver_landed_sales"] = RELATIONS["silver_sales"].replace(
-    "FROM latest_sales", "FROM latest_landed_sales"
-)
-RELATIONS["fact_landed_sales"] = RELATIONS["fact_sales"].replace(
-    "FROM silver_sales", "FROM silver_landed_sales"
-)
-RELATIONS["daily_landed_sales"] = RELATIONS["daily_sales"].replace(
-    "FROM fact_sales", "FROM fact_landed_sales"
-)
-
 RELATIONS["raw_cents"] = f"""SELECT product_id, file_name, CAST({money('unit_price')} * 100 AS BIGINT) AS p,
   CAST({money('cost_price')} * 100 AS BIGINT) AS c FROM feed_products"""
 
@@ -217,6 +203,19 @@ FINAL_SQL = {
         UNION ALL SELECT event_id, CASE WHEN file_name LIKE '%/part-2.%' THEN 'web ' || event_id END, {NO_RESCUE}
         FROM feed_clicks""",
     "rescued_rows": RESCUED_SQL,
+    "rescued_documents": """SELECT customer_id, preferred_channel,
+        CASE WHEN loyalty_tier = 'gold' OR preferred_channel IS NOT NULL THEN '{' || concat_ws(',',
+          CASE WHEN loyalty_tier = 'gold' THEN '"note":"late"' END,
+          '"Preferred_Channel":"' || preferred_channel || '"') || '}' END AS _rescued_data FROM feed_crm""",
+    # CSV has no empty text.
+    "ingest_reordered": f"""SELECT * REPLACE (nullif(email, '') AS email, nullif(phone, '') AS phone) FROM (
+        SELECT CASE WHEN last_name IS NULL AND file_name LIKE '%/part-1.%' THEN 'customer_id'
+        ELSE customer_id END AS customer_id, {columns(CUSTOMER_COLUMNS)}, {NO_RESCUE} FROM feed_customers)""",
+    "compact_then_ingest": f"SELECT event_id, {columns(CLICK_COLUMNS)}, {NO_RESCUE} FROM feed_clicks",
+    "append_after_ingest": f"""SELECT event_id, {columns(CLICK_COLUMNS)}, {NO_RESCUE} FROM feed_clicks
+        UNION ALL BY NAME SELECT event_id, {columns(CLICK_COLUMNS)} , {NO_RESCUE} FROM (
+          SELECT * REPLACE ('late' AS session_id) FROM feed_clicks
+          WHERE customer_id IS NULL AND file_name LIKE '%/part-1.%')""",
     "upsert": silver("products"),
     "append_new": silver("clicks"),
     "overwrite": silver("crm"),
@@ -234,7 +233,17 @@ FINAL_SQL = {
         SELECT {GOLD_OUT['dim_customers']} FROM dim_customers WHERE region IN ('APAC', 'LATAM'))""",
     "governed_dim_admin": gold("dim_customers"),
     "governed_sql": "SELECT customer_id, region, 'CONFIDENTIAL DATA' AS email FROM dim_customers WHERE region = 'APAC'",
-    "rerun_daily_sales": f"SELECT {GOLD_OUT['daily_sales']} FROM daily_landed_sales",
+    "alerts_after_restock": f"""SELECT {GOLD_OUT['low_stock_alert']} FROM (
+        SELECT event_id, session_id, product_id, available_stock, alert_timestamp FROM low_stock_alert
+          WHERE CAST(substr(event_id, 2) AS BIGINT) % 2 = 0
+        UNION ALL
+        SELECT c.event_id, c.session_id, c.product_id, 0, c.event_at FROM fact_clicks c
+          JOIN dim_products p ON c.product_id = p.product_id
+          WHERE c.event_type = 'ADD_TO_CART' AND p.reorder_threshold >= 0
+            AND CAST(substr(c.event_id, 2) AS BIGINT) % 2 = 1)""",
+    "rerun_daily_sales": gold("daily_sales"),
+    "corrected_sales": f"SELECT {SILVER_OUT['sales']}, _record_source FROM silver_sales",
+    "cut_batches": f"SELECT {SILVER_OUT['sales']}, _record_source FROM silver_sales",
 }
 
 ORACLE_SQL = {name: statement(sql) for name, sql in FINAL_SQL.items()}

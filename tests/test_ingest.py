@@ -1,4 +1,6 @@
 import json
+import os
+import time
 from datetime import date
 from pathlib import Path
 
@@ -10,7 +12,7 @@ from pyspark.sql.types import DateType, IntegerType, StringType, StructField, St
 from tillwork.sources.ingest import ingest_raw_to_bronze
 from tillwork.sources.landing import land_csv, land_json_array, land_json_lines
 from tillwork.sources.schemas import text_schema
-from tillwork.sources.tables import read_table
+from tillwork.sources.tables import compact, read_table, write_table
 
 SCHEMA = text_schema(["id", "name"])
 
@@ -41,7 +43,7 @@ def test_csv_counts_each_file_once(spark, folder, layers):
     for _ in range(2):
         assert feed.run("id", "name") == [*first, ("4", "d")]
     table = read_table(spark, feed.table)
-    assert table.columns == ["id", "name", "_rescued_data", "ingesttime", "file_name"]
+    assert table.columns == ["id", "name", "_rescued_data", "ingesttime", "file_name", "file_time"]
     assert table.filter("ingesttime IS NULL OR file_name NOT LIKE '%/landing/%.csv'").isEmpty()
     assert table.select("file_name").distinct().count() == 3
 
@@ -62,16 +64,65 @@ def test_csv_new_column(spark, folder, layers):
     found = feed.run("id", "name", "age", "city", "_rescued_data")
     assert found[:4] == [("1", "a", None, None, None), ("2", "b", "7", "Rome", None),
                          ("3", "c", None, None, None), ("4", "d", "9", None, None)]
-    assert found[4][:4] == ("5", "e", "9", "x") and "y" in found[4][4]
+    # Values beyond a file's own header have no column.
+    assert found[4][:4] == ("5", "e", "9", None) and "x,y" in found[4][4]
     feed.put("e.csv", "id,name,age,city\n6,f,8,Oslo\n")
     assert feed.run("id", "city")[-1] == ("6", "Oslo")
 
 
-def test_csv_reordered_header_is_an_error(spark, folder, layers):
+def test_csv_columns_go_by_name(spark, folder, layers):
     feed = Landing(spark, folder, layers, "csv", schema=text_schema(["id", "name", "age"]))
     feed.put("a.csv", "id,age,name\n1,7,a\n")
-    with pytest.raises(ValueError, match="does not continue"):
-        feed.run()
+    feed.put("b.csv", "NAME,Id\nb,2\n")
+    feed.put("c.csv", "id,name\nid,name\n3,c\n")
+    feed.put("d.csv", "id,name,Name\n4,d,other\n")
+    feed.put("e.csv", "")
+    assert feed.run("id", "name", "age", "_rescued_data") == [
+        ("1", "a", "7", None), ("2", "b", None, None), ("3", "c", None, None), ("4", "d", None, '{"Name":"other"}'),
+        ("id", "name", None, None)]
+
+
+def test_csv_unknown_columns_of_a_fixed_feed_are_rescued(spark, folder, layers):
+    feed = Landing(spark, folder, layers, "csv", schema=SCHEMA, add_new_columns=False)
+    feed.put("a.csv", "city,id,name\nRome,1,a\n,2,b\n")
+    assert feed.run("id", "name", "_rescued_data") == [("1", "a", '{"city":"Rome"}'), ("2", "b", None)]
+
+
+def test_files_count_whatever_their_age(spark, folder, layers):
+    feed = Landing(spark, folder, layers, "csv", schema=SCHEMA)
+    feed.put("a.csv", "id,name\n1,a\n")
+    feed.run()
+    for name, days, content in (("b.csv", 10, "id,name\n2,b\n"), ("c.csv", 400, "id,name,old\n3,c,x\n")):
+        feed.put(name, content)
+        then = time.time() - days * 86400
+        os.utime(feed.path / name, (then, then))
+    for _ in range(2):
+        assert feed.run("id", "name", "old") == [("1", "a", None), ("2", "b", None), ("3", "c", "x")]
+
+
+def test_types_are_inferred_once_and_misfits_rescued(spark, folder, layers):
+    feed = Landing(spark, folder, layers, "csv", {"inferSchema": "true"})
+    feed.put("a.csv", "id,price,name\n1,2.5,a\n")
+    feed.run()
+    feed.put("b.csv", "id,price,name\n2,free,7\n")
+    assert feed.run("id", "price", "name", "_rescued_data") == [
+        (1, 2.5, "a", None), (2, None, "7", '{"price":"free"}')]
+
+
+def test_keys_that_differ_in_case_are_rescued(spark, folder, layers):
+    feed = Landing(spark, folder, layers, "json", schema=SCHEMA)
+    feed.put("a.jsonl", '{"id": 1, "Name": "a"}\n{"id": 2, "name": "b", "NAME": "c"}\n')
+    assert feed.run("id", "name", "_rescued_data") == [("1", None, '{"Name":"a"}'), ("2", "b", '{"NAME":"c"}')]
+
+
+def test_ingest_goes_on_after_other_writes(spark, folder, layers):
+    feed = Landing(spark, folder, layers, "csv", schema=SCHEMA)
+    feed.put("a.csv", "id,name\n1,a\n")
+    feed.run()
+    compact(spark, feed.table)
+    write_table(spark.createDataFrame([("9", "batch")], "id string, name string"), feed.table, "append")
+    feed.put("b.csv", "id,name\n2,b\n")
+    assert feed.run("id", "name") == [("1", "a"), ("2", "b"), ("9", "batch")]
 
 
 def test_json_lines_new_column_and_broken_line(spark, folder, layers):

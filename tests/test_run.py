@@ -1,5 +1,10 @@
 """The whole run on landed files: again with nothing new, and with corrections."""
 
+import os
+import time
+import uuid
+from pathlib import Path
+
 import pytest
 from conftest import rows
 
@@ -10,6 +15,7 @@ from tillwork.plans.retail_run import RetailRun
 from tillwork.session import scratch_folder
 from tillwork.sources.landing import LANDERS
 from tillwork.sources.schemas import FEEDS, GOLD_TABLES, SILVER_TABLES
+from tillwork.sources.tables import create_layers
 
 SF = "/root/testdata/sf0.001"
 CLOCKS = ("_silver_processed_at", "_gold_updated_at", "_ingest_timestamp")
@@ -69,15 +75,24 @@ def test_moved_customers_and_a_new_column(run, spark):
     assert report.selectExpr("sum(daily_sale)").first() == sales.selectExpr("sum(total_amount)").first()
 
 
-def test_small_batches_give_the_same_dimensions(run, spark):
-    """A first load cut into batches of one file each, on feeds that arrive once."""
-    root = scratch_folder(spark, "small")
-    small = RetailRun(spark, f"{root}/landing", f"{root}/lake", "small_", max_files_per_batch=2)
-    for name, source in FEEDS.items():
-        rows_of = feed(spark, SF, name)
-        first = rows_of if name == "sales" else rows_of.filter("file_name LIKE '%/part-1.%'")
-        LANDERS[name](first.repartition(4), f"{small.landing}/{source.folder}")
-    small.run()
-    for table, key in (("clickstream", "event_id"), ("sql_products", "product_id"), ("crm_customers", "customer_id")):
-        assert rows(small.table("silver", table), key) == rows(run.table("silver", table), key)
-    assert small.table("silver", "sql_sales_transactions").count() == run.table("silver", "sql_sales_transactions").count()
+def test_another_process_goes_on(run, spark):
+    """A catalog without the tables finds them again, and a run with nothing new changes nothing."""
+    other = RetailRun(spark, run.landing, run.root, f"other_{run.prefix}")
+    before = state(run)
+    other.run()
+    assert state(other) == before
+
+
+def test_the_later_file_of_one_run_wins(spark):
+    """Two product files in one ingest; the older one sorts higher by content."""
+    root = scratch_folder(spark, "two")
+    small = RetailRun(spark, f"{root}/landing", f"{root}/lake", f"two_{uuid.uuid4().hex[:8]}_")
+    folder = Path(f"{small.landing.removeprefix('file:')}/{FEEDS['products'].folder}")
+    folder.mkdir(parents=True)
+    for name, stock, age in (("z.csv", 90, 100), ("a.csv", 10, 0)):
+        (folder / name).write_text(f"product_id,stock_quantity\np1,{stock}\n")
+        os.utime(folder / name, (time.time() - age, time.time() - age))
+    create_layers(spark, small.root, small.prefix)
+    small.ingest("products")
+    small.clean("products")
+    assert rows(small.table("silver", "sql_products"), "product_id", "stock_quantity") == [("P1", 10)]

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 from conftest import rows
 
 from tillwork.plans import clean, marts
-from tillwork.sources.tables import read_table, write_table
+from tillwork.sources.tables import compact, read_table, write_table
 from tillwork.streaming.alerts import stream_low_stock
 from tillwork.streaming.clicks import stream_clickstream
 from tillwork.streaming.progress import follow_table
@@ -24,19 +24,19 @@ def drain(spark, df, folder):
     query.awaitTermination()
 
 
-def test_click_stream_equals_batch_on_copies(spark, folder):
+def test_click_stream_equals_batch_on_copies(spark, folder, layers):
     waves = [[click(i, 0) for i in range(50)] + [click(i, 0, spelling=" E{} ") for i in range(50)],
              [click(i, 30) for i in range(25, 75)], [click(0, 40)] * 100]
-    for salts in (1, 16):
-        base = f"{folder}/{salts}"
-        for wave in waves:
-            spark.createDataFrame(wave, RAW).repartition(4).write.mode("append").parquet(f"{base}/in")
-            source = spark.readStream.schema(RAW).parquet(f"{base}/in")
-            drain(spark, stream_clickstream(source, "1 hour", salts), base)
-        batch = clean.bronze_clickstream(spark.read.parquet(f"{base}/in"))
-        names = [n for n in batch.columns if n not in ("_ingest_timestamp", "_source_file", "_silver_processed_at")]
-        assert rows(spark.read.parquet(f"{base}/out"), *names) == rows(batch, *names)
-        assert batch.count() == 75
+    table = layers("silver", "clicks")
+    late = [click(500, -3 * 24 * 60)]  # three days behind the newest
+    for wave in [*waves, late]:
+        spark.createDataFrame(wave, RAW).repartition(4).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema(RAW).parquet(f"{folder}/in")
+        stream_clickstream(source, table, f"{folder}/ck")
+    batch = clean.bronze_clickstream(spark.read.parquet(f"{folder}/in"))
+    names = [n for n in batch.columns if n not in ("_ingest_timestamp", "_source_file", "_silver_processed_at")]
+    assert rows(read_table(spark, table), *names) == rows(batch, *names)
+    assert batch.count() == 76
 
 
 def test_alert_stream_equals_batch(spark, folder, layers):
@@ -76,6 +76,24 @@ def test_low_stock_on_a_streaming_frame(spark, folder):
     assert rows(spark.read.parquet(f"{folder}/out"), "event_id") == [("E1",)]
 
 
+def test_followers_get_changed_rows_and_no_compacted_ones(spark, folder, layers):
+    table, seen, kv = layers("silver", "t"), [], "k string, v int"
+
+    def follow():
+        follow_table(spark, table, f"{folder}/ck", lambda b: seen.extend(rows(b)), ["k"])
+
+    write_table(spark.createDataFrame([("a", 1), ("b", 1)], kv), table, "append", "k", newer_by="v")
+    follow()
+    compact(spark, table)
+    follow()
+    assert seen == [("a", 1), ("b", 1)]
+    write_table(spark.createDataFrame([("a", 3), ("b", 0), ("c", 1)], kv), table, "append", "k", newer_by="v")
+    write_table(spark.createDataFrame([("a", 4)], kv), table, "append", "k", newer_by="v")
+    follow()
+    assert seen[2:] == [("a", 4), ("c", 1)]
+    assert rows(read_table(spark, table)) == [("a", 4), ("b", 1), ("c", 1)]
+
+
 def test_follow_table_hands_over_only_new_rows(spark, folder, layers):
     table, seen = layers("silver", "t"), []
     for value in ("a", "b"):

@@ -1,3 +1,6 @@
+import uuid
+from pathlib import Path
+
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
@@ -6,8 +9,10 @@ from tillwork.operators.diff import CHANGE, table_diff
 from tillwork.sources.tables import (
     clustered,
     compact,
+    commits,
     create_layers,
     current_location,
+    expire_versions,
     read_table,
     same_key,
     write_table,
@@ -104,10 +109,64 @@ def test_overwrite_keeps_dropped_columns_as_nulls(spark, layers):
     assert rows(read_table(spark, table)) == [("2", None)]
 
 
+def test_newer_rows_replace_older_ones_in_any_order(spark, layers):
+    versions = [("1", 1, "a"), ("1", 3, "c"), ("1", 2, "b"), ("2", None, "n"), ("2", 1, "x"), (None, 1, "y"), (None, 0, "z")]
+    for order in (versions, versions[::-1], versions[3:] + versions[:3]):
+        table = layers("silver", f"t{uuid.uuid4().hex[:6]}")
+        for row in order:
+            write_table(frame(spark, row, schema="k string, at int, v string"), table, "append", "k", newer_by="at")
+        assert rows(read_table(spark, table), "k", "v") == [("1", "c"), ("2", "x"), (None, "y")]
+
+
+def test_replaced_keys_take_their_rows_along(spark, layers):
+    table = layers("gold", "t")
+    write_table(frame(spark, ("1", "a"), ("2", "b"), ("3", "c")), table, "merge", "k")
+    gone = frame(spark, ("1",), ("2",), ("8",), schema="k string")
+    write_table(frame(spark, ("2", "B")), table, "merge", "k", replaced_keys=gone)
+    assert rows(read_table(spark, table)) == [("2", "B"), ("3", "c")]
+
+
+def test_a_batch_counts_once(spark, layers):
+    table = layers("bronze", "t")
+    for name in ("b1", "b1", "b2"):
+        write_table(frame(spark, (name, "x")), table, "append", batch=name)
+    assert rows(read_table(spark, table)) == [("b1", "x"), ("b2", "x")]
+
+
+def test_a_small_delivery_of_new_keys_only_adds_files(spark, layers):
+    table = layers("silver", "t")
+    write_table(spark.range(1000).selectExpr("string(id) k", "id v"), table, "append", "k", newer_by="v")
+    before = set(read_table(spark, table).inputFiles())
+    write_table(spark.range(1000, 1010).selectExpr("string(id) k", "id v"), table, "append", "k", newer_by="v")
+    assert before < set(read_table(spark, table).inputFiles())
+    assert [c["kind"] for c in commits(spark, table).orderBy("version").collect()] == ["create", "append"]
+
+
+def test_tables_are_found_again_by_a_new_catalog(spark, folder):
+    create_layers(spark, folder, "first_")
+    write_table(frame(spark, ("1", "a")), "first_gold.t", "merge", "k")
+    write_table(frame(spark, ("1", "b", 7), schema="k string, v string, n int"), "first_gold.t", "merge", "k")
+    create_layers(spark, folder, "second_")
+    assert rows(read_table(spark, "second_gold.t")) == [("1", "b", 7)]
+    write_table(frame(spark, ("2", "c", 8), schema="k string, v string, n int"), "second_gold.t", "append", "k")
+    create_layers(spark, folder, "first_")
+    assert rows(read_table(spark, "first_gold.t")) == [("1", "b", 7), ("2", "c", 8)]
+
+
+def test_old_versions_can_be_removed(spark, layers):
+    table = layers("silver", "t")
+    for value in "abc":
+        write_table(frame(spark, ("1", value)), table, "merge", "k")
+    locations = [c["location"] for c in commits(spark, table).orderBy("version").collect()]
+    expire_versions(spark, table, keep=1)
+    there = [Path(x.removeprefix("file:")).exists() for x in locations]
+    assert there == [False, False, True] and rows(read_table(spark, table)) == [("1", "c")]
+
+
 def test_old_readers_keep_their_version(spark, layers):
     table = layers("silver", "t")
     write_table(frame(spark, ("1", "a")), table, "merge", "k")
-    before = spark.read.parquet(current_location(spark, table))
+    before = spark.read.option("recursiveFileLookup", True).parquet(current_location(spark, table))
     write_table(frame(spark, ("1", "b")), table, "merge", "k")
     assert rows(before) == [("1", "a")] and rows(read_table(spark, table)) == [("1", "b")]
 

@@ -31,7 +31,7 @@ from tillwork.functions import (
     upper_trim,
 )
 from tillwork.operators.dedup import latest_per_key
-from tillwork.sources.schemas import ARRIVAL, RESCUED, SOURCE_FILE
+from tillwork.sources.schemas import ARRIVAL, FILE_TIME, ORDER, RESCUED, SOURCE_FILE
 
 # Origin tag of each clean table.
 RECORD_SOURCES = {
@@ -48,14 +48,29 @@ def with_normalised_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def latest_rows(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
-    """Latest row per normalised key. Ties go by content, the source file comes last."""
-    lineage = (ARRIVAL, SOURCE_FILE, RESCUED)
+    """Latest row per normalised key. Ties go by content, the source file comes last.
+
+    Where ingest noted the files' times they stand for the arrival: two files that one run
+    brings in have the same arrival, but the later file is the newer one. File time and name
+    also order rows of different batches, however the files were cut into batches.
+    """
+    lineage = (ARRIVAL, SOURCE_FILE, RESCUED, FILE_TIME)
     content = sorted(n for n in df.columns if n not in (key, *order_by, *lineage))
+    if FILE_TIME in df.columns:
+        order_by = [FILE_TIME if n == ARRIVAL else n for n in order_by] + [SOURCE_FILE]
+        return latest_per_key(with_normalised_key(df, key), [key], order_by, content)
     return latest_per_key(with_normalised_key(df, key), [key], order_by, [*content, SOURCE_FILE])
 
 
 def with_audit(df: DataFrame, feed: str) -> DataFrame:
-    """Arrival, source file, origin and processing time; the raw audit columns go."""
+    """Arrival, source file, origin and processing time; the raw audit columns go.
+
+    Rows with a file time keep their place among the versions of their key as ORDER.
+    """
+    if FILE_TIME in df.columns:
+        modified = F.col("last_modified_ts") if feed == "sales" else F.lit(None).cast("string")
+        place = F.struct(modified.alias("modified"), F.col(FILE_TIME).alias("filed"), F.col(SOURCE_FILE).alias("file"))
+        df = df.withColumn(ORDER, place).drop(FILE_TIME)
     return df.withColumns(
         {
             "_ingest_timestamp": standardize_date(ARRIVAL),

@@ -22,7 +22,9 @@ from tillwork.sources.schemas import (
     ARRIVAL,
     FEED_SCHEMAS,
     FEEDS,
+    FILE_TIME,
     GOLD_TABLES,
+    ORDER,
     RESCUED,
     SOURCE_FILE,
 )
@@ -274,7 +276,7 @@ def ingest_typed(spark, sf_dir):
     ingest_raw_to_bronze(
         spark, landing, table, f"{space.root}/checkpoint", source.file_format, source.options, schema
     )
-    return comparable(read_table(spark, table).drop(ARRIVAL, SOURCE_FILE))
+    return comparable(read_table(spark, table).drop(ARRIVAL, SOURCE_FILE, FILE_TIME))
 
 
 def ingest_json_multiline(spark, sf_dir):
@@ -323,6 +325,72 @@ def rescued_rows(spark, sf_dir):
     return read_table(spark, table).select("event_id", "event_type", RESCUED)
 
 
+def rescued_documents(spark, sf_dir):
+    """JSON arrays with an unknown key, and with a key that differs from a known one in case."""
+    space, rows = Workspace(spark, "rescue_array"), raw_columns(feed(spark, sf_dir, "crm"))
+    landing, table = f"{space.root}/landing", space.name("bronze", "crm")
+    note = F.when(F.col("loyalty_tier") == "gold", F.lit("late")).alias("note")
+    document = F.to_json(F.struct("*", note, F.col("preferred_channel").alias("Preferred_Channel")))
+    arrays = rows.select(document.alias("doc")).groupBy(F.pmod(F.xxhash64("doc"), F.lit(20))).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("doc"), ","), F.lit("]")).alias("value")
+    )
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(landing)
+    ingest_raw_to_bronze(
+        spark, landing, table, f"{space.root}/checkpoint", "json", {"multiLine": "true"},
+        schema=FEED_SCHEMAS["crm"], add_new_columns=False,
+    )
+    return read_table(spark, table).select("customer_id", "preferred_channel", RESCUED)
+
+
+def ingest_reordered(spark, sf_dir):
+    """A delivery in the feed's order with a value that equals a column's name, another reversed in capitals."""
+    space, rows = Workspace(spark, "reordered"), raw_columns(feed(spark, sf_dir, "customers"))
+    landing, table = f"{space.root}/landing", space.name("bronze", "customers")
+    parts = [raw_columns(_part(feed(spark, sf_dir, "customers"), n)) for n in (1, 2)]
+    named = F.when(F.col("last_name").isNull(), F.lit("customer_id")).otherwise(F.col("customer_id"))
+    deliveries = (
+        parts[0].withColumn("customer_id", named),
+        parts[1].select(*[F.col(n).alias(n.upper()) for n in reversed(rows.columns)]),
+    )
+    for delivery in deliveries:
+        LANDERS["customers"](delivery, landing)
+        ingest_raw_to_bronze(
+            spark, landing, table, f"{space.root}/checkpoint", "csv", schema=FEED_SCHEMAS["customers"]
+        )
+    return read_table(spark, table).select(*FEED_SCHEMAS["customers"].names, RESCUED)
+
+
+def _clicks_between(spark, sf_dir, purpose: str, between) -> DataFrame:
+    """Ingest one delivery of clicks, do ``between`` with the table, ingest the other."""
+    space, source = Workspace(spark, purpose), FEEDS["clicks"]
+    landing, table = f"{space.root}/landing", space.name("bronze", "clicks")
+    for number in (1, 2):
+        LANDERS["clicks"](_part(feed(spark, sf_dir, "clicks"), number), landing)
+        ingest_raw_to_bronze(
+            spark, landing, table, f"{space.root}/checkpoint", source.file_format, source.options,
+            FEED_SCHEMAS["clicks"],
+        )
+        if number == 1:
+            between(table)
+    return read_table(spark, table).select(*FEED_SCHEMAS["clicks"].names, RESCUED)
+
+
+def compact_then_ingest(spark, sf_dir):
+    return _clicks_between(
+        spark, sf_dir, "compacted", lambda table: compact(spark, table, ["product_id"])
+    )
+
+
+def append_after_ingest(spark, sf_dir):
+    """Rows that a batch job adds to an ingested table are seen beside those of later files."""
+
+    def add(table: str) -> None:
+        late = raw_columns(_part(feed(spark, sf_dir, "clicks"), 1)).filter("customer_id IS NULL")
+        write_table(late.withColumn("session_id", F.lit("late")), table, "append")
+
+    return _clicks_between(spark, sf_dir, "appended", add)
+
+
 # Tables
 
 
@@ -410,18 +478,27 @@ def stream_clicks(spark, sf_dir):
     source, table = f"{space.root}/bronze/arrivals", space.name("silver", "clickstream")
     for number in (1, 2):
         _part(rows, number).write.mode("append").parquet(source)
-        query = (
-            stream_clickstream(spark.readStream.schema(rows.schema).parquet(source))
-            .writeStream.format("parquet")
-            .option("path", f"{space.root}/silver/clickstream/data")
-            .option("checkpointLocation", f"{space.root}/checkpoint")
-            .trigger(availableNow=True)
-            .toTable(table)
-        )
-        query.awaitTermination()
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        stream_clickstream(stream, table, f"{space.root}/checkpoint")
     return comparable(read_table(spark, table).drop("_ingest_timestamp", "_source_file"))
 
 
+def alerts_after_restock(spark, sf_dir):
+    """Odd events come after all stock is sold: an alert shows the stock when its click came."""
+    space = Workspace(spark, "restock")
+    facts, clicks = mart(spark, sf_dir, "fact_clicks"), space.name("gold", "fact_clicks")
+    products, inventory = space.name("gold", "dim_products"), space.name("gold", "fact_inventory")
+    alerts, stock = space.name("gold", "fact_low_stock_alert"), mart(spark, sf_dir, "fact_inventory")
+    write_table(mart(spark, sf_dir, "dim_products"), products, "overwrite")
+    odd = F.substring("event_id", 2, 20).cast("long") % 2
+    for turn, snapshot in enumerate((stock, stock.withColumn("stock_quantity", F.lit(0)))):
+        write_table(snapshot, inventory, "append")
+        for delivery in (facts.filter(odd == turn), facts.filter("false")):
+            write_table(delivery, clicks, "append", "event_id")
+            stream_low_stock(spark, clicks, products, inventory, alerts, f"{space.root}/checkpoint")
+    return comparable(read_table(spark, alerts))
+
+
 # Governance
 
 
@@ -465,18 +542,47 @@ def _land(rows: DataFrame, name: str, landing: str) -> None:
 
 
 def _run_three_times(spark, sf_dir, purpose: str) -> RetailRun:
-    """Run after the first delivery, after the second, and with nothing new."""
+    """Run after each of three deliveries, of which two bring all feeds, and with nothing new."""
     root = scratch_folder(spark, purpose)
     run = RetailRun(spark, f"{root}/landing", f"{root}/lake", f"{purpose}_{uuid.uuid4().hex[:12]}_")
-    _land(feed(spark, sf_dir, "sales"), "sales", run.landing)
-    for number in (1, 2):
-        for name in ("customers", "crm", "products", "clicks"):
-            _land(_part(feed(spark, sf_dir, name), number), name, run.landing)
+    for number in (0, 1, 2):
+        _land_sales(spark, sf_dir, number, run.landing)
+        for name in ("customers", "crm", "products", "clicks") if number < 2 else ():
+            _land(_part(feed(spark, sf_dir, name), number + 1), name, run.landing)
         run.run()
     run.run()
     return run
 
 
+def _land_sales(spark, sf_dir, number: int, landing: str, files: int = 8) -> None:
+    """One delivery of sales; all versions of a sale in it are in one file, as they arrive together."""
+    part = _part(feed(spark, sf_dir, "sales"), number)
+    _land(part.repartition(files, fn.upper_trim("transaction_id")), "sales", landing)
+
+
+def _sales_run(spark, sf_dir, purpose: str, files: int, run_each: bool, **options) -> DataFrame:
+    root = scratch_folder(spark, purpose)
+    run = RetailRun(spark, f"{root}/landing", f"{root}/lake", f"{purpose}_{uuid.uuid4().hex[:12]}_", **options)
+    create_layers(spark, run.root, run.prefix)
+    for number in (0, 1, 2):
+        _land_sales(spark, sf_dir, number, run.landing, files)
+        if run_each or number == 2:
+            run.ingest("sales")
+            run.clean("sales")
+    silver = run.table("silver", FEEDS["sales"].table)
+    return comparable(silver.drop("_ingest_timestamp", "_source_file", ORDER))
+
+
+def corrected_sales(spark, sf_dir):
+    """Clean sales after three deliveries that repeat and correct each other's sales."""
+    return _sales_run(spark, sf_dir, "corrected", 8, True)
+
+
+def cut_batches(spark, sf_dir):
+    """The same sales landed at one time and ingested file by file."""
+    return _sales_run(spark, sf_dir, "cut", 2, False, max_files_per_batch=1)
+
+
 def rerun_daily_sales(spark, sf_dir):
     run = _run_three_times(spark, sf_dir, "rerun")
     return comparable(run.table("gold", "fact_daily_sales"))
@@ -520,6 +626,10 @@ QUERIES: dict[str, Query] = {
     "ingest_typed": ingest_typed,
     "schema_evolution": schema_evolution,
     "rescued_rows": rescued_rows,
+    "rescued_documents": rescued_documents,
+    "ingest_reordered": ingest_reordered,
+    "compact_then_ingest": compact_then_ingest,
+    "append_after_ingest": append_after_ingest,
     "upsert": upsert,
     "append_new": append_new,
     "overwrite": overwrite,
@@ -534,5 +644,8 @@ QUERIES: dict[str, Query] = {
     "governed_dim": governed_dim,
     "governed_dim_admin": governed_dim_admin,
     "governed_sql": governed_sql,
+    "alerts_after_restock": alerts_after_restock,
     "rerun_daily_sales": rerun_daily_sales,
+    "corrected_sales": corrected_sales,
+    "cut_batches": cut_batches,
 }

@@ -1,11 +1,14 @@
 """The whole run: landing files -> bronze -> clean tables -> dimensions, facts, reports.
 
-Only tables pass between the steps. Ingest and the fact tables move by file streams, so
-a run reads what is new; a run without new files changes nothing but the stock snapshot.
+Only tables pass between the steps. Ingest follows the landing files, clean tables, facts and
+alerts follow the commits of the table before them, so a run reads what is new; a run without
+new files changes nothing but the stock snapshot. Corrections replace older rows by the
+source's own time and move on to the facts, whatever delivery or batch they come in.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
@@ -14,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwork.plans import clean, marts
 from tillwork.sources.ingest import ingest_raw_to_bronze
-from tillwork.sources.schemas import FEED_SCHEMAS, FEEDS, GOLD_TABLES, SILVER_TABLES, Contract
+from tillwork.sources.schemas import FEED_SCHEMAS, FEEDS, GOLD_TABLES, ORDER, SILVER_TABLES, Contract
 from tillwork.sources.tables import create_layers, read_table, write_table
+from tillwork.streaming.alerts import stream_low_stock
 from tillwork.streaming.progress import follow_table
 
 CLEANERS = {
@@ -27,9 +31,9 @@ CLEANERS = {
 }
 
 
-def _write(df: DataFrame, table: str, contract: Contract) -> None:
+def _write(df: DataFrame, table: str, contract: Contract, **options) -> None:
     # Every table of the run is deduplicated or grouped by its key.
-    write_table(df, table, contract.mode, contract.keys, contract.cluster, check_unique=False)
+    write_table(df, table, contract.mode, contract.keys, contract.cluster, check_unique=False, **options)
 
 
 def together(steps: Sequence[Callable[[], None]]) -> None:
@@ -50,7 +54,7 @@ class RetailRun:
         prefix: str = "",
         max_files_per_batch: int | None = None,
     ):
-        """``max_files_per_batch`` cuts a very large first load into several commits."""
+        """``max_files_per_batch`` cuts a very large load into several commits; the result is the same."""
         self.spark, self.landing, self.root, self.prefix = spark, landing, root, prefix
         self.stream_options = (
             {"maxFilesPerTrigger": str(max_files_per_batch)} if max_files_per_batch else {}
@@ -85,30 +89,43 @@ class RetailRun:
             self.spark,
             self.name("bronze", table),
             self.checkpoint(f"{table}_silver"),
-            lambda rows: _write(CLEANERS[feed](rows), self.name("silver", table), SILVER_TABLES[table]),
-            **self.stream_options,
+            lambda rows: _write(
+                CLEANERS[feed](rows), self.name("silver", table), SILVER_TABLES[table], newer_by=ORDER
+            ),
         )
 
-    def _gold(self, df: DataFrame, table: str) -> None:
-        _write(df, self.name("gold", table), GOLD_TABLES[table])
+    def _gold(self, df: DataFrame, table: str, **options) -> None:
+        _write(df, self.name("gold", table), GOLD_TABLES[table], **options)
+
+    def _silver(self, table: str) -> DataFrame:
+        return self.table("silver", table).drop(ORDER)
 
     def _fact(self, source: str, table: str, transform: Callable[[DataFrame], DataFrame]) -> None:
+        """Changed clean rows replace their facts; a row that is no longer valid takes its fact along."""
+        contract = GOLD_TABLES[table]
+
+        def replace(rows: DataFrame) -> None:
+            write_table(
+                transform(rows.drop(ORDER)), self.name("gold", table), "merge", contract.keys, contract.cluster,
+                check_unique=False, replaced_keys=rows,
+            )
+
         follow_table(
-            self.spark,
-            self.name("silver", source),
-            self.checkpoint(table),
-            lambda rows: self._gold(transform(rows), table),
-            **self.stream_options,
+            self.spark, self.name("silver", source), self.checkpoint(table), replace, SILVER_TABLES[source].keys
         )
 
     def customers(self) -> None:
-        customers, crm = self.table("silver", "sql_customers"), self.table("silver", "crm_customers")
+        customers, crm = self._silver("sql_customers"), self._silver("crm_customers")
         self._gold(marts.transfer_silver_to_gold_dim_customer(customers, crm), "dim_customers")
 
-    def products(self) -> None:
-        products = self.table("silver", "sql_products")
+    def products(self, run_id: str | None = None) -> None:
+        """The dimension, and one stock snapshot per run; a retried ``run_id`` adds none."""
+        products = self._silver("sql_products")
         self._gold(marts.transfer_silver_to_gold_dim_products(products), "dim_products")
-        self._gold(marts.transfer_silver_to_gold_fact_inventory(products), "fact_inventory")
+        write_table(
+            marts.transfer_silver_to_gold_fact_inventory(products), self.name("gold", "fact_inventory"), "append",
+            cluster_keys=GOLD_TABLES["fact_inventory"].cluster, batch=run_id,
+        )
 
     def sales(self) -> None:
         self._fact("sql_sales_transactions", "fact_sales", marts.transfer_silver_to_gold_fact_sales)
@@ -122,15 +139,15 @@ class RetailRun:
         self._gold(report, "fact_daily_sales")
 
     def low_stock(self) -> None:
-        gold = partial(self.table, "gold")
-        alerts = marts.low_stock_alert(
-            df_dim_prod=gold("dim_products"),
-            df_fct_clicks=gold("fact_clicks"),
-            df_fct_inven=gold("fact_inventory"),
+        """Alerts for the clicks that are new, by the stock as it is now."""
+        gold = partial(self.name, "gold")
+        stream_low_stock(
+            self.spark, gold("fact_clicks"), gold("dim_products"), gold("fact_inventory"),
+            gold("fact_low_stock_alert"), self.checkpoint("fact_low_stock_alert"),
         )
-        self._gold(alerts, "fact_low_stock_alert")
 
-    def run(self) -> None:
+    def run(self, run_id: str | None = None) -> None:
+        """Bring everything up to date. Give a run that is retried the same ``run_id``."""
         create_layers(self.spark, self.root, self.prefix)
 
         def bring_in(feed: str) -> None:
@@ -138,5 +155,5 @@ class RetailRun:
             self.clean(feed)
 
         together([partial(bring_in, feed) for feed in FEEDS])
-        together([self.customers, self.products, self.sales, self.clicks])
+        together([self.customers, partial(self.products, run_id or uuid.uuid4().hex), self.sales, self.clicks])
         together([self.daily_sales, self.low_stock])

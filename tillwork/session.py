@@ -34,11 +34,17 @@ def build_session(app: str = "tillwork", master: str | None = None, **settings:
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
-    Without the setting only a local session may go on, in a temporary folder.
+    Without the setting only a session without executors, as in tests, may go on, in a
+    temporary folder.
     """
     shared = spark.conf.get(CHECKPOINT_SETTING, None)
     if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local["):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="tillwork-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,177 +1,214 @@
 """Incremental file ingest: landing folder -> bronze table.
 
-One file stream per feed reads what arrived since the last run and stops. The stream's
-checkpoint and Spark's file sink make each file count once. Feed columns are kept as
-text, as cleaning is the next step's work, unless the feed's schema types them.
-
-The column list of a feed is remembered beside its checkpoint. When a file brings a
-column that is not on the list, the stream stops before it commits; the new files are
-scanned for their columns, the list and the table grow, and the stream starts again.
+A file stream lists the files that arrived since the last run, however old they are, and hands
+them over in batches. A batch is read by the reader of its format, its columns are found by
+name, and it is committed to the table under the batch's name, so each file counts once. Feed
+columns are kept as text, as cleaning is the next step's work, unless the feed's schema or an
+inferred one types them.
+
+The column list of a feed is remembered beside its checkpoint and grows with the files.
+Columns are told apart without regard to case; a second spelling is rescued, not lost.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException, StreamingQueryException
+import json
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import AtomicType, StringType, StructField, StructType
 
-from tillwork.sources.schemas import (
-    ARRIVAL,
-    RESCUED,
-    SOURCE_FILE,
-    text_schema,
-)
-from tillwork.sources.tables import table_folder
+from tillwork.sources.schemas import ARRIVAL, FILE_TIME, RESCUED, SOURCE_FILE, text_schema
+from tillwork.sources.tables import write_table
 
-NEW_COLUMN = "file brings columns that are not in the feed's schema"
 _CORRUPT = "_corrupt_record"
 _EXTRA = "_extra_value"
-_LOG_SCHEMA = "version LONG, columns ARRAY<STRING>, files_until STRING"
-# Start of a run in UTC, one hour early in case the storage's clock is behind.
-_NOW = """date_format(
-    to_utc_timestamp(current_timestamp() - INTERVAL 1 HOUR, current_timezone()),
-    "yyyy-MM-dd'T'HH:mm:ss")"""
+_LOG_SCHEMA = "version LONG, feed_schema STRING"
+_FILES = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
+HEADER_READERS = 16
+# Options of the reader that are the file stream's own.
+STREAM_OPTIONS = ("maxfilespertrigger", "pathglobfilter", "recursivefilelookup")
 
 
 class SchemaLog:
-    """Column lists a feed has had, and up to when its files were seen; append-only."""
+    """The columns a feed has had, with their types; append-only."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def last(self):
+    def last(self) -> StructType | None:
+        row = self._last()
+        return StructType.fromJson(json.loads(row["feed_schema"])) if row else None
+
+    def _last(self):
         try:
             log = self.spark.read.schema(_LOG_SCHEMA).json(self.folder)
         except AnalysisException:
             return None
         return log.orderBy(F.desc("version")).first()
 
-    def add(self, version: int, columns: list[str], files_until: str) -> None:
+    def add(self, schema: StructType) -> None:
+        last = self._last()
         row = self.spark.range(1).select(
-            F.lit(version).cast("long").alias("version"),
-            F.array(*[F.lit(name) for name in columns]).alias("columns"),
-            F.lit(files_until).alias("files_until"),
+            F.lit(last["version"] + 1 if last else 1).cast("long").alias("version"),
+            F.lit(schema.json()).alias("feed_schema"),
         )
         row.write.mode("append").json(self.folder)
 
 
-def _flag(options: dict[str, str], name: str, default: bool = False) -> bool:
+def _flag(options: dict[str, str], name: str) -> bool:
     given = {key.lower(): str(value).lower() == "true" for key, value in options.items()}
-    return given.get(name.lower(), default)
+    return given.get(name.lower(), False)
 
 
-def _since(options: dict[str, str], files_until: str | None) -> dict[str, str]:
-    if files_until is None:
-        return options
-    return {**options, "modifiedAfter": files_until, "timeZone": "UTC"}
+def _without(options: dict[str, str], *names: str) -> dict[str, str]:
+    return {k: v for k, v in options.items() if k.lower() not in names}
 
 
-def discover_columns(
-    spark: SparkSession,
-    source_path: str,
-    file_format: str,
-    options: dict[str, str],
-    known: list[str],
-    files_until: str | None = None,
-) -> list[str]:
-    """``known`` plus the columns found in files that changed since ``files_until``."""
-    recent = _since(options, files_until)
-    if file_format == "json":
-        try:
-            found = spark.read.options(**{**recent, "primitivesAsString": "true"}).json(source_path).columns
-        except AnalysisException:
-            return known
-        return known + [n for n in found if n not in known and n != _CORRUPT]
-    if not known:
-        return spark.read.options(**options).option("header", True).csv(source_path).columns
-    separator = options.get("sep", options.get("delimiter", ","))
-    time = {key: recent[key] for key in ("modifiedAfter", "timeZone") if key in recent}
-    lines = spark.read.options(**time).text(source_path)
-    first = F.trim(F.split_part(F.regexp_replace("value", '"', ""), F.lit(separator), F.lit(1)))
-    headers = lines.filter(first == known[0]).select(F.regexp_replace("value", '"', "").alias("h"))
-    columns = list(known)
-    for row in headers.distinct().orderBy(F.length("h")).toLocalIterator():
-        names = [name.strip() for name in row["h"].split(separator)]
-        shared = min(len(names), len(columns))
-        if names[:shared] != columns[:shared]:
-            raise ValueError(f"{source_path}: header {names} does not continue {columns}")
-        columns += names[shared:]
-    return columns
-
-
-def _stop_if(condition: Column, value: Column) -> Column:
-    """``value``, or the failure that tells the caller to look for new columns."""
-    return F.when(condition, F.raise_error(F.lit(NEW_COLUMN)).cast("string")).otherwise(value)
-
-
-def _read_csv(spark, source_path, options, columns, add_new_columns) -> DataFrame:
-    """CSV by position, with each file's header row checked against ``columns``.
-
-    Short rows of older files end in nulls. Values beyond the last column are rescued.
+def _known(names: list[str], columns: list[str]) -> tuple[dict[str, str], list[str]]:
+    """File names of known columns, by column, and the names that are none.
+
+    The same spelling goes first; a second name for a column is none.
     """
-    has_header = _flag(options, "header")
-    schema = text_schema([*columns, _EXTRA, _CORRUPT])
-    given = {k: v for k, v in options.items() if k.lower() not in ("header", "inferschema")}
+    found, lower = {n: n for n in names if n in columns}, {c.lower(): c for c in columns}
+    for name in names:
+        column = lower.get(name.lower())
+        if column and column not in found:
+            found[column] = name
+    taken = set(found.values())
+    return found, [n for n in names if n not in taken]
+
+
+def _grown(names: list[str], columns: list[str]) -> list[str]:
+    """``columns`` with the new ones among ``names``; the first spelling names a column."""
+    out, lower = list(columns), {c.lower() for c in columns}
+    for name in names:
+        if name and name.lower() not in lower:
+            out.append(name)
+            lower.add(name.lower())
+    return out
+
+
+# CSV
+
+
+def _headers(spark: SparkSession, files: list[str], options: dict[str, str]) -> dict[tuple[str, ...], list[str]]:
+    """The files by their header; each header is read by itself, several at a time."""
+    plain = {**_without(options, "header", "inferschema"), "header": "false"}
+
+    def header(path: str) -> tuple[str, ...]:
+        first = spark.read.options(**plain).csv(path).first()
+        return tuple((name or "").strip() for name in first or ())
+
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        found = list(pool.map(header, files))
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for path, names in zip(files, found):
+        if names:  # an empty file has no header
+            groups[names].append(path)
+    return dict(groups)
+
+
+def _csv_rows(spark, files, names, columns, options, has_header) -> DataFrame:
+    """Files of one header: values by name, what has no column as JSON, long rows as they are."""
+    places = [f"_{i}" for i in range(len(names))]
     rows = (
-        spark.readStream.schema(schema)
-        .options(**{**given, "header": "false", "columnNameOfCorruptRecord": _CORRUPT})
-        .csv(source_path)
-        .withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+        spark.read.schema(text_schema([*places, _EXTRA, _CORRUPT]))
+        .options(**_without(options, "header", "inferschema"))
+        .options(header=str(has_header).lower(), columnNameOfCorruptRecord=_CORRUPT)
+        .csv(files)
     )
+    found, rest = _known(list(names), columns)
+    at = {n: F.col(p) for n, p in reversed(list(zip(names, places)))}
+    extra = [at[n].alias(n) for n in dict.fromkeys(rest)]
     rescued = F.when(F.col(_EXTRA).isNotNull(), F.coalesce(F.col(_CORRUPT), F.col(_EXTRA)))
-    if has_header:
-        is_header = F.trim(F.col(columns[0])) == columns[0]
-        differs = F.col(_EXTRA).isNotNull() if add_new_columns else F.lit(False)
-        for name in columns[1:]:
-            differs = differs | (F.trim(F.col(name)) != name)
-        checked = _stop_if(is_header & F.coalesce(differs, F.lit(False)), F.lit(None).cast("string"))
-        rows = rows.filter(F.when(is_header, checked.isNotNull()).otherwise(True))
-    return rows.withColumn(RESCUED, rescued).drop(_EXTRA, _CORRUPT)
-
+    if extra:
+        unknown = F.when(F.coalesce(*[at[n] for n in dict.fromkeys(rest)]).isNotNull(), F.to_json(F.struct(*extra)))
+        rescued = F.coalesce(rescued, unknown)
+    return rows.select(
+        *[(at[found[c]] if c in found else F.lit(None).cast("string")).alias(c) for c in columns],
+        rescued.alias(RESCUED),
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.col("_metadata.file_modification_time").alias(FILE_TIME),
+    )
 
-def _read_json_lines(spark, source_path, options, columns, add_new_columns) -> DataFrame:
-    """One JSON document per line; a broken line is rescued as it is.
 
-    Unknown keys stop the stream, or are rescued as JSON when columns are fixed.
-    """
+def _read_csv(spark, files, options, columns, grow) -> tuple[DataFrame | None, list[str]]:
+    has_header = _flag(options, "header")
+    if has_header:
+        groups = _headers(spark, files, options)
+    else:
+        groups = {tuple(columns): files}
+    if grow or not columns:
+        for names in sorted(groups, key=len):
+            columns = _grown(list(names), columns)
+    out = None
+    for names, paths in sorted(groups.items()):
+        part = _csv_rows(spark, paths, names, columns, options, has_header)
+        out = part if out is None else out.unionByName(part)
+    return out, columns
+
+
+# JSON
+
+
+def _documents(spark: SparkSession, files: list[str], options: dict[str, str]) -> DataFrame:
+    """``value``: one JSON document each, from lines or from whole files and their arrays."""
+    meta = [
+        F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_modification_time").alias(FILE_TIME)
+    ]
+    if not _flag(options, "multiLine"):
+        return spark.read.options(**_without(options, "mode")).text(files).select("value", *meta)
+    whole = spark.read.text(files, wholetext=True).select(F.trim("value").alias("whole"), *meta)
+    parse = {"mode": options["mode"]} if "mode" in options else {}
+    listed = F.from_json("whole", "array<string>", parse)
+    is_list = F.ltrim("whole").startswith("[")
+    return whole.where("whole <> ''").withColumn(
+        "values", F.when(is_list, F.coalesce(listed, F.array("whole"))).otherwise(F.array("whole"))
+    ).select(F.explode("values").alias("value"), SOURCE_FILE, FILE_TIME)
+
+
+def _read_json(spark, files, options, columns, grow) -> tuple[DataFrame, list[str]]:
+    """Broken documents are rescued as they are, keys without a column as JSON."""
+    lines = _documents(spark, files, options)
+    if grow or not columns:
+        keys = lines.select(F.explode(F.json_object_keys("value")).alias("key")).distinct()
+        columns = _grown(sorted(r["key"] for r in keys.collect() if r["key"] != _CORRUPT), columns)
     schema = text_schema([*columns, _CORRUPT])
-    lines = spark.readStream.options(**options).text(source_path)
+    parse = {"columnNameOfCorruptRecord": _CORRUPT} | ({"mode": options["mode"]} if "mode" in options else {})
     parsed = lines.select(
-        "value",
-        F.from_json("value", schema, {"columnNameOfCorruptRecord": _CORRUPT}).alias("doc"),
-        F.array_except(
-            F.json_object_keys("value"), F.array(*[F.lit(n) for n in columns])
-        ).alias("unknown"),
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.from_json("value", schema, parse).alias("doc"),
+        F.array_except(F.json_object_keys("value"), F.array(*[F.lit(n) for n in columns])).alias("unknown"),
+        F.from_json("value", "map<string,string>").alias("all"), SOURCE_FILE, FILE_TIME,
     )
-    has_unknown = F.size("unknown") > 0
-    if add_new_columns:
-        rescued = _stop_if(has_unknown, F.col(f"doc.{_CORRUPT}"))
-    else:
-        everything = F.from_json("value", "map<string,string>")
-        extra = F.map_filter(everything, lambda key, _: F.array_contains("unknown", key))
-        rescued = F.when(has_unknown, F.to_json(extra)).otherwise(F.col(f"doc.{_CORRUPT}"))
-    return parsed.select(*[F.col(f"doc.{n}").alias(n) for n in columns], rescued.alias(RESCUED), SOURCE_FILE)
+    extra = F.to_json(F.map_filter("all", lambda key, _: F.array_contains("unknown", key)))
+    rescued = F.when(F.size("unknown") > 0, extra).otherwise(F.col(f"doc.{_CORRUPT}"))
+    return parsed.select(
+        *[F.col(f"doc.{n}").alias(n) for n in columns], rescued.alias(RESCUED), SOURCE_FILE, FILE_TIME
+    ), columns
 
 
-def _read_json_documents(spark, source_path, options, columns) -> DataFrame:
-    """One JSON document or array per file; a broken file is rescued as it is."""
-    schema = text_schema([*columns, _CORRUPT])
-    return (
-        spark.readStream.schema(schema)
-        .options(**{**options, "columnNameOfCorruptRecord": _CORRUPT})
-        .json(source_path)
-        .withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
-        .withColumnRenamed(_CORRUPT, RESCUED)
-    )
+# Types
+
 
+def _inferred(spark, files, file_format, options) -> StructType:
+    """The types Spark finds in the first batch of files; nested values stay text."""
+    reader = spark.read.options(**_without(options, *STREAM_OPTIONS))
+    found = (reader.json(files) if file_format == "json" else reader.csv(files)).schema
+    plain = [f for f in found if f.name != _CORRUPT]
+    return StructType([
+        StructField(f.name.strip(), f.dataType if isinstance(f.dataType, AtomicType) else StringType()) for f in plain
+    ])
 
-def _typed(rows: DataFrame, schema: StructType | None) -> DataFrame:
+
+def _typed(rows: DataFrame, schema: StructType) -> DataFrame:
     """Columns in the types of ``schema``; text that does not fit is rescued as JSON."""
-    types = {f.name: f.dataType for f in schema or [] if f.dataType != StringType()}
+    types = {f.name: f.dataType for f in schema if f.dataType != StringType() and f.name in rows.columns}
     if not types:
         return rows
-    misfits = {
+    misfits: dict[str, Column] = {
         name: F.when(F.col(name).try_cast(kind).isNull(), F.col(name)) for name, kind in types.items()
     }
     any_misfit = F.coalesce(*misfits.values()).isNotNull()
@@ -184,35 +221,6 @@ def _typed(rows: DataFrame, schema: StructType | None) -> DataFrame:
     )
 
 
-def read_raw_stream(
-    spark: SparkSession,
-    source_path: str,
-    file_format: str,
-    options: dict[str, str],
-    columns: list[str],
-    add_new_columns: bool = True,
-    schema: StructType | None = None,
-) -> DataFrame:
-    """Feed columns, rescued data, arrival time and source file."""
-    if file_format == "csv":
-        rows = _read_csv(spark, source_path, options, columns, add_new_columns)
-    elif _flag(options, "multiLine"):
-        rows = _read_json_documents(spark, source_path, options, columns)
-    else:
-        rows = _read_json_lines(spark, source_path, options, columns, add_new_columns)
-    rows = _typed(rows, schema)
-    return rows.select(*columns, RESCUED, F.current_timestamp().alias(ARRIVAL), SOURCE_FILE)
-
-
-def _grow_table(spark: SparkSession, table: str, columns: list[str]) -> None:
-    if spark.catalog.tableExists(table):
-        stored = spark.table(table).columns
-        new = [f"`{n}` STRING" for n in columns if n not in stored]
-        if new:
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
-            spark.catalog.refreshTable(table)
-
-
 def ingest_raw_to_bronze(
     spark: SparkSession,
     source_path: str,
@@ -227,48 +235,53 @@ def ingest_raw_to_bronze(
 
     ``file_format`` is ``csv`` or ``json`` (JSON lines, or one document or array per
     file with option ``multiLine``). ``schema`` names the feed's columns; without it
-    they are taken from the first files. A column it gives a type other than string is
-    cast, and a value that does not fit goes to ``_rescued_data``. CSV files may add columns at the end; a header
-    that renames or reorders columns is an error. With ``add_new_columns=False`` the
-    columns stay fixed and unknown data goes to ``_rescued_data``.
+    they are taken from the first files, with their types if option ``inferSchema`` is
+    true. A column with a type other than string is cast, and a value that does not fit
+    goes to ``_rescued_data``. CSV columns go by the names in each file's header, in any
+    order and case. With ``add_new_columns=False`` the columns stay fixed and unknown data
+    goes to ``_rescued_data``.
     """
     if file_format not in ("csv", "json"):
         raise ValueError(f"file format {file_format!r} is not supported; use csv or json")
     options = {"header": "true"} if file_format == "csv" else {}
     options.update(extra_read_options or {})
+    own = {k: v for k, v in options.items() if k.lower() in STREAM_OPTIONS}
+    options = _without(options, *STREAM_OPTIONS)
     log = SchemaLog(spark, f"{checkpoint_path}/schema")
-    last = log.last()
-    columns = list(last["columns"]) if last else [f.name for f in schema or []]
-    files_until = last["files_until"] if last else None
-
-    # A file with many documents drops unknown keys silently, so it is looked at first.
-    look_first = file_format == "json" and _flag(options, "multiLine") and add_new_columns
-    if not columns or look_first:
-        columns = discover_columns(spark, source_path, file_format, options, columns, files_until)
-
-    started = spark.range(1).select(F.expr(_NOW).alias("now")).first()["now"]
-    while True:
-        _grow_table(spark, target_table, columns)
-        rows = read_raw_stream(
-            spark, source_path, file_format, options, columns, add_new_columns, schema
-        )
-        query = (
-            rows.writeStream.format("parquet")
-            .outputMode("append")
-            .option("path", f"{table_folder(spark, target_table)}/data")
-            .option("checkpointLocation", f"{checkpoint_path}/write")
-            .trigger(availableNow=True)
-            .toTable(target_table)
+    read = _read_csv if file_format == "csv" else _read_json
+
+    def add(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        files = sorted(r["path"] for r in batch.collect())
+        if not files:
+            return
+        logged = log.last()
+        feed = logged or schema
+        if feed is None:
+            plain = _without(options, "inferschema")
+            feed = _inferred(session, files, file_format, options if _flag(options, "inferSchema") else plain)
+            if not _flag(options, "inferSchema"):
+                feed = StructType([StructField(f.name, StringType()) for f in feed])
+        rows, columns = read(session, files, options, feed.names, add_new_columns)
+        if rows is None:
+            return
+        feed = StructType([*feed, *[StructField(n, StringType()) for n in columns if n not in feed.names]])
+        if feed != logged:
+            log.add(feed)
+        rows = _typed(rows, feed).select(
+            *columns, RESCUED, F.current_timestamp().alias(ARRIVAL), SOURCE_FILE, FILE_TIME
         )
-        try:
-            query.awaitTermination()
-            break
-        except StreamingQueryException as failure:
-            if NEW_COLUMN not in str(failure):
-                raise
-            grown = discover_columns(spark, source_path, file_format, options, columns, files_until)
-            if grown == columns:
-                raise
-            columns = grown
-    spark.catalog.refreshTable(target_table)
-    log.add(last["version"] + 1 if last else 1, columns, started)
+        write_table(rows, target_table, "append", batch=f"{checkpoint_path}#{number}")
+
+    query = (
+        spark.readStream.format("binaryFile").schema(_FILES).options(**own)
+        .option("maxFileAge", "36500d")  # the default leaves out files a week older than the newest
+        .load(source_path).select("path")  # the content isn't read here
+        .writeStream.foreachBatch(add)
+        .option("checkpointLocation", f"{checkpoint_path}/write")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    if spark.catalog.tableExists(target_table):
+        spark.catalog.refreshTable(target_table)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tillwork.sources.schemas import ARRIVAL, RESCUED, SOURCE_FILE
@@ -30,21 +27,14 @@ def land_json_lines(df: DataFrame, folder: str) -> None:
     raw_columns(df).write.mode("append").json(folder)
 
 
-def _bracketed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The lines of one partition as one JSON array, without holding them all."""
-    opening = "["
-    for batch in batches:
-        documents = batch["value"].tolist()
-        if documents:
-            yield pd.DataFrame({"value": [opening + documents[0]] + ["," + d for d in documents[1:]]})
-            opening = ","
-    yield pd.DataFrame({"value": ["]" if opening == "," else "[]"]})
-
-
-def land_json_array(df: DataFrame, folder: str) -> None:
+def land_json_array(df: DataFrame, folder: str, rows_per_file: int = 2000) -> None:
     """One JSON array per file."""
-    documents = raw_columns(df).select(F.to_json(F.struct("*")).alias("value"))
-    documents.mapInPandas(_bracketed, "value string").write.mode("append").text(folder)
+    documents = raw_columns(df).select(F.to_json(F.struct("*")).alias("doc"))
+    files = documents.count() // rows_per_file + 1
+    arrays = documents.groupBy(F.pmod(F.xxhash64("doc"), F.lit(files))).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("doc"), ",\n"), F.lit("]")).alias("value")
+    )
+    arrays.select("value").write.mode("append").option("maxRecordsPerFile", 1).text(folder)
 
 
 LANDERS = {

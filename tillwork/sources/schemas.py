@@ -9,6 +9,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 RESCUED = "_rescued_data"
 ARRIVAL = "ingesttime"
 SOURCE_FILE = "file_name"
+FILE_TIME = "file_time"  # when the file was last changed; ingest adds it
+ORDER = "_order"  # of a cleaned row among the versions of its key
 
 
 def text_schema(names: list[str]) -> StructType:
@@ -74,9 +76,9 @@ class Contract:
     cluster: tuple[str, ...]
 
 
-# Table names, write modes, keys and clustering columns. The daily report
-# is computed in full each time and replaces itself, as merging would keep groups that
-# no longer occur after a customer or product changed, and count their sales twice.
+# Table names, write modes, keys and clustering columns. The dimensions and the
+# daily report are computed in full each time and replace themselves; merging the report
+# would keep groups that no longer occur after a customer or product changed.
 SILVER_TABLES = {
     "sql_customers": Contract("merge", ("customer_id",), ("customer_id",)),
     "crm_customers": Contract("merge", ("customer_id",), ("customer_id",)),
@@ -85,8 +87,8 @@ SILVER_TABLES = {
     "clickstream": Contract("append", ("event_id",), ("customer_id", "product_id")),
 }
 GOLD_TABLES = {
-    "dim_customers": Contract("merge", ("customer_id",), ("customer_id",)),
-    "dim_products": Contract("merge", ("product_id",), ("product_id",)),
+    "dim_customers": Contract("overwrite", ("customer_id",), ("customer_id",)),
+    "dim_products": Contract("overwrite", ("product_id",), ("product_id",)),
     "fact_inventory": Contract("append", ("product_id", "_gold_updated_at"), ("product_id",)),
     "fact_sales": Contract("append", ("transaction_id",), ("customer_id", "product_id")),
     "fact_clicks": Contract("append", ("event_id",), ("customer_id",)),

@@ -1,33 +1,93 @@
 """Catalog tables on plain parquet: create, overwrite, append, upsert, compact.
 
-A table is an external parquet table. Overwrite, merge and compact write a new folder
-beside the current one and then point the table at it, so a reader keeps the files it
-started with and a failed job leaves the table as it was. Appends add files to the
-current folder. One writer per table at a time; superseded folders are left to the
-storage's own retention.
+A table is an external parquet table whose folder holds versions (``live-...``), each a
+folder of row folders, and a list of commits. An append adds a row folder to the current
+version; overwrite, merge with replaced rows and compact write a new version and then point
+the table at it, so a reader keeps the files it started with and a failed job leaves the
+table as it was. Each commit is listed with its kind, its version's folder and the folder of
+the rows it brought. The list is what other jobs follow, and what a new process or a lost
+catalog registers the tables from. One writer per table at a time.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tillwork.session import scratch_folder
+from tillwork.session import remove_folder, scratch_folder
 
 # Layer names and write modes.
 LAYERS = ("bronze", "silver", "gold")
 WRITE_MODES = ("merge", "append", "overwrite")
 
 
+COMMIT = "version LONG, kind STRING, location STRING, changes STRING, batch STRING, table_schema STRING"
+VERSION = "tillwork.version"  # table property: the last commit the catalog knows
+
+
 def create_layers(spark: SparkSession, root: str, prefix: str = "") -> None:
-    """One database per layer, its tables under ``root/<layer>``."""
+    """One database per layer, its tables under ``root/<layer>``.
+
+    Tables that an earlier process wrote there are registered from their commit lists.
+    """
     for layer in LAYERS:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{layer}` LOCATION '{root}/{layer}'")
+        try:
+            listed = spark.read.schema(COMMIT).json(f"{root}/{layer}/*/commits")
+        except AnalysisException:
+            continue  # no table yet
+        table = F.element_at(F.split("_metadata.file_path", "/"), -3).alias("table")
+        last = listed.groupBy(table).agg(F.max_by(F.struct("*"), "version").alias("commit"))
+        for row in last.collect():
+            _register(spark, f"{prefix}{layer}.{row['table']}", row["commit"])
+
+
+def _register(spark: SparkSession, name: str, commit) -> None:
+    """Bring the catalog's entry of a table to its last commit."""
+    schema = StructType.fromJson(json.loads(commit["table_schema"]))
+    if not spark.catalog.tableExists(name):
+        _catalog_entry(spark, name, commit["location"], schema, commit["version"])
+    elif _version(spark, name) < commit["version"]:
+        _switch(spark, name, commit["location"], schema, commit["version"])
+
+
+def _catalog_entry(spark: SparkSession, name: str, location: str, schema: StructType, version: int) -> None:
+    spark.catalog.createTable(name, path=location, source="parquet", schema=schema, recursiveFileLookup="true")
+    _set_version(spark, name, version)
+
+
+def _set_version(spark: SparkSession, name: str, version: int) -> None:
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{VERSION}' = '{version}')")
+
+
+def _version(spark: SparkSession, name: str) -> int:
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == VERSION).first()
+    return int(found["value"]) if found else 0
+
+
+def commits(spark: SparkSession, name: str) -> DataFrame:
+    """The commits of a table, one row each."""
+    return spark.read.schema(COMMIT).json(f"{table_folder(spark, name)}/commits")
+
+
+def _commit(
+    spark: SparkSession, name: str, version: int, kind: str, location: str, changes: str | None,
+    schema: StructType, batch: str | None,
+) -> None:
+    """List a commit; from here on it counts, the catalog follows."""
+    row = spark.range(1).select(
+        F.lit(version).cast("long").alias("version"), F.lit(kind).alias("kind"), F.lit(location).alias("location"),
+        F.lit(changes).cast("string").alias("changes"), F.lit(batch).cast("string").alias("batch"),
+        F.lit(schema.json()).alias("table_schema"),
+    )
+    row.write.mode("append").json(f"{table_folder(spark, name)}/commits")
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -53,16 +113,28 @@ def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(and_, [left[key].eqNullSafe(right[key]) for key in keys])
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back.
+class Stage:
+    """DataFrames written once to the shared folder and read back; removed at the end.
 
-    A merge reads its source several times; from files that costs no recomputation,
+    A keyed write reads its rows several times; from files that costs no recomputation,
     survives lost executors, and lets Spark see the size when it picks a join.
     """
-    spark = df.sparkSession
-    folder = scratch_folder(spark, purpose)
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, []
+
+    def __enter__(self) -> Stage:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for folder in self.folders:
+            remove_folder(self.spark, folder)
+
+    def keep(self, df: DataFrame, purpose: str) -> DataFrame:
+        folder = scratch_folder(self.spark, purpose)
+        self.folders.append(folder)
+        df.write.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
@@ -101,71 +173,101 @@ def _to_table_types(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*known, *[n for n in df.columns if n not in schema.names])
 
 
-def _new_version(df: DataFrame, name: str, options: dict[str, str]) -> str:
-    location = f"{table_folder(df.sparkSession, name)}/version-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(location)
-    return location
+def _folder(spark: SparkSession, name: str, kind: str) -> str:
+    return f"{table_folder(spark, name)}/{kind}-{uuid.uuid4().hex}"
 
 
-def _switch(spark: SparkSession, name: str, location: str, schema: StructType) -> None:
+def _rows_folder(location: str) -> str:
+    return f"{location}/rows-{uuid.uuid4().hex}"
+
+
+def _switch(spark: SparkSession, name: str, location: str, schema: StructType, version: int) -> None:
     _add_columns(spark, name, schema)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+    if current_location(spark, name).rstrip("/") != location:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+    _set_version(spark, name, version)
     spark.catalog.refreshTable(name)
 
 
-def _create(df: DataFrame, name: str, keys, cluster_keys, options, check: bool) -> None:
+def _new_version(
+    df: DataFrame, name: str, kind: str, cluster_keys, options, changes: str | None = None, batch: str | None = None
+) -> None:
+    """Write all rows of the table anew and point the table at them."""
+    spark = df.sparkSession
+    location = _folder(spark, name, "live")
+    _laid_out(df, cluster_keys).write.options(**options).parquet(_rows_folder(location))
+    version = _version(spark, name) + 1
+    _commit(spark, name, version, kind, location, changes, df.schema, batch)
+    _switch(spark, name, location, df.schema, version)
+
+
+def _create(df: DataFrame, name: str, keys, cluster_keys, options, check: bool, batch: str | None) -> None:
     spark = df.sparkSession
-    location = _new_version(_laid_out(df, cluster_keys), name, options)
+    location = _folder(spark, name, "live")
+    rows = _rows_folder(location)
+    _laid_out(df, cluster_keys).write.options(**options).parquet(rows)
     if keys and check:
-        require_unique(spark.read.schema(df.schema).parquet(location), keys, name)
-    spark.catalog.createTable(name, path=location, source="parquet", schema=df.schema)
+        require_unique(spark.read.schema(df.schema).parquet(rows), keys, name)
+    _commit(spark, name, 1, "create", location, rows, df.schema, batch)
+    _catalog_entry(spark, name, location, df.schema, 1)
 
 
-def _overwrite(df: DataFrame, name: str, cluster_keys, options: dict[str, str]) -> None:
+def _add_rows(df: DataFrame, name: str, cluster_keys, options: dict[str, str], batch: str | None) -> None:
+    """Add rows to the current version, in a folder of their own."""
     spark = df.sparkSession
-    rows = _to_table_types(df, spark.table(name).schema)
-    location = _new_version(_laid_out(rows, cluster_keys), name, options)
-    _switch(spark, name, location, rows.schema)
+    location = current_location(spark, name).rstrip("/")
+    rows = _rows_folder(location)
+    _laid_out(df, cluster_keys).write.options(**options).parquet(rows)
+    version = _version(spark, name) + 1
+    schema = _merged_schema(spark.table(name).schema, df.schema)
+    _commit(spark, name, version, "append", location, rows, schema, batch)
+    _switch(spark, name, location, schema, version)
 
 
-def _append(df: DataFrame, name: str, keys, options: dict[str, str], check: bool) -> None:
-    """Add rows; with ``keys`` only those whose key the table does not hold yet.
+def _merged_schema(known: StructType, given: StructType) -> StructType:
+    return StructType([*known, *[f for f in given if f.name not in known.names]])
 
-    The table's key columns are first reduced to the keys that also occur in ``df``.
-    With a small ``df`` Spark broadcasts its keys for that, so the large table is
-    scanned but not shuffled.
+
+def _put(
+    df: DataFrame, name: str, keys: Sequence[str], cluster_keys, options, check: bool, batch: str | None,
+    replace: bool, newer_by: str | None, removed: DataFrame | None,
+) -> None:
+    """Rows by key: new keys are added; known ones replaced, kept, or replaced by newer rows.
+
+    The table's keys are first reduced to those that also occur in ``df``. With a small
+    ``df`` Spark broadcasts its keys for that, so the large table is scanned for its key
+    columns and not shuffled. Only if rows are to be replaced is a new version written.
     """
     spark = df.sparkSession
     target = read_table(spark, name)
-    rows = _to_table_types(df, target.schema)
-    if keys:
-        rows = staged(rows, "append")
+    with Stage(spark) as stage:
+        rows = stage.keep(_to_table_types(df, target.schema), "put")
         if check:
             require_unique(rows, keys, name)
-        offered, stored = rows.select(*keys), target.select(*keys)
-        present = stored.join(offered, same_key(stored, offered, keys), "left_semi")
-        rows = rows.join(present, same_key(rows, present, keys), "left_anti")
-    _add_columns(spark, name, rows.schema)
-    location = current_location(spark, name)
-    rows.hint("rebalance").write.mode("append").options(**options).parquet(location)
-    spark.catalog.refreshTable(name)
-
-
-def _merge(df: DataFrame, name: str, keys, cluster_keys, options, check: bool) -> None:
-    """Replace rows whose key occurs in ``df``, keep the others, add the new ones."""
-    spark = df.sparkSession
-    target = read_table(spark, name)
-    missing = [n for n in target.columns if n not in df.columns]
-    if missing:
-        raise ValueError(f"{name}: a merge replaces whole rows, but columns {missing} are missing")
-    source = staged(_to_table_types(df, target.schema), "merge")
-    if check:
-        require_unique(source, keys, name)
-    replaced = source.select(*keys)
-    kept = target.join(replaced, same_key(target, replaced, keys), "left_anti")
-    merged = kept.unionByName(source, allowMissingColumns=True)
-    location = _new_version(_laid_out(merged, cluster_keys), name, options)
-    _switch(spark, name, location, merged.schema)
+        asked = rows.select(*keys) if removed is None else stage.keep(removed.select(*keys).distinct(), "asked")
+        known = target.select(*keys, *([newer_by] if newer_by else []))
+        present = stage.keep(known.join(asked, same_key(known, asked, keys), "left_semi"), "present")
+        hit = present.select(*keys)
+        if newer_by:
+            stored = present.withColumnRenamed(newer_by, "__stored")
+            # As structs, a missing value comes before all others.
+            offered, held = F.struct(rows[newer_by].alias("at")), F.struct(stored["__stored"].alias("at"))
+            older = same_key(rows, stored, keys) & ~(offered > held)
+            rows = rows.join(stored, older, "left_anti")
+            hit = present.join(rows, same_key(present, rows, keys), "left_semi").select(*keys)
+        elif not replace:
+            rows, hit = rows.join(hit, same_key(rows, hit, keys), "left_anti"), None
+        if hit is None or hit.isEmpty():
+            if not rows.isEmpty():
+                _add_rows(rows, name, cluster_keys, options, batch)
+            return
+        changes = _folder(spark, name, "changes")
+        rows.write.parquet(changes)
+        rows = spark.read.schema(rows.schema).parquet(changes)
+        kept = target.join(hit, same_key(target, hit, keys), "left_anti")
+        _new_version(
+            kept.unionByName(rows, allowMissingColumns=True), name, "merge", cluster_keys, options, changes, batch
+        )
 
 
 def write_table(
@@ -176,16 +278,25 @@ def write_table(
     cluster_keys: Sequence[str] | None = None,
     option_dict: dict[str, str] | None = None,
     check_unique: bool = True,
+    newer_by: str | None = None,
+    replaced_keys: DataFrame | None = None,
+    batch: str | None = None,
 ) -> None:
     """Write ``df`` to a catalog table, creating it when missing.
 
     ``merge`` updates rows by ``merge_key`` and inserts the rest; ``append`` adds rows,
     with ``merge_key`` only those with a new key, so a repeated run adds nothing;
     ``overwrite`` replaces the rows. Keys match null-safe and must be unique in ``df``.
-    New columns are added to the table. ``cluster_keys`` order the files whenever a
-    whole version is written. ``option_dict`` goes to the parquet writer. Rows that are
-    unique by construction, such as the result of a group by, need no ``check_unique``,
-    which saves a shuffle of the keys.
+
+    With ``newer_by``, a column that both sides can be ordered by, a keyed write of either
+    mode replaces a stored row by a newer one and never by an older or equal one, so the
+    result doesn't depend on how deliveries are cut or ordered. With ``replaced_keys`` a
+    merge removes the stored rows of these keys, also where ``df`` has none in exchange.
+
+    New columns are added to the table. ``cluster_keys`` order the files of every write.
+    ``option_dict`` goes to the parquet writer. Rows that are unique by construction, such as
+    the result of a group by, need no ``check_unique``, which saves a shuffle of the keys. A
+    write whose ``batch`` name the table already lists is skipped.
     """
     mode = write_mode.lower()
     if mode not in WRITE_MODES:
@@ -193,16 +304,25 @@ def write_table(
     keys = [merge_key] if isinstance(merge_key, str) else list(merge_key or [])
     if mode == "merge" and not keys:
         raise ValueError(f"merging into {table_name} needs a merge_key")
-    options = dict(option_dict or {})
-
-    if not df.sparkSession.catalog.tableExists(table_name):
-        _create(df, table_name, keys, cluster_keys, options, check_unique)
-    elif mode == "merge":
-        _merge(df, table_name, keys, cluster_keys, options, check_unique)
-    elif mode == "append":
-        _append(df, table_name, keys, options, check_unique)
+    spark, options = df.sparkSession, dict(option_dict or {})
+
+    if not spark.catalog.tableExists(table_name):
+        _create(df, table_name, keys, cluster_keys, options, check_unique, batch)
+        return
+    if batch and not commits(spark, table_name).where(F.col("batch") == batch).isEmpty():
+        return
+    schema = spark.table(table_name).schema
+    if mode == "overwrite":
+        _new_version(_to_table_types(df, schema), table_name, "overwrite", cluster_keys, options, None, batch)
+    elif keys:
+        missing = [n for n in schema.names if n not in df.columns]
+        if mode == "merge" and missing:
+            raise ValueError(f"{table_name}: a merge replaces whole rows, but columns {missing} are missing")
+        _put(
+            df, table_name, keys, cluster_keys, options, check_unique, batch, mode == "merge", newer_by, replaced_keys
+        )
     else:
-        _overwrite(df, table_name, cluster_keys, options)
+        _add_rows(_to_table_types(df, schema), table_name, cluster_keys, options, batch)
 
 
 def compact(
@@ -211,7 +331,29 @@ def compact(
     cluster_keys: Sequence[str] | None = None,
     option_dict: dict[str, str] | None = None,
 ) -> None:
-    """Rewrite a table's files in even sizes, clustered if keys are given."""
+    """Rewrite a table's files in even sizes, clustered if keys are given.
+
+    The commit brings no rows, so jobs that follow the table read nothing again.
+    """
     table = read_table(spark, table_name)
-    location = _new_version(_laid_out(table, cluster_keys), table_name, dict(option_dict or {}))
-    _switch(spark, table_name, location, table.schema)
+    _new_version(table, table_name, "compact", cluster_keys, dict(option_dict or {}))
+
+
+def expire_versions(spark: SparkSession, table_name: str, keep: int = 2) -> None:
+    """Delete the folders that only commits before the last ``keep`` refer to.
+
+    Jobs that follow the table must have read these commits, and readers of old versions
+    must have ended.
+    """
+    listed = commits(spark, table_name)
+    last = listed.agg(F.max("version")).first()[0]
+    folders = listed.select("version", F.explode(F.array("location", "changes")).alias("folder")).where(
+        "folder is not null"
+    )
+    used = folders.where(F.col("version") > last - keep).select("folder")
+    # Row folders lie inside their version's folder and go with it.
+    old = [r["folder"] for r in folders.select("folder").distinct().join(used, "folder", "left_anti").collect()]
+    current = current_location(spark, table_name).rstrip("/")
+    for folder in old:
+        if not folder.startswith(current):
+            remove_folder(spark, folder)

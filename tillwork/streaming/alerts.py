@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwork.plans.marts import low_stock_alert
 from tillwork.sources.schemas import GOLD_TABLES
-from tillwork.sources.tables import read_table, write_table
+from tillwork.sources.tables import commits, read_table, write_table
 from tillwork.streaming.progress import follow_table
 
 
+def latest_snapshot(spark: SparkSession, inventory_table: str) -> DataFrame:
+    """The rows of the last commit: every run adds one snapshot of all products."""
+    last = commits(spark, inventory_table).where("changes is not null").orderBy(F.desc("version")).first()
+    table = read_table(spark, inventory_table)
+    return spark.read.schema(table.schema).parquet(last["changes"]) if last else table
+
+
 def stream_low_stock(
     spark: SparkSession,
     clicks_table: str,
@@ -17,7 +24,6 @@ def stream_low_stock(
     inventory_table: str,
     alert_table: str,
     checkpoint: str,
-    **options: str,
 ) -> None:
     """Append an alert for every new add-to-cart event on a product low on stock.
 
@@ -31,8 +37,9 @@ def stream_low_stock(
         alerts = low_stock_alert(
             df_dim_prod=read_table(session, products_table),
             df_fct_clicks=clicks,
-            df_fct_inven=read_table(session, inventory_table),
+            df_fct_inven=latest_snapshot(session, inventory_table),
         )
-        write_table(alerts, alert_table, contract.mode, contract.keys, contract.cluster)
+        # An event occurs once in the clicks, so the alerts are unique, too.
+        write_table(alerts, alert_table, contract.mode, contract.keys, contract.cluster, check_unique=False)
 
-    follow_table(spark, clicks_table, checkpoint, alert, **options)
+    follow_table(spark, clicks_table, checkpoint, alert, contract.keys)

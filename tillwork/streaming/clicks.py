@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from tillwork.functions import upper_trim
-from tillwork.plans.clean import click_columns, with_audit
-from tillwork.sources.schemas import ARRIVAL
+from tillwork.plans.clean import bronze_clickstream
+from tillwork.sources.schemas import SILVER_TABLES
+from tillwork.sources.tables import write_table
 
 
-def stream_clickstream(df_bronze: DataFrame, resend_window: str = "1 day", salts: int = 16) -> DataFrame:
-    """Cleaned events, each event id once.
+def stream_clickstream(df_bronze: DataFrame, table: str, checkpoint: str) -> None:
+    """Clean the events that arrived since the last call into ``table``, each event id once.
 
-    The batch transform keeps the latest arrival of an event, this one the first:
-    repeats are dropped while they arrive within ``resend_window`` of it, which bounds
-    the state. Event ids are first made unique per salt and then overall, so an event
-    that is sent very often does not go to one task row by row. Use RocksDB state for
-    a large window.
+    The batch transform keeps the latest arrival of an event, this one the first of the
+    earliest batch. The table is the state: an event may come or come again at any time,
+    and a batch that runs twice adds nothing.
     """
-    keyed = df_bronze.withColumn("event_id", upper_trim("event_id")).withWatermark(ARRIVAL, resend_window)
-    if salts > 1:
-        keyed = (
-            keyed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-            .dropDuplicatesWithinWatermark(["event_id", "_salt"])
-            .drop("_salt")
+    contract = SILVER_TABLES["clickstream"]
+
+    def add(batch: DataFrame, _: int) -> None:
+        write_table(
+            bronze_clickstream(batch), table, contract.mode, contract.keys, contract.cluster, check_unique=False
         )
-    unique = keyed.dropDuplicatesWithinWatermark(["event_id"])
-    return with_audit(click_columns(unique), "clicks")
+
+    query = (
+        df_bronze.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()

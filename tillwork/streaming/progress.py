@@ -1,10 +1,14 @@
-"""Tables that follow another table by a file stream."""
+"""Tables that follow another table by its commits."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tillwork.operators.dedup import latest_per_key
+from tillwork.sources.tables import commits, read_table
 
 
 def follow_table(
@@ -12,20 +16,31 @@ def follow_table(
     source_table: str,
     checkpoint: str,
     step: Callable[[DataFrame], None],
-    **options: str,
+    latest_by: Sequence[str] | None = None,
 ) -> None:
-    """Hand the rows that were added to ``source_table`` since the last call to ``step``.
+    """Hand the rows that commits brought to ``source_table`` since the last call to ``step``.
 
-    A batch may be handed over again after a failure, so ``step`` has to be a keyed
-    write. The source only grows; a table whose rows are replaced cannot be followed.
-    After the source is compacted its files are new, so all rows are handed over again.
+    Rows that a commit replaced are handed over in their new form; compaction brings no rows.
+    With ``latest_by``, keys of the source, only the last form of a key is handed over. The
+    progress is noted after ``step``, so a batch may be handed over again after a failure and
+    ``step`` has to be a keyed write. A table that was overwritten cannot be followed.
     """
-    query = (
-        spark.readStream.options(**options)
-        .table(source_table)
-        .writeStream.foreachBatch(lambda batch, _: step(batch))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    try:
+        done = spark.read.schema("version LONG").json(checkpoint).agg(F.max("version")).first()[0] or 0
+    except AnalysisException:
+        done = 0
+    new = commits(spark, source_table).where(F.col("version") > done).orderBy("version").collect()
+    if not new:
+        return
+    if any(c["kind"] == "overwrite" for c in new):
+        raise ValueError(f"{source_table} was overwritten and can't be followed")
+    schema, rows = read_table(spark, source_table).schema, None
+    for commit in new:
+        if commit["changes"]:
+            part = spark.read.schema(schema).parquet(commit["changes"]).withColumn("__commit", F.lit(commit["version"]))
+            rows = part if rows is None else rows.unionAll(part)
+    if rows is not None:
+        if latest_by and len(new) > 1:
+            rows = latest_per_key(rows, list(latest_by), ["__commit"], [])
+        step(rows.drop("__commit"))
+    spark.range(1).select(F.lit(new[-1]["version"]).cast("long").alias("version")).write.mode("append").json(checkpoint)
