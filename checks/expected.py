@@ -231,6 +231,8 @@ FINAL_SQL = {
     "filter_region": "SELECT customer_id, email, region FROM dim_customers WHERE region = 'LATAM'",
     "governed_dim": f"""SELECT * REPLACE ('CONFIDENTIAL DATA' AS email) FROM (
         SELECT {GOLD_OUT['dim_customers']} FROM dim_customers WHERE region IN ('APAC', 'LATAM'))""",
+    "governed_table": f"""SELECT * REPLACE ('CONFIDENTIAL DATA' AS email) FROM (
+        SELECT {GOLD_OUT['dim_customers']} FROM dim_customers WHERE region IN ('APAC', 'LATAM'))""",
     "governed_dim_admin": gold("dim_customers"),
     "governed_sql": "SELECT customer_id, region, 'CONFIDENTIAL DATA' AS email FROM dim_customers WHERE region = 'APAC'",
     "alerts_after_restock": f"""SELECT {GOLD_OUT['low_stock_alert']} FROM (

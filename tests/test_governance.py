@@ -2,6 +2,7 @@ import pytest
 from conftest import plan_of, rows
 
 from tillwork.operators import governance as g
+from tillwork.sources.tables import write_table
 
 DATA = [("C1", "a@x.org", "LATAM"), ("C2", None, "APAC"), ("C3", "c@x.org", "EMEA"), ("C4", "d@x.org", None)]
 
@@ -49,3 +50,14 @@ def test_filter_reaches_the_scan(spark, customers, folder):
     plan = plan_of(g.governed_view(spark.read.parquet(f"{folder}/c"), {"latam_managers"}))
     assert "PushedFilters: [IsNotNull(region), EqualTo(region,LATAM)]" in plan
     assert "ReadSchema: struct<customer_id:string,region:string>" in plan
+
+
+def test_governed_view_of_a_table(spark, layers):
+    table, view = layers("gold", "t"), layers("gold", "seen")
+    write_table(spark.createDataFrame([("LATAM", "a"), ("EMEA", "b"), (None, "c")], "region string, email string"), table, "overwrite")
+    for groups, expected in (({"latam_managers"}, [("LATAM", g.MASK_TEXT)]), (set(), []),
+                             ({g.ADMIN_GROUP}, [("EMEA", "b"), ("LATAM", "a"), (None, "c")])):
+        g.create_governed_view(spark, view, table, groups, ["email"])
+        assert rows(spark.table(view)) == expected
+    with pytest.raises(ValueError, match="no columns"):
+        g.create_governed_view(spark, view, table, set(), ["phone"])

@@ -66,6 +66,30 @@ def governed_view(df: DataFrame, groups: Collection[str]) -> DataFrame:
     return mask_tagged(filter_rows(df, groups), groups)
 
 
+def create_governed_view(
+    spark: SparkSession,
+    view_name: str,
+    table_name: str,
+    groups: Collection[str],
+    masked: Sequence[str],
+    column: str = "region",
+    rules: Mapping[str, str] = REGION_RULES,
+) -> None:
+    """A catalog view of a table for readers of ``groups``, whom its creator names.
+
+    Rows and masks are those of ``governed_view``; readers of the view can't choose others,
+    and the view follows the table.
+    """
+    table, admin = spark.table(table_name), ADMIN_GROUP in groups
+    unknown = set(masked) - set(table.columns)
+    if unknown:
+        raise ValueError(f"{table_name} has no columns {sorted(unknown)}")
+    shown = [f"'{MASK_TEXT}' AS `{n}`" if n in masked and not admin else f"`{n}`" for n in table.columns]
+    values = ", ".join(f"'{value}'" for group, value in sorted(rules.items()) if group in groups)
+    rows = "true" if admin else f"`{column}` IN ({values})" if values else "false"
+    spark.sql(f"CREATE OR REPLACE VIEW {view_name} AS SELECT {', '.join(shown)} FROM {table_name} WHERE {rows}")
+
+
 def register_sql_functions(spark: SparkSession) -> None:
     """The mask and the row predicate as SQL functions; the groups are an array argument."""
     spark.sql(

@@ -525,6 +525,17 @@ def governed_dim_admin(spark, sf_dir):
     return comparable(governance.governed_view(_tagged_customers(spark, sf_dir), {"admin_group"}))
 
 
+def governed_table(spark, sf_dir):
+    """The same through a view that stands beside the table and follows it."""
+    space = Workspace(spark, "governed")
+    table, view = space.name("gold", "dim_customers"), space.name("gold", "customers_for_managers")
+    customers = mart(spark, sf_dir, "dim_customers")
+    write_table(customers.filter("region = 'LATAM'"), table, "overwrite")
+    governance.create_governed_view(spark, view, table, {"apac_managers", "latam_managers"}, ["email"])
+    write_table(customers, table, "overwrite")
+    return comparable(read_table(spark, view))
+
+
 def governed_sql(spark, sf_dir):
     governance.register_sql_functions(spark)
     groups = F.array(F.lit("apac_managers"))
@@ -643,6 +654,7 @@ QUERIES: dict[str, Query] = {
     "filter_region": filter_region,
     "governed_dim": governed_dim,
     "governed_dim_admin": governed_dim_admin,
+    "governed_table": governed_table,
     "governed_sql": governed_sql,
     "alerts_after_restock": alerts_after_restock,
     "rerun_daily_sales": rerun_daily_sales,

@@ -78,7 +78,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         " WHEN 5 THEN '1-' || area || '-' || exchange || '-' || line"
         " WHEN 6 THEN '12345' WHEN 7 THEN NULL"
         " ELSE if(c_custkey % 2 = 0, '', exchange || '-' || line) END",
-        "address": "c_custkey || ' Mitchell   NW  Apt. ' || (c_custkey % 40) || 'B '",
+        "address": "c_custkey || ' Harbour   Row  Unit ' || (c_custkey % 40) || 'B '",
         "city": "' new  ' || lower(n_name)",
         "region": "'  ' || CASE r_name WHEN 'AMERICA' THEN 'latam' WHEN 'ASIA' THEN 'apac'"
         " WHEN 'EUROPE' THEN 'emea' ELSE lower(replace(r_name, ' ', '  ')) END || ' '",
