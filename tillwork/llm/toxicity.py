@@ -209,25 +209,22 @@ def likelihood_ratio(k1: int, n1: int, k2: int, n2: int) -> float:
     return 2 * (part(k1, n1, k1 / n1) + part(k2, n2, k2 / n2) - part(k1, n1, p) - part(k2, n2, p))
 
 
-def fit(found: list[set[str]], labels: list[int], characters: CharacterModel) -> Scorer:
-    """Logistic regression by Newton-scaled gradient steps on the kept features."""
+def chosen_features(counts: list[tuple[str, int, int]], n0: int, n1: int) -> list[str]:
+    """Of ``(feature, clean documents, toxic documents)`` those that go with the label."""
+    ratios = {f: likelihood_ratio(toxic, n1, clean, n0) for f, clean, toxic in counts if toxic * n0 > clean * n1}
+    return sorted((f for f, r in ratios.items() if r >= MIN_RATIO), key=lambda f: (-ratios[f], f))[:MAX_FEATURES]
+
+
+def fit(found: list[list[str]], labels: list[int], kept: list[str], characters: CharacterModel) -> Scorer:
+    """Logistic regression by adaptive gradient steps on the kept features."""
     n1 = sum(labels)
     n0 = len(labels) - n1
     if not n1 or not n0:
         return Scorer(characters, {}, -30.0)
-    both = [Counter(), Counter()]
-    for names, label in zip(found, labels):
-        both[label].update(names)
-    ratios = {
-        f: likelihood_ratio(n, n1, both[0][f], n0)
-        for f, n in both[1].items()
-        if n >= MIN_DOCS and n * n0 > both[0][f] * n1
-    }
-    kept = sorted((f for f, r in ratios.items() if r >= MIN_RATIO), key=lambda f: (-ratios[f], f))[:MAX_FEATURES]
     place = {f: i for i, f in enumerate(kept)}
     rows, columns = [], []
     for i, names in enumerate(found):
-        here = [place[f] for f in names if f in place]
+        here = [place[f] for f in names]
         rows += [i] * len(here)
         columns += here
     rows, columns, y = np.array(rows, np.int64), np.array(columns, np.int64), np.array(labels, float)
@@ -259,17 +256,40 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> S
         .orderBy(F.xxhash64("doc_id"), "toxic").limit(train_rows)
     )
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = training.join(F.broadcast(sample), "doc_id").select("toxic", "text")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = [Counter(), Counter()]
         for batch in smaller_batches(batches, 256):
-            names = [sorted(text_features(t or "", characters)) for t in batch.column(1).to_pylist()]
-            packed = ["\n".join(n) for n in names]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.string())], ["toxic", "names"])
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts[label].update(text_features(text or "", characters))
+        names = sorted(counts[0].keys() | counts[1].keys())
+        for at in range(0, len(names), 50_000):
+            part = names[at : at + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.string()), *(pa.array([c[f] for f in part], pa.int64()) for c in counts)],
+                ["feature", "clean", "toxic"],
+            )
 
-    rows = (
-        training.join(F.broadcast(sample), "doc_id").select("toxic", "text")
-        .mapInArrow(find, "toxic int, names string").orderBy("toxic", "names").collect()
+    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
+    if not n0 or not n1:
+        return fit([], [], [], characters)
+    counted = (
+        rows.mapInArrow(count, "feature string, clean long, toxic long").groupBy("feature")
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        .where((F.col("toxic") >= MIN_DOCS) & (F.col("toxic") * n0 > F.col("clean") * n1))
     )
-    return fit([set(r["names"].split("\n")) - {""} for r in rows], [r["toxic"] for r in rows], characters)
+    kept = chosen_features([tuple(r) for r in counted.collect()], n0, n1)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = set(kept)
+        for batch in smaller_batches(batches, 256):
+            names = [sorted(wanted & text_features(t or "", characters)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.list_(pa.string()))], ["toxic", "names"])
+
+    found = rows.mapInArrow(find, "toxic int, names array<string>").orderBy("toxic", "names").collect()
+    return fit([r["names"] for r in found], [r["toxic"] for r in found], kept, characters)
 
 
 def count_triples(docs: DataFrame) -> np.ndarray:
