@@ -14,11 +14,12 @@ missed if every group spends enough differences: none if the group is empty, one
 elements lie in one part, else two. A set whose groups spend at most k in all is signed again
 by its smallest elements (prefix filter), which finds such pairs exactly.
 
-Signatures leave a task as packed arrays, dealt by their hash. Sets that share one are
-compared with the least of them only; sharing sets still in different components after that
-are compared pairwise by parity sketches, whose distance never exceeds that of the sets, and
-only pairs that pass are looked at again. So groups of any size link completely without their
-pairs being listed.
+Signatures leave a task as packed arrays, dealt by their hash. Each set also has a parity
+sketch, whose distance to another never exceeds that of the sets. Sets that share a signature
+are compared with the least of them: by sketch, then by their texts. Where sharing sets are
+still in different components after that, pairs of different components are compared by
+sketch, and those that pass by their texts. So groups of any size link completely without
+their pairs being listed.
 
 Defined results. Null, empty and wordless texts have the empty set and link with nothing.
 Fewer words than a shingle make one of them all. Rows that repeat a doc_id tie their sets
@@ -47,7 +48,7 @@ PARTS = 3
 SLACK = 1.06  # groups beyond the least number, so that few sets need signing again
 SIGNATURES_PER_TASK = 1_500_000
 SKETCH_BITS = 1024
-SHARES = 64  # pieces that a pivot's partners are dealt to
+SHARE_ROWS = 500  # partners of a pivot that are compared in one place
 BLOCK = 2048  # sharing sets compared at once
 
 
@@ -99,19 +100,26 @@ def set_name(elements: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(elements.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def sketch(elements: np.ndarray) -> bytes:
+    """The parity of the number of elements in each of SKETCH_BITS cells."""
+    odd = np.bincount((elements % U64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``(doc_id, n, name)``; the name of an empty set is null."""
+    """``(doc_id, n, name, sketch)``; the name of an empty set is null."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in smaller_batches(batches, 256):
             sets = [shingle_set(text, words) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([set_name(s) if len(s) else None for s in sets], pa.int64())],
-                ["doc_id", "n", "name"],
+                 pa.array([set_name(s) if len(s) else None for s in sets], pa.int64()),
+                 pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())],
+                ["doc_id", "n", "name", "sketch"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(count, "doc_id long, n long, name long")
+    return docs.select("doc_id", "text").mapInArrow(count, "doc_id long, n long, name long, sketch binary")
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -170,7 +178,10 @@ def signed(docs: DataFrame, words: int, t: tuple[int, int], starts: list[int], t
 
 
 def sharing(packed: DataFrame, tasks: int) -> DataFrame:
-    """``(sets)``: for each signature of several sets, these sets in order; equal lists once."""
+    """``(mark, n, least, part, sets)``: for each signature of several sets, these sets in order.
+
+    A list of ``n`` sets comes in parts of at most BLOCK; equal lists have equal marks.
+    """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by task; each task's arrays are met by themselves.
@@ -200,42 +211,57 @@ def sharing(packed: DataFrame, tasks: int) -> DataFrame:
             mark = hashlib.blake2b(data.tobytes(), digest_size=16).digest()
             if mark not in seen:
                 seen.add(mark)
-                out.append((mark, data))
+                for part, at in enumerate(range(0, n, BLOCK)):
+                    out.append((mark, int(n), int(data[0]), part, data[at : at + BLOCK]))
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
         for at in range(0, len(out), 1000):
-            part = out[at : at + 1000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([m for m, _ in part], pa.binary()), pa.array([d for _, d in part], pa.list_(pa.int64()))],
-                ["mark", "sets"],
+                [pa.array(c, k) for c, k in zip(zip(*out[at : at + 1000]), kinds)],
+                ["mark", "n", "least", "part", "sets"],
             )
 
-    met = packed.repartition(tasks, "task").sortWithinPartitions("task").mapInArrow(
-        meet, "mark binary, sets array<long>"
+    return packed.repartition(tasks, "task").sortWithinPartitions("task").mapInArrow(
+        meet, "mark binary, n long, least long, part int, sets array<long>"
     )
-    return met
 
 
-def candidates(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``(name, text, n, sketch)`` of the sets ``wanted (doc_id, name)``.
+def close(pairs: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFrame:
+    """The ``pairs (a, b)`` whose sizes and sketches allow a link; ``sets`` (name, n, sketch)."""
+    own = [sets.select(F.col("name").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")) for x in "ab"]
 
-    The sketch is the parity of the number of elements in each of SKETCH_BITS cells.
-    """
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            one, two = (
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u8").reshape(len(n), -1) for k in ("s_a", "s_b")
+            )
+            kept = pa.array(may_link(np.bitwise_count(one ^ two).sum(1, dtype=np.int64), n, t))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a").filter(kept), batch.column("b").filter(kept)], ["a", "b"]
+            )
+
+    return pairs.join(own[0], "a").join(own[1], "b").mapInArrow(compare, "a long, b long")
+
+
+def may_link(apart: np.ndarray, total: np.ndarray, t: tuple[int, int]) -> np.ndarray:
+    """Linked sets differ in at most ``total (1 - t) / (1 + t)`` elements, their sketches in no more."""
+    return apart * (t[0] + t[1]) <= total * (t[1] - t[0])
 
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def candidates(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``(name, text)`` of the sets ``wanted (doc_id, name)``."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in smaller_batches(batches, 256):
-            out = []
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = shingle_set(text, words)
-                if set_name(found) == name:  # else another row of a repeated doc_id
-                    odd = np.bincount((found % U64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-                    out.append((name, text, len(found), np.packbits(odd.astype(np.uint8)).tobytes()))
-            if out:
-                kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["name", "text", "n", "sketch"]
-                )
+            # Another row of a repeated doc_id has another set.
+            right = [
+                set_name(shingle_set(text, words)) == name
+                for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            ]
+            yield batch.filter(pa.array(right, pa.bool_()))
 
     found = docs.join(wanted, "doc_id").select("name", "text")
-    return staged(found.mapInArrow(draw, "name long, text binary, n long, sketch binary"), "candidates")
+    return staged(found.mapInArrow(check, "name long, text binary"), "candidates")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, t: tuple[int, int]) -> DataFrame:
@@ -244,8 +270,8 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, t: tuple[int, int])
     Texts go to the share of their pivot ``a``, where the pivot's set is held while its
     partners stream past; a pivot of many pairs has many shares.
     """
-    share = F.pmod(F.xxhash64("b"), F.lit(SHARES)).cast("int")
-    dealt = pairs.select("a", "b", share.alias("share"))
+    shares = pairs.groupBy("a").agg((F.floor(F.count("*") / SHARE_ROWS) + 1).alias("shares"))
+    dealt = pairs.join(shares, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("shares")).cast("int").alias("share"))
     wanted = dealt.select(F.col("b").alias("name"), "a", "share", F.lit(1).alias("role")).unionAll(
         dealt.select(F.col("a").alias("name"), "a", "share", F.lit(0).alias("role")).distinct()
     )
@@ -277,39 +303,63 @@ def passing(open_lists: DataFrame, t: tuple[int, int]) -> DataFrame:
     """Pairs ``(a, b)`` of a list in different components whose sketches allow a link.
 
     ``open_lists`` (mark, name, component, n, sketch). Lists longer than BLOCK are cut into
-    blocks by hash and compared block by block, so a task holds two blocks at most.
+    blocks by hash, and each two blocks meet, so a task holds two blocks at a time. Lists
+    stream past in order of their number; two lists that get one number are only compared
+    more than they need be.
     """
     sized = open_lists.groupBy("mark").agg(F.floor(F.count("*") / BLOCK).cast("int").alias("blocks"))
     cut = open_lists.join(sized, "mark").withColumn(
         "block", F.pmod(F.xxhash64("name"), F.col("blocks") + 1).cast("int")
     )
-    others = F.sequence(F.lit(0), F.col("blocks"))
-    faced = cut.withColumn("other", F.explode(others)).select(
-        "mark", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-        (F.col("block") > F.col("other")).alias("second"), "name", "component", "n", "sketch",
+    faced = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks")))).select(
+        F.xxhash64("mark", F.least("block", "other"), F.greatest("block", "other")).alias("list"),
+        "name", "component", "n", "sketch",
     )
 
-    def compare(key: tuple, group: pa.Table) -> pa.Table:
-        number, part = group.column("name").to_numpy(), group.column("component").to_numpy()
-        n, second = group.column("n").to_numpy(), group.column("second").to_numpy(zero_copy_only=False)
-        bits = np.frombuffer(b"".join(group.column("sketch").to_pylist()), "<u8").reshape(len(number), -1)
-        one = np.flatnonzero(~second) if key[1].as_py() != key[2].as_py() else np.arange(len(number))
-        two = np.flatnonzero(second) if key[1].as_py() != key[2].as_py() else one
-        a, b = [], []
-        for i in one:
-            apart = np.bitwise_count(bits[i] ^ bits[two]).sum(1)
-            total = n[i] + n[two]
-            # |A xor B| <= total (1 - t) / (1 + t), and at least the distance of the sketches.
-            fits = (apart * (t[0] + t[1]) <= total * (t[1] - t[0])) & (part[i] != part[two])
-            if two is one:
-                fits &= number[two] > number[i]
-            hits = two[fits]
-            a += [int(number[i])] * len(hits)
-            b += number[hits].tolist()
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    pairs = faced.groupBy("mark", "x", "y").applyInArrow(compare, "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = None, []
+        for batch in batches:
+            lists, *columns = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            columns.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), "<u8").reshape(len(lists), -1))
+            cuts = [0, *(np.flatnonzero(lists[1:] != lists[:-1]) + 1).tolist(), len(lists)]
+            for a, b in zip(cuts, cuts[1:]):
+                if held and lists[a] != number:
+                    yield from found(held)
+                    held = []
+                number = lists[a]
+                held.append([c[a:b] for c in columns])
+        if held:
+            yield from found(held)
+
+    def found(parts: list) -> Iterator[pa.RecordBatch]:
+        name, part, n, bits = (np.concatenate(c) for c in zip(*parts))
+        for at in range(0, len(name), 64):
+            rows = slice(at, at + 64)
+            apart = np.zeros((len(name[rows]), len(name)), np.int64)
+            for word in bits.T:
+                apart += np.bitwise_count(word[rows, None] ^ word[None, :])
+            fits = may_link(apart, n[rows, None] + n[None, :], t)
+            fits &= (part[rows, None] != part[None, :]) & (name[rows, None] < name[None, :])
+            i, j = np.nonzero(fits)
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(name[at + i]), pa.array(name[j])], ["a", "b"])
+
+    spark = open_lists.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), open_lists.count() // 200_000 + 1)  # rows of 160 bytes
+    return (
+        faced.repartition(tasks, "list").sortWithinPartitions("list").mapInArrow(compare, "a long, b long").distinct()
+    )
+
+
+def apart_pairs(lists: DataFrame, place: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFrame:
+    """Pairs that may link, of sets of one list that ``place (node, component)`` keeps apart."""
+    members = lists.where("n > 2").dropDuplicates(["mark", "part"]).select("mark", F.explode("sets").alias("name"))
+    members = members.join(place.withColumnRenamed("node", "name"), "name", "left").select(
+        "mark", "name", F.coalesce("component", "name").alias("component")
+    )
+    several = members.groupBy("mark").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    apart = staged(members.join(several.where("low <> high").select("mark"), "mark"), "apart")
+    return passing(apart.join(sets.select("name", "n", "sketch"), "name"), t)
 
 
 def linked_components(docs: DataFrame, words: int = WORDS, t: tuple[int, int] = THRESHOLD) -> DataFrame:
@@ -318,32 +368,31 @@ def linked_components(docs: DataFrame, words: int = WORDS, t: tuple[int, int] =
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
     sets = staged(shingle_sets(docs, words), "sets")
     keyed = sets.where("name is not null and doc_id is not null")
-    classes = staged(keyed.groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "set-classes")
+    classes = staged(
+        keyed.groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("sketch").alias("sketch")),
+        "set-classes",
+    )
     total, largest = classes.agg(F.sum("n"), F.max("n")).first()
     starts = bands(t, largest or 1)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int((total or 0) // SIGNATURES_PER_TASK) + 1)
     lists = staged(sharing(signed(docs, words, t, starts, tasks), tasks), "sharing")
-    pairs = staged(
-        lists.select(F.element_at("sets", 1).alias("a"), F.explode(F.expr("slice(sets, 2, size(sets))")).alias("b")).distinct(),
-        "pairs",
-    )
-    named = pairs.select(F.col("a").alias("name")).unionAll(pairs.select(F.col("b").alias("name"))).distinct()
-    texts = candidates(docs, classes.join(named, "name").select("doc_id", "name"), words)
+    pivots = lists.select(F.col("least").alias("a"), F.explode("sets").alias("b")).where("a <> b").distinct()
+    pairs = staged(close(pivots, classes, t), "pairs")
     # Rows of one doc_id are one document: they tie their sets together.
     tied = keyed.groupBy("doc_id").agg(F.min("name").alias("a"), F.max("name").alias("z")).where("a <> z")
     tied = keyed.join(tied, "doc_id").select("a", F.col("name").alias("b")).where("a <> b")
+    # Lists that these pairs leave apart bring their other pairs. All texts needed are then
+    # known: a pair left out has both its sets in pairs of the same component.
+    more = apart_pairs(lists, components(pairs, "close"), classes, t)
+    pairs = staged(pairs.unionAll(more).distinct(), "all-pairs")
+    named = pairs.select(F.col("a").alias("name")).unionAll(pairs.select(F.col("b").alias("name"))).distinct()
+    texts = candidates(docs, classes.select("doc_id", "name").join(named, "name"), words)
     links = staged(verified(pairs, texts, words, t).unionAll(tied), "links")
     place = components(links, "linked")
-    # Lists that are still in several components after the comparison with their least set.
-    members = lists.where("size(sets) > 2").dropDuplicates(["mark"]).select("mark", F.explode("sets").alias("name"))
-    members = members.join(place.withColumnRenamed("node", "name"), "name", "left").select(
-        "mark", "name", F.coalesce("component", "name").alias("component")
-    )
-    still = members.groupBy("mark").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_lists = staged(members.join(still.where("low <> high").select("mark"), "mark"), "open")
-    if not open_lists.isEmpty():
-        more = passing(open_lists.join(texts.select("name", "n", "sketch"), "name"), t).join(pairs, ["a", "b"], "left_anti")
-        links = staged(links.unionAll(verified(staged(more, "more-pairs"), texts, words, t)), "more-links")
+    # Pairs that passed for links but are none may have hidden pairs of their lists.
+    hidden = staged(apart_pairs(lists, place, classes, t).join(pairs, ["a", "b"], "left_anti"), "hidden")
+    if not hidden.isEmpty():
+        links = staged(links.unionAll(verified(hidden, texts, words, t)), "more-links")
         place = components(links, "linked-again")
     placed = staged(
         classes.join(place.withColumnRenamed("node", "name"), "name", "left")
