@@ -353,7 +353,8 @@ def passing(open_lists: DataFrame, t: tuple[int, int]) -> DataFrame:
 
 def apart_pairs(lists: DataFrame, place: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFrame:
     """Pairs that may link, of sets of one list that ``place (node, component)`` keeps apart."""
-    members = lists.where("n > 2").dropDuplicates(["mark", "part"]).select("mark", F.explode("sets").alias("name"))
+    # Lists go by a number from here on, which is shorter; two that share one are compared as one.
+    members = lists.where("n > 2").select(F.xxhash64("mark").alias("mark"), F.explode("sets").alias("name"))
     members = members.join(place.withColumnRenamed("node", "name"), "name", "left").select(
         "mark", "name", F.coalesce("component", "name").alias("component")
     )
@@ -375,7 +376,8 @@ def linked_components(docs: DataFrame, words: int = WORDS, t: tuple[int, int] =
     total, largest = classes.agg(F.sum("n"), F.max("n")).first()
     starts = bands(t, largest or 1)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int((total or 0) // SIGNATURES_PER_TASK) + 1)
-    lists = staged(sharing(signed(docs, words, t, starts, tasks), tasks), "sharing")
+    met = sharing(signed(docs, words, t, starts, tasks), tasks)
+    lists = staged(met.dropDuplicates(["mark", "part"]), "sharing")
     pivots = lists.select(F.col("least").alias("a"), F.explode("sets").alias("b")).where("a <> b").distinct()
     pairs = staged(close(pivots, classes, t), "pairs")
     # Rows of one doc_id are one document: they tie their sets together.
