@@ -199,3 +199,54 @@ def test_licences_are_found_and_prose_is_left_alone(licensed):
 def test_licences_of_an_empty_table(spark):
     nothing = table(spark, [])
     assert licences.licences(nothing, licences.train(nothing)).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software."""
+BSD = """BSD 3-Clause License
+
+Copyright (c) 2020, Jane Doe
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+COMMENTED = "\n".join(f" * {x}" for x in GPL.split("\n"))
+DUAL = "Licensed under the MIT License or the Apache License, Version 2.0, at your choice."
+AGPL = "This program is licensed under the GNU Affero General Public License, version 3."
+
+
+@pytest.fixture(scope="module")
+def scanner(licensed):
+    return licences.train(licensed)
+
+
+@pytest.mark.parametrize("text, families", [
+    (MIT, "mit"), (BSD, "bsd"), (GPL, "gpl"), (COMMENTED, "gpl"), (MIT.replace("\n", "\r\n"), "mit"),
+    (DUAL, "apache,mit"), (DUAL.replace(" or ", " or\n"), "apache,mit"), (f"{MIT}\n\n{GPL}", "gpl,mit"),
+    ("Licensed under CC BY 4.0 and Licensed under CC BY-SA 4.0.", "cc-by,cc-by-sa"),
+    (AGPL, "agpl"), (AGPL.replace("GNU ", "GNU\n"), "agpl"),
+    ("This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License.", "cc-by-nc"),
+])
+def test_wrapped_and_dual_notices(scanner, text, families):
+    for whole in (text, f"{prose('aa', 1, 30)}\n\n{text}\n\n{prose('aa', 2, 30)}", f"{prose('aa', 3, 50)}\n{text}"):
+        own = licences.scan(whole.encode(), scanner)[1]
+        assert ",".join(sorted({x["family"] for x in own if x["confirmed"]})) == families
+        assert len({(x["paragraph"], x["family"]) for x in own}) == len(own)
+
+
+def test_wrapped_notices_are_no_unknown_sample():
+    lines = [licences.plain_words(x.encode()) for x in (MIT + "\n\nThe source library is old.").split("\n")]
+    free = [b" ".join(x) for x in licences.free_lines(lines)]
+    assert b"the source library is old" in free and not any(b"associated documentation" in x for x in free)

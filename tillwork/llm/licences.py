@@ -12,7 +12,14 @@ triples of one template of that family stand in the paragraph.
 A feature holds at least one anchor, a word of the templates that is not a function word, so a
 text without anchors has no features and is unknown throughout; such texts are passed quickly.
 
-Paragraphs are lines; one of more than SPAN words is looked at in overlapping spans.
+Paragraphs are lines; one of more than SPAN words is looked at in overlapping spans. A notice
+may also be wrapped: successive lines that are not blank form a block, whose overlapping spans
+are looked at as well. What a template confirms there, with words of more than one line, counts
+for the line of its first word, unless a line of the span gave that family by itself.
+
+A span may name several licences. Each family that a template confirms by triples with a word
+of its own, not one of a family found before it, is predicted from the span without the words
+of the others.
 
 Defined results. Null and empty texts have no paragraphs and no licence; blank lines are no
 paragraphs. Words are runs of letters, digits and bytes beyond ASCII. Rows are independent.
@@ -136,6 +143,8 @@ def triples(words: list[bytes]) -> set[tuple]:
 
 
 TEMPLATE_TRIPLES = {f: [triples(t) for t in ts] for f, ts in TEMPLATE_WORDS.items()}
+ALL_TRIPLES = frozenset(t for ts in TEMPLATE_TRIPLES.values() for own in ts for t in own)
+HIDDEN = b"."  # stands for a word that another family explains; never a word itself
 
 
 def likeness(words: list[bytes], family: str) -> float:
@@ -144,6 +153,41 @@ def likeness(words: list[bytes], family: str) -> float:
     return max(len(own & t) / len(t) for t in TEMPLATE_TRIPLES[family])
 
 
+def matches(words: list[bytes], at_least: float = CONFIRMED) -> dict[str, list[tuple[float, set[int], int]]]:
+    """For each family its templates as like as that: likeness, places of their words, size."""
+    places: dict[tuple, list[int]] = {}
+    for i in range(max(1, len(words) - 2)):
+        triple = tuple(words[i : i + 3])
+        if triple in ALL_TRIPLES:
+            places.setdefault(triple, []).append(i)
+    out: dict[str, list[tuple[float, set[int], int]]] = {}
+    if not places:
+        return out
+    for family, templates in TEMPLATE_TRIPLES.items():
+        for own, template in zip(templates, TEMPLATE_WORDS[family]):
+            held = own & places.keys()
+            if len(held) / len(own) >= at_least:
+                at = {i + k for t in held for i in places[t] for k in range(len(t))}
+                out.setdefault(family, []).append((len(held) / len(own), at, len(template)))
+    return out
+
+
+def tightest(places: set[int], size: int) -> set[int]:
+    """The places in the first window of about ``size`` words that holds the most of them."""
+    width = size + size // 8
+    start = max(sorted(places), key=lambda s: sum(s <= x < s + width for x in places))
+    return {x for x in places if start <= x < start + width}
+
+
+def own_likeness(words: list[bytes], family: str, taken: set[int]) -> float:
+    """Likeness by triples that hold a word outside ``taken``."""
+    own = {
+        tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))
+        if not taken.issuperset(range(i, min(i + 3, len(words))))
+    }
+    return max(len(own & t) / len(t) for t in TEMPLATE_TRIPLES[family])
+
+
 @dataclass
 class Classifier:
     families: list[str]  # the last one is the unknown class
@@ -152,18 +196,48 @@ class Classifier:
     temperature: float
     least: np.ndarray  # for each family, the probability that a prediction needs
 
-    def predict(self, words: list[bytes]) -> tuple[str, float]:
+    def probabilities(self, words: list[bytes]) -> np.ndarray | None:
         found = [self.weights[g] for g in sorted(grams(words)) if g in self.weights]
         if not found:
-            return UNKNOWN, 1.0
+            return None
         z = (np.sum(found, 0) / np.sqrt(len(found)) + self.bias) / self.temperature
         p = np.exp(z - z.max())
-        p /= p.sum()
+        return p / p.sum()
+
+    def predict(self, words: list[bytes]) -> tuple[str, float]:
+        p = self.probabilities(words)
+        if p is None:
+            return UNKNOWN, 1.0
         best = int(p.argmax())
         if self.families[best] != UNKNOWN and p[best] >= self.least[best]:
             return self.families[best], float(p[best])
         return UNKNOWN, float(p[-1])
 
+    def families_of(self, words: list[bytes]) -> dict[str, tuple[float, float, int]]:
+        """Likeness, probability and first place of every family predicted; one may be unconfirmed."""
+        family, p = self.predict(words)
+        out = {} if family == UNKNOWN else {family: (likeness(words, family), p, 0)}
+        near = matches(words)
+        cover = {f: set().union(*(tightest(at, size) for _, at, size in ts)) for f, ts in near.items()}
+        if family in near:
+            out[family] = (*out[family][:2], min(cover[family]))
+        if len(near) > (family in near):
+            rank, taken, seen = self.probabilities(words), set(cover.get(family, ())), {family}
+            if rank is None:
+                return out
+            rest = sorted((f for f in near if f != family), key=lambda f: (-rank[self.families.index(f)], f))
+            for f in rest:
+                seen.add(f)
+                alike = own_likeness(words, f, taken)
+                if alike < CONFIRMED:
+                    continue
+                others = taken.union(*(cover[x] for x in rest if x not in seen)) - cover[f]
+                chosen, p = self.predict([HIDDEN if i in others else w for i, w in enumerate(words)])
+                if chosen == f:
+                    out[f] = (alike, p, min(cover[f] - taken))
+                    taken |= cover[f]
+        return out
+
 
 def variants(rng: np.random.Generator, prose: list[list[bytes]]) -> tuple[list[list[bytes]], list[str]]:
     """Training rows of the families and the shuffled templates of the unknown class."""
@@ -259,27 +333,73 @@ def scan(text: bytes, model: Classifier) -> tuple[int, list[dict]]:
     if ANCHORS.isdisjoint(data.split()):
         return sum(1 for x in lines if x and not x.isspace()), []
     number, out = 0, []
-    for line in lines:
+    block: list[list[bytes]] = []
+    for line in [*lines, b""]:
         words = line.split()
-        if not words:
-            continue
-        if not ANCHORS.isdisjoint(words):
-            best: dict[str, tuple[float, float]] = {}
-            for part in spans(words):
-                if ANCHORS.isdisjoint(part):
-                    continue
-                family, p = model.predict(part)
-                if family != UNKNOWN:
-                    best[family] = max(best.get(family, (0.0, 0.0)), (likeness(part, family), p))
-            for family, (alike, p) in sorted(best.items()):
-                out.append({
-                    "paragraph": number, "family": family, "probability": p, "likeness": alike,
-                    "confirmed": alike >= CONFIRMED,
-                })
-        number += 1
+        if words:
+            block.append(words)
+        elif block:
+            out += scan_block(block, number, model)
+            number += len(block)
+            block = []
     return number, out
 
 
+def scan_block(block: list[list[bytes]], first: int, model: Classifier) -> list[dict]:
+    """Predictions of successive lines, each by itself and then across their ends."""
+    out: dict[tuple[int, str], tuple[float, float]] = {}
+    for number, words in enumerate(block, first):
+        if ANCHORS.isdisjoint(words):
+            continue
+        for part in spans(words):
+            if ANCHORS.isdisjoint(part):
+                continue
+            for family, (alike, p, _) in model.families_of(part).items():
+                out[number, family] = max(out.get((number, family), (0.0, 0.0)), (alike, p))
+    if len(block) > 1:
+        joined = [w for words in block for w in words]
+        line_of = [n for n, words in enumerate(block, first) for _ in words]
+        wrapped: dict[tuple[int, str], tuple[float, float]] = {}
+        alone = {key for key, (alike, _) in out.items() if alike >= CONFIRMED}
+        at = 0
+        for part in spans(joined):
+            here = line_of[at : at + len(part)]
+            if here[0] != here[-1] and not ANCHORS.isdisjoint(part):
+                for family, (alike, p, begin) in model.families_of(part).items():
+                    if alike >= CONFIRMED and not any((n, family) in alone for n in range(here[0], here[-1] + 1)):
+                        key = here[begin], family
+                        wrapped[key] = max(wrapped.get(key, (0.0, 0.0)), (alike, p))
+            at += SPAN // 2
+        for key, found in wrapped.items():
+            out[key] = max(out.get(key, (0.0, 0.0)), found)
+    return [
+        {"paragraph": n, "family": family, "probability": p, "likeness": alike, "confirmed": alike >= CONFIRMED}
+        for (n, family), (alike, p) in sorted(out.items())
+    ]
+
+
+def free_lines(lines: list[list[bytes]]) -> list[list[bytes]]:
+    """The lines without words that resemble a template, also one wrapped over several lines.
+
+    An empty entry stands for a blank line.
+    """
+    out, block = [], []
+    for words in [*lines, []]:
+        if words:
+            block.append(words)
+            continue
+        joined = [w for x in block for w in x]
+        line_of = [n for n, x in enumerate(block) for _ in x]
+        taken, at = set(), 0
+        for part in spans(joined):
+            for ts in matches(part, CONFIRMED / 2).values():
+                taken |= {line_of[at + i] for _, places, _ in ts for i in places}
+            at += SPAN // 2
+        out += [x[:SPAN] for n, x in enumerate(block) if n not in taken]
+        block = []
+    return out
+
+
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Classifier:
     """The unknown class learns from paragraphs of ``sample_rows`` rows, by hash order.
 
@@ -292,10 +412,9 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Classifier:
         for batch in smaller_batches(batches, 64):
             out = []
             for text in batch.column(0).to_pylist():
-                lines = [w[:SPAN] for w in (plain_words(x) for x in text.split(b"\n")) if w]
-                near = [w for w in lines if not ANCHORS.isdisjoint(w)]
-                free = [w for w in near if max(likeness(w, f) for f in TEMPLATES) < CONFIRMED / 2]
-                plain = [w for w in lines if ANCHORS.isdisjoint(w)][:2]
+                lines = [plain_words(x) for x in text.split(b"\n")]
+                free = [w for w in free_lines(lines) if not ANCHORS.isdisjoint(w)]
+                plain = [w[:SPAN] for w in lines if w and ANCHORS.isdisjoint(w)][:2]
                 out += [b" ".join(w) for w in free[:SAMPLE_PARAGRAPHS] + plain]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["words"])
