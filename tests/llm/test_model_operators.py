@@ -250,3 +250,26 @@ def test_wrapped_notices_are_no_unknown_sample():
     lines = [licences.plain_words(x.encode()) for x in (MIT + "\n\nThe source library is old.").split("\n")]
     free = [b" ".join(x) for x in licences.free_lines(lines)]
     assert b"the source library is old" in free and not any(b"associated documentation" in x for x in free)
+
+
+@pytest.fixture(scope="module")
+def english():
+    """A character model of words with 'a' and 'i' among them, and a scorer of three words."""
+    text = " ".join(["you are a stupid person", "i am an idiot here", "a loser is a person", "the art of the word"] * 50)
+    model = toxicity.CharacterModel.from_counts(toxicity.triple_counts(text))
+    return toxicity.Scorer(model, {"stupid": 9.0, "idiot": 9.0, "loser": 9.0}, -5.0)
+
+
+@pytest.mark.parametrize("text", [
+    "you are a s t u p i d person", "a l.o.s.e.r here", "an i d ! o t", "I d-1-0-t", "you i d 1 o t", "s t u p i d !",
+    "a s t u p ! d I am", "y o u  a r e  s t u p i d", "you are\ts\tt\tu\tp\ti\td", "s t u u u u p i d",
+    "t h e a r t o f t h e w o r d " * 9 + "a s t u p i d p e r s o n",
+    "x " * 130 + "s t u p i d  p e r s o n  " + "y " * 130, "l" + "o" * 150 + "ser", "s t u p i d " * 40,
+])
+def test_spacing_is_in_the_lattice(english, text):
+    assert english.score(text) >= 0.7
+
+
+@pytest.mark.parametrize("text", ["a b c", "1 2 3 4 5", "the a r t of", "* * * * *", "- - - - -", "x | y | z", "*" * 5000, "a " * 400, "a.b" * 999])
+def test_other_runs_stay_clean(english, text):
+    assert english.score(text) < 0.7

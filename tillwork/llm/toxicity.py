@@ -3,9 +3,11 @@
 The character model is a trigram model over the letters of plain words, counted over all
 training texts. A word with digits or signs between its letters, or with a letter three times
 in a row, is a lattice: a sign may be itself, a letter it stands for, or nothing; a repeated
-letter may be dropped; single letters set apart by spaces are read as one word first. Viterbi
-finds the path that is likeliest under the character model and the channel's costs. Each
-distinct disguised word is decoded once in a worker.
+letter may be dropped. Single letters and signs set apart by blanks are a run, and its
+blanks are in the lattice too: each is dropped or ends a word. Viterbi finds the path that is
+likeliest under the character model and the channel's costs. A run is read with word ends at
+par and favoured, and with its first or last letter as a word of its own; long runs and long
+words are read in overlapping pieces. Each distinct disguised word is decoded once in a worker.
 
 The scorer is a logistic regression on the words of the restored text and their beginnings.
 Features come from a bounded sample of labelled training rows (``TRAIN_ROWS``, by hash order)
@@ -47,12 +49,19 @@ STANDS_FOR = {
 }
 # Channel costs in natural logarithms.
 COST_LEET, COST_KEPT_SIGN, COST_DROPPED_LEET, COST_DROPPED_SIGN, COST_DROPPED_REPEAT = 1.0, 8.0, 8.0, 2.0, 0.5
+COST_DROPPED_GAP, GAIN_WORD_END = 4.0, 2.0  # a blank wider than the others; a word end where favoured
 
 EDGES = " \t\n\r\v\f.,;:?!\"'()[]{}<>|*%&$#@^~`´_-+=/\\…“”„«»¿¡"
-SPACED = re.compile(r"(?<!\S)(?:[^\W_][ .\-_*]{1,2}){2,}[^\W_](?=[.,;:?!]?(?:\s|\Z))")
+# A unit of a run is a letter, a digit or a sign that may stand for a letter. The parts exclude
+# each other at any place, so a search takes linear time.
+UNIT = r"(?:[^\W_]|[@$!|+(€£]|(?<=\s)\*(?=\s))"
+GAP = r"(?:\s?[.\-_]{1,2}\s?|\*{1,2}\s?|\s\*(?!\s)|\s{1,3})"
+SPACED = re.compile(rf"(?<!\S)(?:{UNIT}{GAP}){{2,}}{UNIT}(?=[.,;:?!]?(?:\s|\Z))")
+PARTS = re.compile(rf"({UNIT})({GAP}|\Z)")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 LEADING = "$@€£|!"  # signs that may stand for a word's first letter
-WORD_LENGTH = 100  # longer runs of characters are no words; they are not decoded
+LONG_REPEAT = re.compile(r"([^\W\d_])\1{3,}")
+WORD_LENGTH = 100  # longer words and runs are decoded in pieces that overlap by half
 
 # The character model's letters: Latin with its common accents; 0 is any other character
 # past them, 1 an edge.
@@ -79,6 +88,7 @@ class CharacterModel:
 
     trigrams: np.ndarray
     memory: dict[str, str] = field(default_factory=dict)
+    runs: dict[str, frozenset[tuple[str, ...]]] = field(default_factory=dict)
 
     @classmethod
     def from_counts(cls, counts: np.ndarray) -> CharacterModel:
@@ -99,20 +109,39 @@ class CharacterModel:
             known = self.memory[word] = self.viterbi(word)
         return known
 
-    def viterbi(self, word: str) -> str:
-        """Best path through the lattice; a state is the last two letters read."""
+    def viterbi(self, word: str, word_end: float = 0.0) -> str:
+        """Best path through the lattice; a state is the last two letters read.
+
+        A blank is dropped or, at the cost ``word_end``, ends a word; a tab is a wide blank and a
+        line feed always ends a word.
+        """
         index, table_ = INDEX, self.trigrams
         states: dict[tuple[str, str], tuple[float, tuple | None]] = {("\0", "\0"): (0.0, None)}
+        run = any(c.isspace() for c in word)
+        drops = not run or REPEATED.search("".join(word.split())) is not None
+        before = ""
         for at, sign in enumerate(word):
             arcs: list[tuple[str, float]] = []
+            if sign.isspace():
+                after: dict[tuple[str, str], tuple[float, tuple | None]] = {}
+                for (a, b), (score, path) in states.items():
+                    end = ("\0", "\0")
+                    new = score if b == "\0" else score - word_end + table_[index.get(a, 0), index.get(b, 0), 1]
+                    if end not in after or new > after[end][0]:
+                        after[end] = (new, path if b == "\0" else (path, " "))
+                    if sign != "\n" and b != "\0":
+                        after[a, b] = (score - (COST_DROPPED_GAP if sign == "\t" else 0.0), path)
+                states = after
+                continue
             if sign.isalpha():
                 arcs.append((sign, 0.0))
-                if at and word[at - 1] == sign:
+                if at and before == sign and drops:
                     arcs.append(("", -COST_DROPPED_REPEAT))
             else:
                 arcs.append((sign, -COST_KEPT_SIGN))
                 arcs.append(("", -(COST_DROPPED_LEET if sign in STANDS_FOR else COST_DROPPED_SIGN)))
                 arcs += [(c, -COST_LEET) for c in STANDS_FOR.get(sign, "")]
+            before = sign
             following: dict[tuple[str, str], tuple[float, tuple | None]] = {}
             for (a, b), (score, path) in states.items():
                 for letter, cost in arcs:
@@ -135,10 +164,49 @@ class CharacterModel:
             letters.append(letter)
         return "".join(reversed(letters))
 
+    def restore_run(self, run: str) -> frozenset[tuple[str, ...]]:
+        """The words of a run in all its readings; see ``viterbi`` for its blanks."""
+        known = self.runs.get(run)
+        if known is None:
+            if len(self.runs) >= MEMORY:
+                self.runs.clear()
+            blanks = [i for i, c in enumerate(run) if c.isspace()]
+            forms = {run, *(run[:i] + "\n" + run[i + 1 :] for i in (blanks[0], blanks[-1]))}
+            read = {self.viterbi(f, cost) for f in forms for cost in (0.0, -GAIN_WORD_END)}
+            known = self.runs[run] = frozenset(tuple(r.split()) for r in read)
+        return known
+
+
+def overlapping(length: int, size: int = WORD_LENGTH) -> list[tuple[int, int]]:
+    """Pieces that overlap by half and together hold everything."""
+    return [(at, min(at + size, length)) for at in range(0, max(1, length - size // 2), size // 2)]
+
+
+def run_words(units: list[tuple[str, str]], model: CharacterModel) -> set[str]:
+    """The words of a run, given as units and the gaps after them.
 
-def spaced_words(text: str) -> list[str]:
-    """Single letters set apart by spaces or signs, put together."""
-    return [re.sub(r"[\W_]", "", m.group().lower()) for m in SPACED.finditer(text)]
+    A word that a cut touches is whole in the piece beside it, so it is left out, unless it is
+    all there is of its piece.
+    """
+    if not any(u.isalpha() for u, _ in units):
+        return {"".join(u for u, _ in units)}
+    out: set[str] = set()
+    for at, end in overlapping(len(units)):
+        piece = units[at:end]
+        text = "".join(u + ("\t" if len(gap) > 1 and gap.isspace() else " ") for u, gap in piece[:-1]) + piece[-1][0]
+        for words in model.restore_run(text) if len(piece) > 1 else [(piece[0][0],)]:
+            if len(words) > 1:
+                words = words[at > 0 : len(words) - (end < len(units))]
+            out.update(words)
+    return out
+
+
+def spaced_words(text: str, model: CharacterModel) -> set[str]:
+    """The words of the runs of single letters and signs set apart by blanks or signs."""
+    out: set[str] = set()
+    for m in SPACED.finditer(text):
+        out |= run_words(PARTS.findall(m.group().lower()), model)
+    return out
 
 
 def readings(word: str, model: CharacterModel) -> set[str]:
@@ -147,18 +215,24 @@ def readings(word: str, model: CharacterModel) -> set[str]:
     if not core:
         return set()
     out = {core}
-    if len(core) > WORD_LENGTH:
-        return out
     if (not core.isalpha() and any(map(str.isalpha, core))) or REPEATED.search(core):
-        out.add(model.restore(core))
+        out |= restored(core, model)
     if word[0] in LEADING and core[0] == word.lstrip(LEADING)[0]:
-        out.add(model.restore(word.rstrip(EDGES)))
+        out |= restored(word.rstrip(EDGES), model)
     return out
 
 
+def restored(word: str, model: CharacterModel) -> set[str]:
+    """The likeliest reading; of a long word those of its pieces."""
+    if len(word) <= WORD_LENGTH:
+        return {model.restore(word)}
+    word = LONG_REPEAT.sub(r"\1\1\1", word)
+    return {model.restore(word[a:b]) for a, b in overlapping(len(word))}
+
+
 def restored_words(text: str, model: CharacterModel) -> set[str]:
     """The words of a text in all their readings."""
-    return {r for w in {*text.lower().split(), *spaced_words(text)} for r in readings(w, model)}
+    return {r for w in {*text.lower().split(), *spaced_words(text, model)} for r in readings(w, model)}
 
 
 def features(word: str) -> list[str]:
@@ -194,7 +268,7 @@ class Scorer:
                 memory[word] = kept
             if kept:
                 found.update(kept)
-        for word in spaced_words(text):
+        for word in spaced_words(text, self.characters):
             found.update(f for f in text_features(word, self.characters) if f in weights)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + sum(weights[f] for f in sorted(found))))))
 
