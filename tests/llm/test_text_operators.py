@@ -275,6 +275,27 @@ def test_packing_against_the_tokenizer(docs):
     assert len(bins) <= math.ceil(total / 1024) + 1
 
 
+def test_the_query_gives_special_tokens_their_ids(spark, folder):
+    tokenizers = pytest.importorskip("tokenizers")
+    import public_tokenizers as public
+
+    model = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    literals = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y", "  <|endoftext|>  don't", "<|endoftext"]
+    rows = ROWS + [(100 + i, t) for i, t in enumerate(literals)]
+    docs = table(spark, rows)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    expected = []
+    for doc_id, text in rows:
+        ids = [*model.encode(text or "", add_special_tokens=False).ids, 2]
+        at, size, piece = 0, len(ids) % 1024 or 1024, 0
+        while at < len(ids):
+            part = ids[at : at + size]
+            expected.append((doc_id, piece, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes())))
+            at, size, piece = at + size, 1024, piece + 1
+    for got in (packing.op10_packing(spark, folder), packing.pack_stage(spark, docs, folder)):
+        assert by_text([tuple(r)[:5] for r in got.collect()]) == by_text(expected)
+
+
 def test_packing_of_an_empty_table(empty):
     assert packing.pack_documents(empty).count() == 0
 

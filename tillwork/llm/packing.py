@@ -18,6 +18,7 @@ input are ignored.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -40,29 +41,37 @@ PACKED = (
 _tokenizers: dict = {}
 
 
-def tokenizer(path: str, pattern: str):
+def added_tokens(path: str) -> dict[str, int]:
+    """The special tokens that a JSON file adds to its vocabulary."""
+    with open(path, encoding="utf-8") as file:
+        return {x["content"]: x["id"] for x in json.load(file)["added_tokens"] if x["special"]}
+
+
+def tokenizer(path: str, pattern: str, special: dict[str, int]):
     """The tokenizer of a rank file, loaded once in a worker."""
-    if path not in _tokenizers:
+    key = path, pattern, tuple(sorted(special.items()))
+    if key not in _tokenizers:
         import tiktoken
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in file if line.strip())}
-        _tokenizers[path] = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _tokenizers[path]
+        _tokenizers[key] = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+    return _tokenizers[key]
 
 
 def pieces(
-    docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID
+    docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID,
+    special: dict[str, int] | None = None,
 ) -> DataFrame:
     """The pieces of all documents; ``turn`` is a piece's rank in its task and length."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = tokenizer(path, pattern)
+        model = tokenizer(path, pattern, special or {})
         task, turns = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in smaller_batches(batches, 256):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.append(model.encode_to_numpy(text or "", disallowed_special=()), end_id).astype("<u4")
+                ids = np.append(model.encode_to_numpy(text or "", allowed_special="all"), end_id).astype("<u4")
                 at, number = 0, 0
                 size = len(ids) % capacity or capacity
                 while at < len(ids):
@@ -160,10 +169,11 @@ class Places:
 
 
 def pack(
-    docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID
+    docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID,
+    special: dict[str, int] | None = None,
 ) -> DataFrame:
     """One row per piece with its sequence and place there; ``path`` is a rank file."""
-    cut = pieces(docs, path, pattern, capacity, end_id)
+    cut = pieces(docs, path, pattern, capacity, end_id, special)
     by_task = cut.groupBy("length", "task").agg(F.count("*").alias("n"))
     before = by_task.select(
         "length", "task",
@@ -193,19 +203,24 @@ def pack(
     )
 
 
-def pack_documents(docs: DataFrame) -> DataFrame:
+def pack_documents(docs: DataFrame, special: bool = False) -> DataFrame:
     """With the vocabulary of byte_bpe_50k.
 
     Its rank file is used: the ids are the same as by the JSON file, several times faster.
+    With ``special`` the JSON file's added tokens have their own ids where they stand in a
+    text, as by the library's default; without it they are text (encode_special_tokens).
     """
     import public_tokenizers
 
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return pack(
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+        special=added_tokens(public_tokenizers.path("byte_bpe_50k.json")) if special else None,
+    )
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    return pack_documents(table(spark, sf_dir, "documents"), special=True)
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs)
+    return pack_documents(docs, special=True)
