@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from tillwork.llm import bpe, embeddings, fingerprints, jaccard, language, licences, packing, suffix_tree, toxicity, warc
+from tillwork.llm import (
+    bpe,
+    embeddings,
+    fingerprints,
+    hard_negatives,
+    jaccard,
+    language,
+    licences,
+    merkle,
+    packing,
+    quality,
+    suffix_tree,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -15,5 +29,12 @@ QUERIES = {
     "op8_embeddings": embeddings.op8_embeddings,
     "op9_licences": licences.op9_licences,
     "op10_packing": packing.op10_packing,
+    "op11_merkle": merkle.op11_merkle,
+    "op12_quality": quality.op12_quality,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
+}
+ORACLE_SQL = {
+    "op1_warc": warc.ORACLE_SQL,
+    "op11_merkle": merkle.ORACLE_SQL,
+    "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
-ORACLE_SQL = {"op1_warc": warc.ORACLE_SQL}
