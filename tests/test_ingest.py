@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.errors import StreamingQueryException
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
-from tillwork.sources.ingest import ingest_raw_to_bronze
+from tillwork.sources.ingest import _headers, ingest_raw_to_bronze
 from tillwork.sources.landing import land_csv, land_json_array, land_json_lines
 from tillwork.sources.schemas import text_schema
 from tillwork.sources.tables import compact, read_table, write_table
@@ -48,6 +48,67 @@ def test_csv_counts_each_file_once(spark, folder, layers):
     assert table.select("file_name").distinct().count() == 3
 
 
+ODD_NAMES = ("a1", "a[1]", "b {x,y} +%41 ü", "what?", "c*", "d\\e", "[!f]")
+
+
+def test_names_of_files_are_no_patterns(spark, folder, layers):
+    """Each file counts once, whatever other file its name would match as a pattern."""
+    feed = Landing(spark, folder, layers, "csv", schema=SCHEMA)
+    for number, name in enumerate(ODD_NAMES):
+        feed.put(f"{name}.csv", f"id,name\n{number},x\n")
+    expected = [(str(i),) for i in range(len(ODD_NAMES))]
+    for _ in range(2):
+        assert feed.run("id") == expected
+
+
+@pytest.mark.parametrize("options", [{}, {"multiLine": "true"}])
+def test_names_of_json_files_are_no_patterns(spark, folder, layers, options):
+    feed = Landing(spark, folder, layers, "json", options, schema=SCHEMA)
+    for number, name in enumerate(ODD_NAMES):
+        feed.put(f"{name}.json", json.dumps({"id": str(number), "name": "x"}) + "\n")
+    assert feed.run("id") == [(str(i),) for i in range(len(ODD_NAMES))]
+
+
+def test_files_in_subfolders_count_if_asked_for(spark, folder, layers):
+    feed = Landing(spark, folder, layers, "csv", schema=SCHEMA)
+    (feed.path / "[sub]").mkdir()
+    feed.put("a.csv", "id,name\n1,a\n")
+    feed.put("[sub]/b.csv", "id,name\n2,b\n")
+    assert feed.run("id") == [("1",)]
+    feed.options, feed.folder, feed.table = {"recursiveFileLookup": "true"}, f"{feed.folder}/again", f"{feed.table}_again"
+    assert feed.run("id") == [("1",), ("2",)]
+
+
+def test_a_lone_file_with_a_pattern_for_a_name(spark, folder, layers):
+    feed = Landing(spark, folder, layers, "csv", {"inferSchema": "true"})
+    feed.put("a[1].csv", "id,name\n1,a\n")
+    assert feed.run("id", "name") == [(1, "a")]
+
+
+def test_headers_are_found_by_one_job(spark, folder, layers):
+    """Hundreds of files, three headers: the number of jobs does not follow the files."""
+    feed = Landing(spark, folder, layers, "csv", schema=text_schema(["id", "name", "more"]))
+    for i in range(300):
+        head, row = (("id,name", f"{i},n"), ("name,id", f"n,{i}"), ('"id","name","more"', f'{i},n,"x,y"'))[i % 3]
+        feed.put(f"{i}.csv", f"\n{head}\n{row}\n")
+    files = [f"file:{p}" for p in feed.path.iterdir()]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    groups = _headers(spark, files, {"header": "true"})
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert {k: len(v) for k, v in groups.items()} == {("id", "name"): 100, ("name", "id"): 100, ("id", "name", "more"): 100}
+    assert jobs < 12
+    found = feed.run("id", "name", "more")
+    assert found == sorted([(str(i), "n", "x,y" if i % 3 == 2 else None) for i in range(300)], key=repr)
+
+
+def test_headers_with_other_separators_and_comments(spark, folder, layers):
+    feed = Landing(spark, folder, layers, "csv", {"sep": "|", "comment": "#"}, schema=text_schema(["id", "a|b", "c"]))
+    feed.put("a.csv", '# made today\nid|"a|b"|c\n1|x|y\n')
+    assert feed.run("id", "`a|b`", "c") == [("1", "x", "y")]
+
+
 def test_csv_takes_columns_from_the_first_files(spark, folder, layers):
     feed = Landing(spark, folder, layers, "csv", {"sep": ";"})
     feed.put("a.csv", "id;name\n1;a\n")

@@ -6,15 +6,17 @@ from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from tillwork.operators.diff import CHANGE, table_diff
+from tillwork.operators.clustering import clustered
+from tillwork.sources import tables
 from tillwork.sources.tables import (
-    clustered,
     compact,
-    commits,
     create_layers,
-    current_location,
     expire_versions,
+    file_sizes,
+    generations,
     read_table,
     same_key,
+    table_folder,
     write_table,
 )
 
@@ -133,13 +135,76 @@ def test_a_batch_counts_once(spark, layers):
     assert rows(read_table(spark, table)) == [("b1", "x"), ("b2", "x")]
 
 
+def files_of(spark, table):
+    return set(read_table(spark, table).inputFiles())
+
+
 def test_a_small_delivery_of_new_keys_only_adds_files(spark, layers):
     table = layers("silver", "t")
     write_table(spark.range(1000).selectExpr("string(id) k", "id v"), table, "append", "k", newer_by="v")
-    before = set(read_table(spark, table).inputFiles())
+    before = files_of(spark, table)
     write_table(spark.range(1000, 1010).selectExpr("string(id) k", "id v"), table, "append", "k", newer_by="v")
-    assert before < set(read_table(spark, table).inputFiles())
-    assert [c["kind"] for c in commits(spark, table).orderBy("version").collect()] == ["create", "append"]
+    assert before < files_of(spark, table)
+
+
+def test_one_corrected_row_rewrites_one_bucket(spark, layers):
+    """Bytes written follow the delivery: of 200 buckets one is written anew."""
+    table = layers("silver", "t")
+    write_table(spark.range(40_000).selectExpr("string(id) k", "id v"), table, "merge", "k", buckets=200)
+    before, sizes = files_of(spark, table), file_sizes(spark, table).agg(F.sum("bytes")).first()[0]
+    write_table(spark.sql("SELECT '77' k, -1L v"), table, "merge", "k")
+    added = files_of(spark, table) - before
+    assert len(before - files_of(spark, table)) == len(added) == 1
+    folder = Path(f"{table_folder(spark, table).removeprefix('file:')}/{generations(spark, table)[-1]}")
+    written = sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    assert written < sizes / 50
+    assert rows(read_table(spark, table).filter("v < 0 OR k = '78'")) == [("77", -1), ("78", 78)]
+    assert read_table(spark, table).count() == 40_000
+
+
+def test_upserts_read_the_buckets_of_their_keys(spark, layers):
+    table = layers("silver", "t")
+    write_table(spark.range(400).selectExpr("string(id) k", "id v"), table, "merge", "k", buckets=40)
+    stored = tables._stored(spark, table)
+    one = stored.where(F.col(tables.BUCKET).isin([7]))
+    assert 0 < len(one.inputFiles()) < len(stored.inputFiles()) / 10
+    assert len(tables._in_places(stored, [(7, generations(spark, table)[0])]).inputFiles()) == len(one.inputFiles())
+
+
+@pytest.mark.parametrize("fails_in", ["move_folder", "_apply"])
+@pytest.mark.parametrize("mode", ["append", "merge", "overwrite"])
+def test_a_write_that_dies_before_it_is_published(spark, layers, monkeypatch, mode, fails_in):
+    """Readers see the old rows until the retry, and then the new ones once."""
+    table, old = layers("silver", "t"), [("1", "a"), ("2", "b")]
+    keys = None if mode == "append" else "k"
+    write_table(frame(spark, *old), table, "append", keys)
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    new = frame(spark, ("2", "B"), ("3", "c"))
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, fails_in, die)
+        with pytest.raises(RuntimeError, match="killed"):
+            write_table(new, table, mode, keys, batch="b1")
+        assert rows(read_table(spark, table)) == old
+    expected = {
+        "append": [*old, ("2", "B"), ("3", "c")], "merge": [("1", "a"), ("2", "B"), ("3", "c")],
+        "overwrite": [("2", "B"), ("3", "c")],
+    }[mode]
+    for _ in range(2):
+        write_table(new, table, mode, keys, batch="b1")
+        assert rows(read_table(spark, table)) == sorted(expected, key=repr)
+
+
+def test_the_next_writer_finishes_a_published_write(spark, layers, monkeypatch):
+    table = layers("silver", "t")
+    write_table(frame(spark, ("1", "a")), table, "merge", "k")
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_apply", lambda *_: None)
+        write_table(frame(spark, ("1", "b"), ("2", "b")), table, "merge", "k")
+    write_table(frame(spark, ("3", "c")), table, "merge", "k")
+    assert rows(read_table(spark, table)) == [("1", "b"), ("2", "b"), ("3", "c")]
 
 
 def test_tables_are_found_again_by_a_new_catalog(spark, folder):
@@ -153,24 +218,84 @@ def test_tables_are_found_again_by_a_new_catalog(spark, folder):
     assert rows(read_table(spark, "first_gold.t")) == [("1", "b", 7), ("2", "c", 8)]
 
 
-def test_old_versions_can_be_removed(spark, layers):
+def test_old_generations_can_be_removed(spark, folder, layers):
     table = layers("silver", "t")
     for value in "abc":
-        write_table(frame(spark, ("1", value)), table, "merge", "k")
-    locations = [c["location"] for c in commits(spark, table).orderBy("version").collect()]
+        write_table(frame(spark, ("1", value)), table, "merge", "k", buckets=1)
+    write_table(frame(spark, ("2", "d")), table, "merge", "k")
+    before = generations(spark, table)
     expire_versions(spark, table, keep=1)
-    there = [Path(x.removeprefix("file:")).exists() for x in locations]
-    assert there == [False, False, True] and rows(read_table(spark, table)) == [("1", "c")]
+    assert generations(spark, table) == before[2:] and rows(read_table(spark, table)) == [("1", "c"), ("2", "d")]
+    write_table(frame(spark, ("2", "e")), table, "merge", "k")
+    # A new catalog finds the same state.
+    create_layers(spark, folder, "expired_")
+    assert rows(read_table(spark, "expired_silver.t")) == [("1", "c"), ("2", "e")]
 
 
-def test_old_readers_keep_their_version(spark, layers):
+def test_removed_and_overwritten_rows_stay_away_in_a_new_catalog(spark, folder, layers):
+    table = layers("gold", "t")
+    write_table(frame(spark, ("1", "a"), ("2", "b")), table, "merge", "k")
+    write_table(frame(spark, schema=KV), table, "merge", "k", replaced_keys=frame(spark, ("1",), schema="k string"))
+    plain = layers("gold", "plain")
+    for value in "ab":
+        write_table(frame(spark, (value, value)), plain, "append")
+    write_table(frame(spark, ("c", "c")), plain, "overwrite")
+    expire_versions(spark, table, keep=1)
+    create_layers(spark, folder, "removed_")
+    assert rows(read_table(spark, "removed_gold.t")) == [("2", "b")]
+    assert rows(read_table(spark, "removed_gold.plain")) == [("c", "c")]
+
+
+def test_old_readers_keep_their_files(spark, layers):
     table = layers("silver", "t")
     write_table(frame(spark, ("1", "a")), table, "merge", "k")
-    before = spark.read.option("recursiveFileLookup", True).parquet(current_location(spark, table))
+    before = spark.read.parquet(*files_of(spark, table))
     write_table(frame(spark, ("1", "b")), table, "merge", "k")
     assert rows(before) == [("1", "a")] and rows(read_table(spark, table)) == [("1", "b")]
 
 
+def test_a_keyed_overwrite_writes_what_differs(spark, layers):
+    table, schema = layers("gold", "t"), "k string, v string, _gold_updated_at int"
+    write_table(frame(spark, *[(str(i), "a", 1) for i in range(50)], schema=schema), table, "overwrite", "k", buckets=16)
+    before = files_of(spark, table)
+    write_table(frame(spark, *[(str(i), "a", 2) for i in range(50)], schema=schema), table, "overwrite", "k")
+    assert files_of(spark, table) == before
+    write_table(frame(spark, *[(str(i), "b" if i == 7 else "a", 3) for i in range(1, 51)], schema=schema), table, "overwrite", "k")
+    assert len(before & files_of(spark, table)) >= len(before) - 2
+    assert read_table(spark, table).count() == 50
+    assert rows(read_table(spark, table).filter("v = 'b' OR k IN ('0', '50')")) == [("50", "a", 3), ("7", "b", 3)]
+
+
+def test_compaction_leaves_large_files_alone(spark, layers):
+    table = layers("silver", "t")
+    write_table(spark.range(50_000).selectExpr("string(id) k", "id v").coalesce(1), table, "append")
+    large = files_of(spark, table)
+    for at in range(3):
+        write_table(spark.range(at * 10, at * 10 + 10).selectExpr("string(id) k", "-id v"), table, "append", option_dict={"maxRecordsPerFile": "2"})
+    state = rows(read_table(spark, table))
+    size = Path(next(iter(large)).removeprefix("file://")).stat().st_size
+    compact(spark, table, ["k", "v"], target_bytes=size)
+    left = files_of(spark, table)
+    assert large < left and len(left) == len(large) + 1 and rows(read_table(spark, table)) == state
+    compact(spark, table, target_bytes=size)
+    assert files_of(spark, table) == left
+
+
+def test_several_cluster_keys_all_narrow_the_files(spark, folder):
+    """Row-group ranges of the second key are narrower than under a plain sort of both."""
+    df = spark.range(0, 40_000, 1, 4).selectExpr("lpad(string(hash(id) % 5000), 6, '0') a", "hash(id, 7) % 5000 b")
+
+    def width(laid, name):
+        laid.write.parquet(f"{folder}/{name}")
+        per_file = spark.read.parquet(f"{folder}/{name}").groupBy("_metadata.file_path").agg((F.max("b") - F.min("b")).alias("w"))
+        return per_file.agg(F.avg("w")).first()[0]
+
+    plain = width(df.repartitionByRange(16, "a", "b").sortWithinPartitions("a", "b"), "plain")
+    z = width(clustered(df, ["a", "b"], partitions=16), "z")
+    assert z < plain * 0.5
+    assert rows(spark.read.parquet(f"{folder}/z").groupBy("a", "b").count()) == rows(df.groupBy("a", "b").count())
+
+
 def test_options_reach_the_writer(spark, layers):
     table = layers("silver", "t")
     write_table(spark.range(10).coalesce(1), table, "append", option_dict={"maxRecordsPerFile": "2", "compression": "gzip"})

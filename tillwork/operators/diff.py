@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 CHANGE = "_change_type"
 
 
-def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], ignored: Sequence[str] = ()) -> DataFrame:
     """Rows that differ, marked insert, delete, update_pre (before) or update_post (after).
 
     Keys are unique in each state; a missing key value equals a missing one. Both
-    states need the same columns.
+    states need the same columns. Rows that differ in ``ignored`` columns only are the same.
     """
     names = new.columns
     before = old.select(F.struct(*[old[n] for n in names]).alias("before"))
@@ -31,8 +31,13 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
         .when(F.col("after").isNull(), F.array(change("delete", "before")))
         .otherwise(F.array(change("update_pre", "before"), change("update_post", "after")))
     )
+    def compared(row: str):
+        if not ignored:
+            return F.col(row)
+        return F.when(F.col(row).isNotNull(), F.struct(*[F.col(f"{row}.{n}") for n in names if n not in ignored]))
+
     return (
-        paired.filter(~F.col("before").eqNullSafe(F.col("after")))
+        paired.filter(~compared("before").eqNullSafe(compared("after")))
         .select(F.explode(changes).alias("change"))
         .select(f"change.{CHANGE}", "change.row.*")
     )

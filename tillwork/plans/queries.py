@@ -20,6 +20,7 @@ from tillwork.sources.ingest import ingest_raw_to_bronze
 from tillwork.sources.landing import LANDERS, raw_columns
 from tillwork.sources.schemas import (
     ARRIVAL,
+    CLOCKS,
     FEED_SCHEMAS,
     FEEDS,
     FILE_TIME,
@@ -34,8 +35,6 @@ from tillwork.streaming.clicks import stream_clickstream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-CLOCKS = ("_silver_processed_at", "_gold_updated_at")
-
 
 def comparable(df: DataFrame) -> DataFrame:
     """Without clock columns, in types that compare across engines.

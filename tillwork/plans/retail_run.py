@@ -1,9 +1,10 @@
 """The whole run: landing files -> bronze -> clean tables -> dimensions, facts, reports.
 
-Only tables pass between the steps. Ingest follows the landing files, clean tables, facts and
-alerts follow the commits of the table before them, so a run reads what is new; a run without
-new files changes nothing but the stock snapshot. Corrections replace older rows by the
-source's own time and move on to the facts, whatever delivery or batch they come in.
+Only tables pass between the steps. Ingest follows the landing files, clean tables, facts, the
+daily report and alerts follow the change feed of the table before them, so a run reads what is
+new and writes the partitions that it concerns; a run without new files changes nothing but the
+stock snapshot. Corrections replace older rows by the source's own time and move on to the facts
+and the report, whatever delivery or batch they come in.
 """
 
 from __future__ import annotations
@@ -15,12 +16,15 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillwork.operators.diff import CHANGE
 from tillwork.plans import clean, marts
+from tillwork.plans.daily_view import maintain_daily_sales
 from tillwork.sources.ingest import ingest_raw_to_bronze
 from tillwork.sources.schemas import FEED_SCHEMAS, FEEDS, GOLD_TABLES, ORDER, SILVER_TABLES, Contract
 from tillwork.sources.tables import create_layers, read_table, write_table
 from tillwork.streaming.alerts import stream_low_stock
-from tillwork.streaming.progress import follow_table
+from tillwork.streaming.clicks import stream_clickstream
+from tillwork.streaming.progress import GENERATION, change_feed, current_rows, follow_table
 
 CLEANERS = {
     "customers": clean.bronze_sql_customers_silver,
@@ -31,11 +35,6 @@ CLEANERS = {
 }
 
 
-def _write(df: DataFrame, table: str, contract: Contract, **options) -> None:
-    # Every table of the run is deduplicated or grouped by its key.
-    write_table(df, table, contract.mode, contract.keys, contract.cluster, check_unique=False, **options)
-
-
 def together(steps: Sequence[Callable[[], None]]) -> None:
     """Independent steps at the same time, so a small feed does not hold up a large one."""
     with ThreadPoolExecutor(len(steps)) as pool:
@@ -53,9 +52,14 @@ class RetailRun:
         root: str,
         prefix: str = "",
         max_files_per_batch: int | None = None,
+        buckets: int | None = None,
     ):
-        """``max_files_per_batch`` cuts a very large load into several commits; the result is the same."""
+        """``max_files_per_batch`` cuts a very large load into several writes; the result is the same.
+
+        ``buckets`` is the number of hash buckets of the tables a first run makes.
+        """
         self.spark, self.landing, self.root, self.prefix = spark, landing, root, prefix
+        self.buckets = buckets
         self.stream_options = (
             {"maxFilesPerTrigger": str(max_files_per_batch)} if max_files_per_batch else {}
         )
@@ -84,18 +88,25 @@ class RetailRun:
 
     def clean(self, feed: str) -> None:
         """New bronze rows of one feed to its clean table."""
-        table = FEEDS[feed].table
-        follow_table(
-            self.spark,
-            self.name("bronze", table),
-            self.checkpoint(f"{table}_silver"),
-            lambda rows: _write(
-                CLEANERS[feed](rows), self.name("silver", table), SILVER_TABLES[table], newer_by=ORDER
-            ),
+        source, table = self.name("bronze", FEEDS[feed].table), self.name("silver", FEEDS[feed].table)
+        checkpoint, contract = self.checkpoint(f"{FEEDS[feed].table}_silver"), SILVER_TABLES[FEEDS[feed].table]
+        if feed == "clicks":
+            stream_clickstream(change_feed(self.spark, source).drop(CHANGE, GENERATION), table, checkpoint)
+            return
+
+        def add(changes: DataFrame, batch: str) -> None:
+            self._write(CLEANERS[feed](current_rows(changes)), table, contract, newer_by=ORDER, batch=batch)
+
+        follow_table(self.spark, source, checkpoint, add)
+
+    def _write(self, df: DataFrame, table: str, contract: Contract, **options) -> None:
+        # Every table of the run is deduplicated or grouped by its key.
+        write_table(
+            df, table, contract.mode, contract.keys, contract.cluster, check_unique=False, buckets=self.buckets, **options
         )
 
     def _gold(self, df: DataFrame, table: str, **options) -> None:
-        _write(df, self.name("gold", table), GOLD_TABLES[table], **options)
+        self._write(df, self.name("gold", table), GOLD_TABLES[table], **options)
 
     def _silver(self, table: str) -> DataFrame:
         return self.table("silver", table).drop(ORDER)
@@ -104,15 +115,15 @@ class RetailRun:
         """Changed clean rows replace their facts; a row that is no longer valid takes its fact along."""
         contract = GOLD_TABLES[table]
 
-        def replace(rows: DataFrame) -> None:
+        def replace(changes: DataFrame, batch: str) -> None:
+            rows = current_rows(changes, contract.keys).drop(ORDER)
             write_table(
-                transform(rows.drop(ORDER)), self.name("gold", table), "merge", contract.keys, contract.cluster,
-                check_unique=False, replaced_keys=rows,
+                transform(rows), self.name("gold", table), "merge", contract.keys, contract.cluster,
+                check_unique=False, replaced_keys=changes.select(*contract.keys).distinct(), batch=batch,
+                buckets=self.buckets,
             )
 
-        follow_table(
-            self.spark, self.name("silver", source), self.checkpoint(table), replace, SILVER_TABLES[source].keys
-        )
+        follow_table(self.spark, self.name("silver", source), self.checkpoint(table), replace)
 
     def customers(self) -> None:
         customers, crm = self._silver("sql_customers"), self._silver("crm_customers")
@@ -134,9 +145,12 @@ class RetailRun:
         self._fact("clickstream", "fact_clicks", marts.transfer_silver_to_gold_fact_clicks)
 
     def daily_sales(self) -> None:
-        gold = partial(self.table, "gold")
-        report = marts.daily_sales(gold("dim_customers"), gold("dim_products"), gold("fact_sales"))
-        self._gold(report, "fact_daily_sales")
+        """The report's groups that changed sales, customers or products concern."""
+        gold = partial(self.name, "gold")
+        maintain_daily_sales(
+            self.spark, gold("dim_customers"), gold("dim_products"), gold("fact_sales"), gold("fact_daily_sales"),
+            self.checkpoint("fact_daily_sales"),
+        )
 
     def low_stock(self) -> None:
         """Alerts for the clicks that are new, by the stock as it is now."""

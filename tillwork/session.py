@@ -1,8 +1,7 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings and folders on the cluster's file systems."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,17 +33,46 @@ def build_session(app: str = "tillwork", master: str | None = None, **settings:
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
-    Without the setting only a session without executors, as in tests, may go on, in a
-    temporary folder.
+    Without the setting, as in tests, it lies in the warehouse, which is shared as well.
     """
     shared = spark.conf.get(CHECKPOINT_SETTING, None)
     if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local["):
-            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tillwork-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def remove_folder(spark: SparkSession, folder: str) -> None:
+def _path(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    system, path = _path(spark, folder)
+    system.delete(path, True)
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    system, path = _path(spark, folder)
+    system.mkdirs(path)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """One rename; the parent of ``target`` is made if need be."""
+    system, path = _path(spark, source)
+    to = _path(spark, target)[1]
+    system.mkdirs(to.getParent())
+    if not system.rename(path, to):
+        raise OSError(f"{source} can't be renamed to {target}")
+
+
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in ``folder``, in order; none if it is missing."""
+    system, path = _path(spark, folder)
+    if not system.exists(path):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(path) if s.isDirectory())
+
+
+def literal_path(path: str) -> str:
+    """``path`` for readers that take patterns: signs of patterns stand for themselves."""
+    return "".join(f"\\{sign}" if sign in "\\*?[]{}" else sign for sign in path)

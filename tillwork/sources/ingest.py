@@ -13,13 +13,15 @@ Columns are told apart without regard to case; a second spelling is rescued, not
 from __future__ import annotations
 
 import json
+import re
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import AtomicType, StringType, StructField, StructType
 
+from tillwork.session import literal_path
 from tillwork.sources.schemas import ARRIVAL, FILE_TIME, RESCUED, SOURCE_FILE, text_schema
 from tillwork.sources.tables import write_table
 
@@ -27,7 +29,7 @@ _CORRUPT = "_corrupt_record"
 _EXTRA = "_extra_value"
 _LOG_SCHEMA = "version LONG, feed_schema STRING"
 _FILES = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
-HEADER_READERS = 16
+HEADER_OPTIONS = ("multiline", "encoding", "charset")  # with these a line of text is no record
 # Options of the reader that are the file stream's own.
 STREAM_OPTIONS = ("maxfilespertrigger", "pathglobfilter", "recursivefilelookup")
 
@@ -94,23 +96,72 @@ def _grown(names: list[str], columns: list[str]) -> list[str]:
 # CSV
 
 
-def _headers(spark: SparkSession, files: list[str], options: dict[str, str]) -> dict[tuple[str, ...], list[str]]:
-    """The files by their header; each header is read by itself, several at a time."""
-    plain = {**_without(options, "header", "inferschema"), "header": "false"}
+def _paths(files: list[str]) -> list[str]:
+    """Names of files as readers take them: none is a pattern."""
+    return [literal_path(f) for f in files]
 
-    def header(path: str) -> tuple[str, ...]:
-        first = spark.read.options(**plain).csv(path).first()
-        return tuple((name or "").strip() for name in first or ())
 
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        found = list(pool.map(header, files))
+def _headers(spark: SparkSession, files: list[str], options: dict[str, str]) -> dict[tuple[str, ...], list[str]]:
+    """The files by their header.
+
+    One job finds the first line of each file, whatever their number: the lines of a file's
+    first block, reduced to the earliest one where they are read. Each different line is then
+    taken apart by the CSV reader.
+    """
+    plain = {**_without(options, "header", "inferschema"), "header": "false"}
+    if any(k.lower() in HEADER_OPTIONS for k in options):
+        lines = [(path, None) for path in files]
+    else:
+        given = {k.lower(): v for k, v in options.items()}
+        texts = {k: v for k, v in options.items() if k.lower() == "linesep"}
+        first = (
+            spark.read.options(**texts).text(_paths(files))
+            .where(F.col("_metadata.file_block_start") == 0)
+            .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+            .where(F.trim("value") != "")
+        )
+        if given.get("comment"):
+            first = first.where(~F.col("value").startswith(given["comment"]))
+        by_line = first.groupBy("file").agg(F.min_by("value", "at").alias("line")).collect()
+        at = {_uri(unquote(r["file"])): r["line"] for r in by_line}  # an empty file has no line
+        lines = [(path, at[_uri(path)]) for path in files if _uri(path) in at]
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path, names in zip(files, found):
-        if names:  # an empty file has no header
-            groups[names].append(path)
+    known: dict[str, tuple[str, ...]] = {}
+    for path, line in lines:
+        if line is None:
+            found = tuple(spark.read.options(**plain).csv(_paths([path])).first() or ())
+        elif line in known:
+            found = known[line]
+        else:
+            found = known[line] = _values(spark, line, plain)
+        if found:
+            groups[tuple((name or "").strip() for name in found)].append(path)
     return dict(groups)
 
 
+def _values(spark: SparkSession, line: str, options: dict[str, str]) -> tuple[str | None, ...]:
+    """The values of one line of CSV."""
+    given = {k.lower(): v for k, v in options.items()}
+    places = line.count(given.get("sep", given.get("delimiter", ","))) + 1
+    schema = ", ".join(f"_{i} STRING" for i in range(places))
+    row = spark.range(1).select(F.from_csv(F.lit(line), schema, _without(options, "header")).alias("row")).first()["row"]
+    found = list(row or ())
+    if given.get("quote", '"') in line:  # quoted separators make fewer values
+        while found and found[-1] is None:
+            found.pop()
+    return tuple(found)
+
+
+def _uri(path: str) -> str:
+    """One spelling for a path of the file stream and of file metadata."""
+    return re.sub("^file:/+", "file:/", path)
+
+
+def _depth(path: str) -> int:
+    """Folders above a path, whatever its file system."""
+    return re.sub(r"^\w[\w+.-]*:(//[^/]*)?", "", path).strip("/").count("/")
+
+
 def _csv_rows(spark, files, names, columns, options, has_header) -> DataFrame:
     """Files of one header: values by name, what has no column as JSON, long rows as they are."""
     places = [f"_{i}" for i in range(len(names))]
@@ -118,7 +169,7 @@ def _csv_rows(spark, files, names, columns, options, has_header) -> DataFrame:
         spark.read.schema(text_schema([*places, _EXTRA, _CORRUPT]))
         .options(**_without(options, "header", "inferschema"))
         .options(header=str(has_header).lower(), columnNameOfCorruptRecord=_CORRUPT)
-        .csv(files)
+        .csv(_paths(files))
     )
     found, rest = _known(list(names), columns)
     at = {n: F.col(p) for n, p in reversed(list(zip(names, places)))}
@@ -160,8 +211,8 @@ def _documents(spark: SparkSession, files: list[str], options: dict[str, str]) -
         F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_modification_time").alias(FILE_TIME)
     ]
     if not _flag(options, "multiLine"):
-        return spark.read.options(**_without(options, "mode")).text(files).select("value", *meta)
-    whole = spark.read.text(files, wholetext=True).select(F.trim("value").alias("whole"), *meta)
+        return spark.read.options(**_without(options, "mode")).text(_paths(files)).select("value", *meta)
+    whole = spark.read.text(_paths(files), wholetext=True).select(F.trim("value").alias("whole"), *meta)
     parse = {"mode": options["mode"]} if "mode" in options else {}
     listed = F.from_json("whole", "array<string>", parse)
     is_list = F.ltrim("whole").startswith("[")
@@ -196,7 +247,7 @@ def _read_json(spark, files, options, columns, grow) -> tuple[DataFrame, list[st
 def _inferred(spark, files, file_format, options) -> StructType:
     """The types Spark finds in the first batch of files; nested values stay text."""
     reader = spark.read.options(**_without(options, *STREAM_OPTIONS))
-    found = (reader.json(files) if file_format == "json" else reader.csv(files)).schema
+    found = (reader.json(_paths(files)) if file_format == "json" else reader.csv(_paths(files))).schema
     plain = [f for f in found if f.name != _CORRUPT]
     return StructType([
         StructField(f.name.strip(), f.dataType if isinstance(f.dataType, AtomicType) else StringType()) for f in plain
@@ -250,9 +301,12 @@ def ingest_raw_to_bronze(
     log = SchemaLog(spark, f"{checkpoint_path}/schema")
     read = _read_csv if file_format == "csv" else _read_json
 
+    nested = _flag(own, "recursiveFileLookup")
+    deepest = _depth(source_path) + 1
+
     def add(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        files = sorted(r["path"] for r in batch.collect())
+        files = sorted(r["path"] for r in batch.collect() if nested or _depth(r["path"]) <= deepest)
         if not files:
             return
         logged = log.last()
@@ -275,6 +329,9 @@ def ingest_raw_to_bronze(
 
     query = (
         spark.readStream.format("binaryFile").schema(_FILES).options(**own)
+        # Otherwise a file whose name looks like a pattern brings its neighbours along. Files in
+        # subfolders are left out above.
+        .option("recursiveFileLookup", "true")
         .option("maxFileAge", "36500d")  # the default leaves out files a week older than the newest
         .load(source_path).select("path")  # the content isn't read here
         .writeStream.foreachBatch(add)

@@ -1,16 +1,25 @@
 """Catalog tables on plain parquet: create, overwrite, append, upsert, compact.
 
-A table is an external parquet table whose folder holds versions (``live-...``), each a
-folder of row folders, and a list of commits. An append adds a row folder to the current
-version; overwrite, merge with replaced rows and compact write a new version and then point
-the table at it, so a reader keeps the files it started with and a failed job leaves the
-table as it was. Each commit is listed with its kind, its version's folder and the folder of
-the rows it brought. The list is what other jobs follow, and what a new process or a lost
-catalog registers the tables from. One writer per table at a time.
+A table is an external parquet table, partitioned by hash bucket of its keys and by the write
+that brought the rows. The catalog says where each partition lies, and that is all a reader
+needs. A write puts its files aside, in a folder of its own (a generation), and publishes them
+last: the folder gets its place by one rename, then the catalog gets its partitions, all new
+ones in one statement, replaced ones by a new location each. A job that fails before leaves the
+table as it was; a job that fails between is finished by the next writer, from the folder.
+
+A generation holds ``new`` (rows that were added), ``kept`` (partitions written anew because
+some of their rows were replaced or removed), ``gone`` (partitions without rows now) and
+``changes`` (those rows before and after). ``new`` and ``changes`` are the table's change feed;
+other jobs follow them with a file stream (``streaming.progress``). An upsert reads the buckets
+of its keys and writes the partitions that hold them; all other files stay as they are.
+
+Names of folders say which partition is which, so a session whose catalog doesn't outlive it
+registers the tables again from them. One writer per table at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Sequence
@@ -21,91 +30,225 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tillwork.session import remove_folder, scratch_folder
+from tillwork.operators.clustering import clustered
+from tillwork.operators.diff import CHANGE, table_diff
+from tillwork.session import (
+    literal_path,
+    make_folder,
+    move_folder,
+    remove_folder,
+    scratch_folder,
+    subfolders,
+)
+from tillwork.sources.schemas import CLOCKS
 
 # Layer names and write modes.
 LAYERS = ("bronze", "silver", "gold")
 WRITE_MODES = ("merge", "append", "overwrite")
 
+BUCKET, BATCH = "_bucket", "_batch"
+PLACE = (BUCKET, BATCH)
+BUCKETS = 8  # of a keyed table, unless its first write says otherwise
+TARGET_FILE_BYTES = 128 * 1024 * 1024
+LAYOUT = "number LONG, keys ARRAY<STRING>, buckets INT, table_schema STRING"
+APPLIED = "tillwork.applied"  # table property: the last generation the catalog knows
 
-COMMIT = "version LONG, kind STRING, location STRING, changes STRING, batch STRING, table_schema STRING"
-VERSION = "tillwork.version"  # table property: the last commit the catalog knows
+
+# The catalog
 
 
 def create_layers(spark: SparkSession, root: str, prefix: str = "") -> None:
     """One database per layer, its tables under ``root/<layer>``.
 
-    Tables that an earlier process wrote there are registered from their commit lists.
+    Tables that an earlier process wrote there are registered from their folders.
     """
     for layer in LAYERS:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{layer}` LOCATION '{root}/{layer}'")
         try:
-            listed = spark.read.schema(COMMIT).json(f"{root}/{layer}/*/commits")
+            listed = spark.read.schema(LAYOUT).json(f"{literal_path(f'{root}/{layer}')}/*/layout")
         except AnalysisException:
             continue  # no table yet
         table = F.element_at(F.split("_metadata.file_path", "/"), -3).alias("table")
-        last = listed.groupBy(table).agg(F.max_by(F.struct("*"), "version").alias("commit"))
+        last = listed.groupBy(table).agg(F.max_by(F.struct("*"), "number").alias("layout"))
         for row in last.collect():
-            _register(spark, f"{prefix}{layer}.{row['table']}", row["commit"])
+            name, layout = f"{prefix}{layer}.{row['table']}", row["layout"]
+            if not spark.catalog.tableExists(name):
+                schema = StructType.fromJson(json.loads(layout["table_schema"]))
+                _catalog_entry(spark, name, schema, layout["keys"], layout["buckets"])
+            _settle(spark, name)
 
 
-def _register(spark: SparkSession, name: str, commit) -> None:
-    """Bring the catalog's entry of a table to its last commit."""
-    schema = StructType.fromJson(json.loads(commit["table_schema"]))
-    if not spark.catalog.tableExists(name):
-        _catalog_entry(spark, name, commit["location"], schema, commit["version"])
-    elif _version(spark, name) < commit["version"]:
-        _switch(spark, name, commit["location"], schema, commit["version"])
+def table_folder(spark: SparkSession, name: str) -> str:
+    database, _, table = name.rpartition(".")
+    location = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{location.rstrip('/')}/{table}"
 
 
-def _catalog_entry(spark: SparkSession, name: str, location: str, schema: StructType, version: int) -> None:
-    spark.catalog.createTable(name, path=location, source="parquet", schema=schema, recursiveFileLookup="true")
-    _set_version(spark, name, version)
+def _columns(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
 
-def _set_version(spark: SparkSession, name: str, version: int) -> None:
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{VERSION}' = '{version}')")
+def _catalog_entry(spark: SparkSession, name: str, schema: StructType, keys: Sequence[str], buckets: int) -> None:
+    spark.sql(
+        f"CREATE TABLE {name} ({_columns(schema)}, {BUCKET} INT, {BATCH} STRING) USING parquet"
+        f" PARTITIONED BY ({BUCKET}, {BATCH}) LOCATION '{table_folder(spark, name)}'"
+        f" TBLPROPERTIES ('tillwork.keys' = '{json.dumps(list(keys))}', 'tillwork.buckets' = '{buckets}')"
+    )
 
 
-def _version(spark: SparkSession, name: str) -> int:
-    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == VERSION).first()
-    return int(found["value"]) if found else 0
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
 
-def commits(spark: SparkSession, name: str) -> DataFrame:
-    """The commits of a table, one row each."""
-    return spark.read.schema(COMMIT).json(f"{table_folder(spark, name)}/commits")
+def _write_layout(spark: SparkSession, name: str, number: int, schema: StructType, keys: Sequence[str], buckets: int) -> None:
+    """Noted when a table is made and when columns are added."""
+    row = [(number, list(keys), buckets, schema.json())]
+    spark.createDataFrame(row, LAYOUT).coalesce(1).write.mode("append").json(f"{table_folder(spark, name)}/layout")
 
 
-def _commit(
-    spark: SparkSession, name: str, version: int, kind: str, location: str, changes: str | None,
-    schema: StructType, batch: str | None,
-) -> None:
-    """List a commit; from here on it counts, the catalog follows."""
-    row = spark.range(1).select(
-        F.lit(version).cast("long").alias("version"), F.lit(kind).alias("kind"), F.lit(location).alias("location"),
-        F.lit(changes).cast("string").alias("changes"), F.lit(batch).cast("string").alias("batch"),
-        F.lit(schema.json()).alias("table_schema"),
-    )
-    row.write.mode("append").json(f"{table_folder(spark, name)}/commits")
+def _stored(spark: SparkSession, name: str) -> DataFrame:
+    """The table with its partition columns, also when another session of this application wrote it."""
+    spark.catalog.refreshTable(name)
+    return spark.read.table(name)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """Current state of a table, also when another session of this application wrote it."""
+    """Current state of a table."""
+    return _stored(spark, name).drop(*PLACE)
+
+
+def table_schema(spark: SparkSession, name: str) -> StructType:
+    return StructType([f for f in spark.table(name).schema if f.name not in PLACE])
+
+
+# Generations
+
+
+def generations(spark: SparkSession, name: str) -> list[str]:
+    return [n for n in subfolders(spark, table_folder(spark, name)) if n[0].isdigit()]
+
+
+def known_batch(spark: SparkSession, name: str, batch: str) -> bool:
+    """Whether a write of this name has been published."""
+    return any(g.endswith(f"-{_token(batch)}") for g in generations(spark, name))
+
+
+def _partitions(spark: SparkSession, folder: str, kind: str) -> list[tuple[int, str, str]]:
+    """``(bucket, batch, folder)`` of the partitions of one kind in a generation."""
+    found, batch = [], folder.rpartition("/")[2]
+    for bucket in subfolders(spark, f"{folder}/{kind}"):
+        number, path = int(bucket.partition("=")[2]), f"{folder}/{kind}/{bucket}"
+        if kind == "new":
+            found.append((number, batch, path))
+        else:
+            found += [(number, b.partition("=")[2], f"{path}/{b}") for b in subfolders(spark, path)]
+    return found
+
+
+def _spec(bucket: int, batch: str) -> str:
+    return f"PARTITION ({BUCKET} = {bucket}, {BATCH} = '{batch}')"
+
+
+def _apply(spark: SparkSession, name: str, generation: str) -> None:
+    """Tell the catalog about a generation. May be repeated."""
+    folder = f"{table_folder(spark, name)}/{generation}"
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    gone = [
+        _spec(b, batch) for b, batch, _ in _partitions(spark, folder, "gone") if f"{BUCKET}={b}/{BATCH}={batch}" in known
+    ]
+    if gone:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(gone)}")
+    added = _partitions(spark, folder, "new")
+    for bucket, batch, path in _partitions(spark, folder, "kept"):
+        if f"{BUCKET}={bucket}/{BATCH}={batch}" in known:
+            spark.sql(f"ALTER TABLE {name} {_spec(bucket, batch)} SET LOCATION '{path}'")
+        else:
+            added.append((bucket, batch, path))
+    if added:
+        places = " ".join(f"{_spec(bucket, batch)} LOCATION '{path}'" for bucket, batch, path in added)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {places}")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{APPLIED}' = '{generation}')")
     spark.catalog.refreshTable(name)
-    return spark.read.table(name)
 
 
-def table_folder(spark: SparkSession, name: str) -> str:
-    """Folder below which the table's versions are kept."""
-    database, _, table = name.rpartition(".")
-    location = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
-    return f"{location.rstrip('/')}/{table}"
+def _settle(spark: SparkSession, name: str) -> list[str]:
+    """Finish what a failed writer, or one with another catalog, has left; the table's generations."""
+    found = generations(spark, name)
+    applied = _properties(spark, name).get(APPLIED, "")
+    for generation in found:
+        if generation > applied:
+            _grow(spark, name, _last_schema(spark, name))
+            _apply(spark, name, generation)
+    return found
+
+
+def _last_schema(spark: SparkSession, name: str) -> StructType:
+    listed = spark.read.schema(LAYOUT).json(literal_path(f"{table_folder(spark, name)}/layout"))
+    return StructType.fromJson(json.loads(listed.orderBy(F.desc("number")).first()["table_schema"]))
+
+
+def _grow(spark: SparkSession, name: str, schema: StructType) -> None:
+    known = spark.table(name).columns
+    new = StructType([f for f in schema if f.name not in known])
+    if len(new):
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns(new)})")
+
+
+def _token(batch: str | None) -> str:
+    return hashlib.md5(batch.encode()).hexdigest() if batch else uuid.uuid4().hex
 
 
-def current_location(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'")
-    return rows.first()["data_type"]
+class _Write:
+    """One generation of a table: files put aside, then published."""
+
+    def __init__(self, spark: SparkSession, name: str, batch: str | None, cluster_keys, options: dict[str, str]):
+        self.spark, self.name, self.cluster_keys, self.options = spark, name, cluster_keys, options
+        found = generations(spark, name)
+        self.number = int(found[-1].partition("-")[0]) + 1 if found else 1
+        self.generation = f"{self.number:012d}-{_token(batch)}"
+        self.folder = table_folder(spark, name)
+        self.aside = f"{self.folder}/_writing/{self.generation}"
+        remove_folder(spark, self.aside)  # of an attempt that failed
+        properties = _properties(spark, name)
+        self.keys, self.buckets = json.loads(properties["tillwork.keys"]), int(properties["tillwork.buckets"])
+
+    def bucket(self) -> Column:
+        """The bucket of a row: by the hash of its keys, a missing key value counts as one."""
+        return F.pmod(F.hash(*self.keys), F.lit(self.buckets)) if self.keys else F.lit(0)
+
+    def _put(self, df: DataFrame, kind: str, places: Sequence[str]) -> None:
+        if self.cluster_keys:
+            laid = clustered(df, self.cluster_keys, places)
+        else:
+            laid = df.hint("rebalance", *places) if self.buckets > 1 else df.hint("rebalance")
+        laid.write.options(**self.options).partitionBy(*places).parquet(f"{self.aside}/{kind}")
+
+    def new(self, rows: DataFrame) -> None:
+        self._put(rows.withColumn(BUCKET, self.bucket()), "new", (BUCKET,))
+
+    def kept(self, rows: DataFrame, places: Sequence[tuple[int, str]]) -> None:
+        """All rows that the partitions ``places`` have from now on."""
+        self._put(rows, "kept", PLACE)
+        held = {(b, batch) for b, batch, _ in _partitions(self.spark, self.aside, "kept")}
+        for bucket, batch in places:
+            if (bucket, batch) not in held:
+                make_folder(self.spark, f"{self.aside}/gone/{BUCKET}={bucket}/{BATCH}={batch}")
+
+    def changes(self, rows: DataFrame) -> None:
+        rows.write.parquet(f"{self.aside}/changes")
+
+    def publish(self, schema: StructType) -> None:
+        spark, name = self.spark, self.name
+        if any(f.name not in spark.table(name).columns for f in schema):
+            known = table_schema(spark, name)
+            grown = StructType([*known, *[f for f in schema if f.name not in known.names]])
+            _write_layout(spark, name, self.number, grown, self.keys, self.buckets)
+            _grow(spark, name, grown)
+        move_folder(spark, self.aside, f"{self.folder}/{self.generation}")
+        _apply(spark, name, self.generation)
+
+
+# Writes
 
 
 def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -143,26 +286,6 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
         raise ValueError(f"{what}: several rows share one value of {list(keys)}")
 
 
-def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Range-partition and sort by ``keys`` so file statistics can skip data.
-
-    A hash of the whole row ends the range key, so rows of one hot key value may be
-    cut into several ranges instead of all landing in one task.
-    """
-    return df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys)
-
-
-def _laid_out(df: DataFrame, cluster_keys: Sequence[str] | None) -> DataFrame:
-    return clustered(df, cluster_keys) if cluster_keys else df.hint("rebalance")
-
-
-def _add_columns(spark: SparkSession, name: str, schema: StructType) -> None:
-    known = spark.table(name).columns
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in known]
-    if fields:
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(fields)})")
-
-
 def _to_table_types(df: DataFrame, schema: StructType) -> DataFrame:
     """Known columns in the table's types, then the new ones; absent columns become null."""
     given = set(df.columns)
@@ -173,59 +296,55 @@ def _to_table_types(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*known, *[n for n in df.columns if n not in schema.names])
 
 
-def _folder(spark: SparkSession, name: str, kind: str) -> str:
-    return f"{table_folder(spark, name)}/{kind}-{uuid.uuid4().hex}"
+def _place() -> Column:
+    """A partition as text, on which a filter prunes partitions."""
+    return F.concat_ws("/", F.col(BUCKET).cast("string"), BATCH)
 
 
-def _rows_folder(location: str) -> str:
-    return f"{location}/rows-{uuid.uuid4().hex}"
+def _in_places(df: DataFrame, places: Sequence[tuple[int, str]]) -> DataFrame:
+    return df.where(_place().isin([f"{bucket}/{batch}" for bucket, batch in places]))
 
 
-def _switch(spark: SparkSession, name: str, location: str, schema: StructType, version: int) -> None:
-    _add_columns(spark, name, schema)
-    if current_location(spark, name).rstrip("/") != location:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-    _set_version(spark, name, version)
-    spark.catalog.refreshTable(name)
-
-
-def _new_version(
-    df: DataFrame, name: str, kind: str, cluster_keys, options, changes: str | None = None, batch: str | None = None
-) -> None:
-    """Write all rows of the table anew and point the table at them."""
+def _create(df: DataFrame, name: str, keys, buckets, cluster_keys, options, check: bool, batch: str | None) -> None:
     spark = df.sparkSession
-    location = _folder(spark, name, "live")
-    _laid_out(df, cluster_keys).write.options(**options).parquet(_rows_folder(location))
-    version = _version(spark, name) + 1
-    _commit(spark, name, version, kind, location, changes, df.schema, batch)
-    _switch(spark, name, location, df.schema, version)
+    with Stage(spark) as stage:
+        if keys and check:
+            df = stage.keep(df, "create")
+            require_unique(df, keys, name)
+        elif cluster_keys:
+            df = stage.keep(df, "create")  # clustering reads its rows several times
+        buckets = (buckets or BUCKETS) if keys else 1
+        _write_layout(spark, name, 0, df.schema, keys, buckets)
+        _catalog_entry(spark, name, df.schema, keys, buckets)
+        _add_rows(df, name, cluster_keys, options, batch)
 
 
-def _create(df: DataFrame, name: str, keys, cluster_keys, options, check: bool, batch: str | None) -> None:
-    spark = df.sparkSession
-    location = _folder(spark, name, "live")
-    rows = _rows_folder(location)
-    _laid_out(df, cluster_keys).write.options(**options).parquet(rows)
-    if keys and check:
-        require_unique(spark.read.schema(df.schema).parquet(rows), keys, name)
-    _commit(spark, name, 1, "create", location, rows, df.schema, batch)
-    _catalog_entry(spark, name, location, df.schema, 1)
+def _add_rows(df: DataFrame, name: str, cluster_keys, options: dict[str, str], batch: str | None) -> None:
+    write = _Write(df.sparkSession, name, batch, cluster_keys, options)
+    write.new(df)
+    write.publish(df.schema)
 
 
-def _add_rows(df: DataFrame, name: str, cluster_keys, options: dict[str, str], batch: str | None) -> None:
-    """Add rows to the current version, in a folder of their own."""
+def _replace_all(df: DataFrame, name: str, cluster_keys, options: dict[str, str], batch: str | None) -> None:
+    """All rows anew. A bucket's rows take the place of one of its partitions, the others go."""
     spark = df.sparkSession
-    location = current_location(spark, name).rstrip("/")
-    rows = _rows_folder(location)
-    _laid_out(df, cluster_keys).write.options(**options).parquet(rows)
-    version = _version(spark, name) + 1
-    schema = _merged_schema(spark.table(name).schema, df.schema)
-    _commit(spark, name, version, "append", location, rows, schema, batch)
-    _switch(spark, name, location, schema, version)
+    write = _Write(spark, name, batch, cluster_keys, options)
+    places = _known_places(spark, name)
+    first: dict[int, str] = {}
+    for bucket, old in places:
+        first.setdefault(bucket, old)
+    chosen = F.lit(write.generation)
+    for bucket, old in first.items():
+        chosen = F.when(F.col(BUCKET) == bucket, F.lit(old)).otherwise(chosen)
+    write.kept(df.withColumn(BUCKET, write.bucket()).withColumn(BATCH, chosen), places)
+    before = read_table(spark, name).withColumn(CHANGE, F.lit("delete"))
+    write.changes(before.unionByName(df.withColumn(CHANGE, F.lit("insert")), allowMissingColumns=True))
+    write.publish(df.schema)
 
 
-def _merged_schema(known: StructType, given: StructType) -> StructType:
-    return StructType([*known, *[f for f in given if f.name not in known.names]])
+def _known_places(spark: SparkSession, name: str) -> list[tuple[int, str]]:
+    listed = [r[0].split("/") for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    return sorted((int(b.partition("=")[2]), x.partition("=")[2]) for b, x in listed)
 
 
 def _put(
@@ -234,40 +353,65 @@ def _put(
 ) -> None:
     """Rows by key: new keys are added; known ones replaced, kept, or replaced by newer rows.
 
-    The table's keys are first reduced to those that also occur in ``df``. With a small
-    ``df`` Spark broadcasts its keys for that, so the large table is scanned for its key
-    columns and not shuffled. Only if rows are to be replaced is a new version written.
+    Of the table's keys only those in the buckets of the offered keys are read, and they are
+    first reduced to the offered ones; with a small ``df`` Spark broadcasts its keys for that,
+    with a large one it filters the scan by a Bloom filter of them, so the large table is not
+    shuffled. Partitions that hold a replaced or removed row are written anew without it; a
+    row that replaces another one goes to the same partition.
     """
     spark = df.sparkSession
-    target = read_table(spark, name)
+    write = _Write(spark, name, batch, cluster_keys, options)
+    schema = table_schema(spark, name)
     with Stage(spark) as stage:
-        rows = stage.keep(_to_table_types(df, target.schema), "put")
+        rows = stage.keep(_to_table_types(df, schema), "put")
         if check:
             require_unique(rows, keys, name)
-        asked = rows.select(*keys) if removed is None else stage.keep(removed.select(*keys).distinct(), "asked")
-        known = target.select(*keys, *([newer_by] if newer_by else []))
+        asked = rows.select(*keys)
+        if removed is not None:
+            types = StructType([schema[k] for k in keys])
+            asked = stage.keep(asked.unionAll(_to_table_types(removed.select(*keys), types)).distinct(), "asked")
+        target = _stored(spark, name)
+        if list(keys) == write.keys:
+            buckets = [r[0] for r in asked.select(write.bucket()).distinct().collect()]  # at most ``buckets``
+            target = target.where(F.col(BUCKET).isin(buckets))
+        known = target.select(*keys, *([newer_by] if newer_by else []), *PLACE)
         present = stage.keep(known.join(asked, same_key(known, asked, keys), "left_semi"), "present")
-        hit = present.select(*keys)
+        hit = present.select(*keys, *PLACE)
         if newer_by:
             stored = present.withColumnRenamed(newer_by, "__stored")
             # As structs, a missing value comes before all others.
             offered, held = F.struct(rows[newer_by].alias("at")), F.struct(stored["__stored"].alias("at"))
             older = same_key(rows, stored, keys) & ~(offered > held)
-            rows = rows.join(stored, older, "left_anti")
-            hit = present.join(rows, same_key(present, rows, keys), "left_semi").select(*keys)
+            rows = stage.keep(rows.join(stored, older, "left_anti"), "newer")
+            hit = stage.keep(hit.join(rows, same_key(hit, rows, keys), "left_semi"), "hit")
         elif not replace:
             rows, hit = rows.join(hit, same_key(rows, hit, keys), "left_anti"), None
-        if hit is None or hit.isEmpty():
+        # At most the table's partitions.
+        places = [] if hit is None else [(r[BUCKET], r[BATCH]) for r in hit.select(*PLACE).distinct().collect()]
+        if not places:
             if not rows.isEmpty():
-                _add_rows(rows, name, cluster_keys, options, batch)
+                write.new(rows)
+                write.publish(rows.schema)
             return
-        changes = _folder(spark, name, "changes")
-        rows.write.parquet(changes)
-        rows = spark.read.schema(rows.schema).parquet(changes)
-        kept = target.join(hit, same_key(target, hit, keys), "left_anti")
-        _new_version(
-            kept.unionByName(rows, allowMissingColumns=True), name, "merge", cluster_keys, options, changes, batch
+        one = hit.groupBy(*keys).agg(F.min(F.struct(*PLACE)).alias("__place"))
+        match = same_key(rows, one, keys)
+        placed = rows.join(one, match).select(
+            *[rows[n] for n in rows.columns], *[F.col(f"__place.{n}").alias(n) for n in PLACE]
+        )
+        old = _in_places(target, places)
+        kept = old.join(hit, same_key(old, hit, keys), "left_anti")
+        write.kept(kept.unionByName(placed, allowMissingColumns=True), places)
+        write.new(rows.join(one, match, "left_anti"))
+        again = rows.select(*[F.col(k).alias(f"__{k}") for k in keys], F.lit(True).alias("__again"))
+        offered_too = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+        before = old.join(hit, same_key(old, hit, keys), "left_semi").join(again, offered_too, "left")
+        images = before.withColumn(CHANGE, F.when(F.col("__again"), "update_pre").otherwise("delete")).drop(
+            *PLACE, "__again", *[f"__{k}" for k in keys]
         )
+        write.changes(
+            images.unionByName(placed.drop(*PLACE).withColumn(CHANGE, F.lit("update_post")), allowMissingColumns=True)
+        )
+        write.publish(rows.schema)
 
 
 def write_table(
@@ -281,12 +425,15 @@ def write_table(
     newer_by: str | None = None,
     replaced_keys: DataFrame | None = None,
     batch: str | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Write ``df`` to a catalog table, creating it when missing.
 
     ``merge`` updates rows by ``merge_key`` and inserts the rest; ``append`` adds rows,
     with ``merge_key`` only those with a new key, so a repeated run adds nothing;
     ``overwrite`` replaces the rows. Keys match null-safe and must be unique in ``df``.
+    With ``merge_key`` an overwrite writes only what differs: rows that are the same but for
+    their clock columns stay.
 
     With ``newer_by``, a column that both sides can be ordered by, a keyed write of either
     mode replaces a stored row by a newer one and never by an older or equal one, so the
@@ -296,7 +443,8 @@ def write_table(
     New columns are added to the table. ``cluster_keys`` order the files of every write.
     ``option_dict`` goes to the parquet writer. Rows that are unique by construction, such as
     the result of a group by, need no ``check_unique``, which saves a shuffle of the keys. A
-    write whose ``batch`` name the table already lists is skipped.
+    write whose ``batch`` name the table knows is skipped. ``buckets`` counts when the table is
+    made: the unit that an upsert reads and writes, so give a large table hundreds.
     """
     mode = write_mode.lower()
     if mode not in WRITE_MODES:
@@ -307,13 +455,26 @@ def write_table(
     spark, options = df.sparkSession, dict(option_dict or {})
 
     if not spark.catalog.tableExists(table_name):
-        _create(df, table_name, keys, cluster_keys, options, check_unique, batch)
+        _create(df, table_name, keys, buckets, cluster_keys, options, check_unique, batch)
         return
-    if batch and not commits(spark, table_name).where(F.col("batch") == batch).isEmpty():
+    _settle(spark, table_name)
+    if batch and known_batch(spark, table_name, batch):
         return
-    schema = spark.table(table_name).schema
+    schema = table_schema(spark, table_name)
     if mode == "overwrite":
-        _new_version(_to_table_types(df, schema), table_name, "overwrite", cluster_keys, options, None, batch)
+        with Stage(spark) as stage:
+            rows = stage.keep(_to_table_types(df, schema), "overwrite")
+            if not keys:
+                _replace_all(rows, table_name, cluster_keys, options, batch)
+                return
+            if check_unique:
+                require_unique(rows, keys, table_name)
+            changed = stage.keep(_changed(read_table(spark, table_name), rows, keys), "changed")
+            if not changed.isEmpty():
+                _put(
+                    changed.where(f"{CHANGE} IN ('insert', 'update_post')").drop(CHANGE), table_name, keys,
+                    cluster_keys, options, False, batch, True, None, changed.where(f"{CHANGE} <> 'insert'"),
+                )
     elif keys:
         missing = [n for n in schema.names if n not in df.columns]
         if mode == "merge" and missing:
@@ -322,7 +483,25 @@ def write_table(
             df, table_name, keys, cluster_keys, options, check_unique, batch, mode == "merge", newer_by, replaced_keys
         )
     else:
-        _add_rows(_to_table_types(df, schema), table_name, cluster_keys, options, batch)
+        with Stage(spark) as stage:
+            rows = _to_table_types(df, schema)
+            _add_rows(stage.keep(rows, "append") if cluster_keys else rows, table_name, cluster_keys, options, batch)
+
+
+def _changed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What differs between two states, clock columns aside."""
+    old = old.select(*old.columns, *[F.lit(None).cast(new.schema[n].dataType).alias(n) for n in new.columns if n not in old.columns])
+    return table_diff(old, new, keys, ignored=[n for n in CLOCKS if n in new.columns])
+
+
+# Upkeep
+
+
+def file_sizes(spark: SparkSession, name: str) -> DataFrame:
+    """``(_bucket, _batch, file, bytes)`` of all files of a table."""
+    return _stored(spark, name).select(
+        *PLACE, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")
+    ).distinct()
 
 
 def compact(
@@ -330,30 +509,53 @@ def compact(
     table_name: str,
     cluster_keys: Sequence[str] | None = None,
     option_dict: dict[str, str] | None = None,
+    target_bytes: int = TARGET_FILE_BYTES,
 ) -> None:
-    """Rewrite a table's files in even sizes, clustered if keys are given.
+    """Rewrite the partitions of small files, those of a bucket together, in files of ``target_bytes``.
 
-    The commit brings no rows, so jobs that follow the table read nothing again.
+    A partition counts where its files have less than half that size on average and, with the
+    other such partitions of its bucket, there are at least two files to put together. Other
+    files stay where they are. The write brings no rows, so jobs that follow the table read
+    nothing again.
     """
-    table = read_table(spark, table_name)
-    _new_version(table, table_name, "compact", cluster_keys, dict(option_dict or {}))
+    _settle(spark, table_name)
+    per_place = file_sizes(spark, table_name).groupBy(*PLACE).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("files"))
+    small = per_place.where(F.col("bytes") / F.col("files") < target_bytes / 2)
+    buckets = small.groupBy(BUCKET).agg(
+        F.sum("bytes").alias("bytes"), F.sum("files").alias("files"), F.array_sort(F.collect_list(BATCH)).alias("batches")
+    ).where("files > 1").collect()  # at most the table's partitions
+    if not buckets:
+        return
+    places = [(r[BUCKET], b) for r in buckets for b in r["batches"]]
+    first = F.lit(None).cast("string")
+    for r in buckets:
+        first = F.when(F.col(BUCKET) == r[BUCKET], F.lit(r["batches"][0])).otherwise(first)
+    write = _Write(spark, table_name, None, cluster_keys, dict(option_dict or {}))
+    rows = _in_places(_stored(spark, table_name), places).withColumn(BATCH, first)
+    schema = table_schema(spark, table_name)
+    files = sum(-(-r["bytes"] // target_bytes) for r in buckets)
+    laid = clustered(rows, cluster_keys or [], PLACE, max(files, len(buckets)))
+    laid.write.options(**write.options).partitionBy(*PLACE).parquet(f"{write.aside}/kept")
+    held = {(b, batch) for b, batch, _ in _partitions(spark, write.aside, "kept")}
+    for bucket, batch in places:
+        if (bucket, batch) not in held:
+            make_folder(spark, f"{write.aside}/gone/{BUCKET}={bucket}/{BATCH}={batch}")
+    write.publish(schema)
 
 
 def expire_versions(spark: SparkSession, table_name: str, keep: int = 2) -> None:
-    """Delete the folders that only commits before the last ``keep`` refer to.
+    """Delete the generations before the last ``keep`` that no partition of the table lies in.
 
-    Jobs that follow the table must have read these commits, and readers of old versions
-    must have ended.
+    Jobs that follow the table must have read them, and readers of old states must have ended.
+    Whoever follows the table for the first time later finds what the kept generations brought.
     """
-    listed = commits(spark, table_name)
-    last = listed.agg(F.max("version")).first()[0]
-    folders = listed.select("version", F.explode(F.array("location", "changes")).alias("folder")).where(
-        "folder is not null"
-    )
-    used = folders.where(F.col("version") > last - keep).select("folder")
-    # Row folders lie inside their version's folder and go with it.
-    old = [r["folder"] for r in folders.select("folder").distinct().join(used, "folder", "left_anti").collect()]
-    current = current_location(spark, table_name).rstrip("/")
-    for folder in old:
-        if not folder.startswith(current):
-            remove_folder(spark, folder)
+    folder, found = table_folder(spark, table_name), _settle(spark, table_name)
+    newest: dict[tuple[int, str], str] = {}
+    for generation in found:
+        for kind in ("new", "kept", "gone"):
+            for bucket, batch, _ in _partitions(spark, f"{folder}/{generation}", kind):
+                newest[bucket, batch] = generation
+    used = set(newest.values())
+    for generation in found[: len(found) - keep] if keep else found[:-1]:
+        if generation not in used:
+            remove_folder(spark, f"{folder}/{generation}")

@@ -1,46 +1,62 @@
-"""Tables that follow another table by its commits."""
+"""Tables that follow another table's change feed by a file stream."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillwork.operators.dedup import latest_per_key
-from tillwork.sources.tables import commits, read_table
+from tillwork.operators.diff import CHANGE
+from tillwork.session import literal_path
+from tillwork.sources.tables import table_folder, table_schema
+
+GENERATION = "_generation"  # orders the writes of a table
+
+
+def change_feed(spark: SparkSession, table: str) -> DataFrame:
+    """A stream of what writes brought to a table: its rows, CHANGE and GENERATION.
+
+    Added rows are marked insert; of replaced and removed ones the row before (update_pre,
+    delete) and after (update_post). Compaction brings no rows.
+    """
+    schema = StructType([*table_schema(spark, table), StructField(CHANGE, StringType())])
+    added = F.coalesce(CHANGE, F.lit("insert"))
+    stream = (
+        spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+        .option("maxFileAge", "36500d")  # the default leaves out files a week older than the newest
+        .parquet(f"{literal_path(table_folder(spark, table))}/[0-9]*/{{new,changes}}")
+    )
+    return stream.withColumns(
+        {CHANGE: added, GENERATION: F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)-[0-9a-f]+/(new|changes)/", 1)}
+    )
+
+
+def current_rows(changes: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """The rows of a feed in the form they have now; with ``keys`` only a key's last form."""
+    if keys:
+        last = F.expr(f"CASE WHEN {CHANGE} IN ('insert', 'update_post') THEN 1 ELSE 0 END").alias("last")
+        changes = latest_per_key(changes.select("*", last), list(keys), [GENERATION, "last"], []).drop("last")
+    return changes.where(f"{CHANGE} IN ('insert', 'update_post')").drop(CHANGE, GENERATION)
 
 
 def follow_table(
     spark: SparkSession,
     source_table: str,
     checkpoint: str,
-    step: Callable[[DataFrame], None],
-    latest_by: Sequence[str] | None = None,
+    step: Callable[[DataFrame, str], None],
 ) -> None:
-    """Hand the rows that commits brought to ``source_table`` since the last call to ``step``.
+    """Hand the changes since the last call to ``step(changes, batch)`` and wait for the end.
 
-    Rows that a commit replaced are handed over in their new form; compaction brings no rows.
-    With ``latest_by``, keys of the source, only the last form of a key is handed over. The
-    progress is noted after ``step``, so a batch may be handed over again after a failure and
-    ``step`` has to be a keyed write. A table that was overwritten cannot be followed.
+    The stream's checkpoint keeps the progress. After a failure a batch is handed over again
+    under the same ``batch`` name, so ``step`` is a keyed write or a write of that batch.
     """
-    try:
-        done = spark.read.schema("version LONG").json(checkpoint).agg(F.max("version")).first()[0] or 0
-    except AnalysisException:
-        done = 0
-    new = commits(spark, source_table).where(F.col("version") > done).orderBy("version").collect()
-    if not new:
-        return
-    if any(c["kind"] == "overwrite" for c in new):
-        raise ValueError(f"{source_table} was overwritten and can't be followed")
-    schema, rows = read_table(spark, source_table).schema, None
-    for commit in new:
-        if commit["changes"]:
-            part = spark.read.schema(schema).parquet(commit["changes"]).withColumn("__commit", F.lit(commit["version"]))
-            rows = part if rows is None else rows.unionAll(part)
-    if rows is not None:
-        if latest_by and len(new) > 1:
-            rows = latest_per_key(rows, list(latest_by), ["__commit"], [])
-        step(rows.drop("__commit"))
-    spark.range(1).select(F.lit(new[-1]["version"]).cast("long").alias("version")).write.mode("append").json(checkpoint)
+    query = (
+        change_feed(spark, source_table)
+        .writeStream.foreachBatch(lambda rows, number: step(rows, f"{checkpoint}#{number}"))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
