@@ -154,6 +154,14 @@ FROM feed_clicks"""
 
 NO_RESCUE = "CAST(NULL AS VARCHAR) AS _rescued_data"
 
+# The last delivery of a sale is what a copy has in the end.
+RELATIONS["merged_feed_sales"] = """SELECT * FROM feed_sales
+  QUALIFY file_name = max(file_name) OVER (PARTITION BY upper(trim(transaction_id)))"""
+RELATIONS["merged_latest_sales"] = latest(
+    "merged_feed_sales", "transaction_id", ["last_modified_ts", "ingesttime"], SALES_COLUMNS
+)
+RELATIONS["merged_sales"] = RELATIONS["silver_sales"].replace("FROM latest_sales", "FROM merged_latest_sales")
+
 FINAL_SQL = {
     "dedup_latest": f"SELECT customer_id, {columns(CUSTOMER_COLUMNS)}, {text('ingesttime')}, file_name FROM latest_customers",
     "dedup_latest_two_keys": f"SELECT transaction_id, {columns(SALES_COLUMNS)}, last_modified_ts, {text('ingesttime')}, file_name FROM latest_sales",
@@ -211,6 +219,8 @@ FINAL_SQL = {
     "ingest_reordered": f"""SELECT * REPLACE (nullif(email, '') AS email, nullif(phone, '') AS phone) FROM (
         SELECT CASE WHEN last_name IS NULL AND file_name LIKE '%/part-1.%' THEN 'customer_id'
         ELSE customer_id END AS customer_id, {columns(CUSTOMER_COLUMNS)}, {NO_RESCUE} FROM feed_customers)""",
+    "ingest_odd_names": f"""SELECT * REPLACE (nullif(email, '') AS email, nullif(phone, '') AS phone) FROM (
+        SELECT customer_id, {columns(CUSTOMER_COLUMNS)}, {NO_RESCUE} FROM feed_customers)""",
     "compact_then_ingest": f"SELECT event_id, {columns(CLICK_COLUMNS)}, {NO_RESCUE} FROM feed_clicks",
     "append_after_ingest": f"""SELECT event_id, {columns(CLICK_COLUMNS)}, {NO_RESCUE} FROM feed_clicks
         UNION ALL BY NAME SELECT event_id, {columns(CLICK_COLUMNS)} , {NO_RESCUE} FROM (
@@ -218,6 +228,10 @@ FINAL_SQL = {
           WHERE customer_id IS NULL AND file_name LIKE '%/part-1.%')""",
     "upsert": silver("products"),
     "append_new": silver("clicks"),
+    "append_after_crash": f"""SELECT 'before the retry' AS seen, {SILVER_OUT['products']}, {AUDIT_OUT} FROM first_products
+        UNION ALL BY NAME SELECT 'after it' AS seen, {SILVER_OUT['products']}, {AUDIT_OUT} FROM first_products
+        UNION ALL BY NAME SELECT 'after it' AS seen, {SILVER_OUT['products']}, {AUDIT_OUT} FROM second_products""",
+    "replayed_feed": f"SELECT {SILVER_OUT['sales']}, _record_source FROM merged_sales WHERE customer_id IS NOT NULL",
     "overwrite": silver("crm"),
     "schema_merge_write": WIDEN_SQL,
     "table_diff": DIFF_SQL,

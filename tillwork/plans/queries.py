@@ -14,8 +14,8 @@ from tillwork.operators.diff import table_diff
 from tillwork.plans import clean, marts
 from tillwork.plans.clean import latest_rows
 from tillwork.plans.retail_run import CLEANERS, RetailRun
-from tillwork.session import scratch_folder
-from tillwork.sources import feeds
+from tillwork.session import files_in, move_folder, scratch_folder
+from tillwork.sources import feeds, tables
 from tillwork.sources.ingest import ingest_raw_to_bronze
 from tillwork.sources.landing import LANDERS, raw_columns
 from tillwork.sources.schemas import (
@@ -32,6 +32,7 @@ from tillwork.sources.schemas import (
 from tillwork.sources.tables import compact, create_layers, read_table, write_table
 from tillwork.streaming.alerts import stream_low_stock
 from tillwork.streaming.clicks import stream_clickstream
+from tillwork.streaming.progress import current_rows, follow_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -359,6 +360,23 @@ def ingest_reordered(spark, sf_dir):
     return read_table(spark, table).select(*FEED_SCHEMAS["customers"].names, RESCUED)
 
 
+def ingest_odd_names(spark, sf_dir):
+    """Files whose names look like patterns that match their neighbours."""
+    space, source = Workspace(spark, "odd_names"), FEEDS["customers"]
+    rows, landing = feed(spark, sf_dir, "customers"), f"{space.root}/landing"
+    for number in (1, 2):
+        LANDERS["customers"](_part(rows, number).coalesce(4), f"{space.root}/made/{number}")
+        for at, file in enumerate(files_in(spark, f"{space.root}/made/{number}", ".csv")):
+            name = f"{'[0-9]' if number == 2 else ''}{at}{'*' if number == 2 else ''}.csv"
+            move_folder(spark, f"{space.root}/made/{number}/{file}", f"{landing}/{name}")
+        ingest_raw_to_bronze(
+            spark, landing, space.name("bronze", "customers"), f"{space.root}/checkpoint", source.file_format,
+            source.options, FEED_SCHEMAS["customers"],
+        )
+    table = read_table(spark, space.name("bronze", "customers"))
+    return table.select(*FEED_SCHEMAS["customers"].names, RESCUED)
+
+
 def _clicks_between(spark, sf_dir, purpose: str, between) -> DataFrame:
     """Ingest one delivery of clicks, do ``between`` with the table, ingest the other."""
     space, source = Workspace(spark, purpose), FEEDS["clicks"]
@@ -411,6 +429,64 @@ def append_new(spark, sf_dir):
     return comparable(read_table(spark, table))
 
 
+class _Killed(Exception):
+    pass
+
+
+def append_after_crash(spark, sf_dir):
+    """Two deliveries, each written twice: its first write dies with all files written but not published."""
+    table, rows = Workspace(spark, "crash").name("silver", "products"), feed(spark, sf_dir, "products")
+
+    def dies(*_):
+        raise _Killed
+
+    def deliver(number: int) -> None:
+        delivery = clean.bronze_sql_products_silver(_part(rows, number))
+        write_table(delivery, table, "append", batch=f"delivery {number}")
+
+    deliver(1)
+    publish, tables.move_folder = tables.move_folder, dies
+    try:
+        deliver(2)
+    except _Killed:
+        pass
+    finally:
+        tables.move_folder = publish
+    seen = read_table(spark, table).withColumn("seen", F.lit("before the retry"))
+    seen = spark.read.parquet(_kept(seen, "crash_seen"))
+    deliver(2)
+    deliver(2)
+    return comparable(seen.unionByName(read_table(spark, table).withColumn("seen", F.lit("after it"))))
+
+
+def _kept(df: DataFrame, purpose: str) -> str:
+    folder = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return folder
+
+
+def replayed_feed(spark, sf_dir):
+    """A copy of the sales table that only ever hears its change feed, after corrections and removals."""
+    space, rows = Workspace(spark, "replay"), feed(spark, sf_dir, "sales")
+    source, copy = space.name("silver", "sales"), space.name("silver", "copy")
+
+    def replay(changes: DataFrame, batch: str) -> None:
+        now = current_rows(changes, ["transaction_id"])
+        keys = changes.select("transaction_id").distinct()
+        write_table(now, copy, "merge", "transaction_id", check_unique=False, replaced_keys=keys, batch=batch)
+
+    for number in (0, 1, 2):
+        delivery = clean.bronze_sql_sale_transactions(_part(rows, number))
+        write_table(delivery, source, "merge", "transaction_id", check_unique=False)
+        if number:
+            follow_table(spark, source, f"{space.root}/checkpoint", replay)
+    # Sales of unknown customers go.
+    kept = read_table(spark, source).filter("customer_id IS NOT NULL")
+    write_table(kept, source, "overwrite", "transaction_id", check_unique=False)
+    follow_table(spark, source, f"{space.root}/checkpoint", replay)
+    return comparable(read_table(spark, copy).drop("_ingest_timestamp", "_source_file"))
+
+
 def overwrite(spark, sf_dir):
     table = Workspace(spark, "overwrite").name("silver", "crm")
     rows = feed(spark, sf_dir, "crm")
@@ -638,10 +714,13 @@ QUERIES: dict[str, Query] = {
     "rescued_rows": rescued_rows,
     "rescued_documents": rescued_documents,
     "ingest_reordered": ingest_reordered,
+    "ingest_odd_names": ingest_odd_names,
     "compact_then_ingest": compact_then_ingest,
     "append_after_ingest": append_after_ingest,
     "upsert": upsert,
     "append_new": append_new,
+    "append_after_crash": append_after_crash,
+    "replayed_feed": replayed_feed,
     "overwrite": overwrite,
     "schema_merge_write": schema_merge_write,
     "table_diff": table_diff_sales,

@@ -56,6 +56,13 @@ def make_folder(spark: SparkSession, folder: str) -> None:
     system.mkdirs(path)
 
 
+def write_file(spark: SparkSession, file: str, text: str) -> None:
+    system, path = _path(spark, file)
+    stream = system.create(path, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     """One rename; the parent of ``target`` is made if need be."""
     system, path = _path(spark, source)
@@ -76,3 +83,10 @@ def subfolders(spark: SparkSession, folder: str) -> list[str]:
 def literal_path(path: str) -> str:
     """``path`` for readers that take patterns: signs of patterns stand for themselves."""
     return "".join(f"\\{sign}" if sign in "\\*?[]{}" else sign for sign in path)
+
+
+def files_in(spark: SparkSession, folder: str, ending: str) -> list[str]:
+    """Names of the files in ``folder`` with this ending, in order."""
+    system, path = _path(spark, folder)
+    names = [s.getPath().getName() for s in system.listStatus(path) if s.isFile()]
+    return sorted(n for n in names if n.endswith(ending))

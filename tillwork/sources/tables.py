@@ -7,10 +7,11 @@ last: the folder gets its place by one rename, then the catalog gets its partiti
 ones in one statement, replaced ones by a new location each. A job that fails before leaves the
 table as it was; a job that fails between is finished by the next writer, from the folder.
 
-A generation holds ``new`` (rows that were added), ``kept`` (partitions written anew because
-some of their rows were replaced or removed), ``gone`` (partitions without rows now) and
-``changes`` (those rows before and after). ``new`` and ``changes`` are the table's change feed;
-other jobs follow them with a file stream (``streaming.progress``). An upsert reads the buckets
+A generation holds ``rows`` by partition, ``gone`` (partitions without rows now) and ``changes``
+(replaced and removed rows, before and after). Below ``rows``, the batch ``new`` stands for the
+generation itself and has the rows it added; other batches are partitions written anew because
+some of their rows were replaced or removed. The new rows and ``changes`` are the table's change
+feed; other jobs follow them with a file stream (``streaming.progress``). An upsert reads the buckets
 of its keys and writes the partitions that hold them; all other files stay as they are.
 
 Names of folders say which partition is which, so a session whose catalog doesn't outlive it
@@ -39,6 +40,7 @@ from tillwork.session import (
     remove_folder,
     scratch_folder,
     subfolders,
+    write_file,
 )
 from tillwork.sources.schemas import CLOCKS
 
@@ -48,6 +50,7 @@ WRITE_MODES = ("merge", "append", "overwrite")
 
 BUCKET, BATCH = "_bucket", "_batch"
 PLACE = (BUCKET, BATCH)
+NEW = "new"
 BUCKETS = 8  # of a keyed table, unless its first write says otherwise
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 LAYOUT = "number LONG, keys ARRAY<STRING>, buckets INT, table_schema STRING"
@@ -102,8 +105,8 @@ def _properties(spark: SparkSession, name: str) -> dict[str, str]:
 
 def _write_layout(spark: SparkSession, name: str, number: int, schema: StructType, keys: Sequence[str], buckets: int) -> None:
     """Noted when a table is made and when columns are added."""
-    row = [(number, list(keys), buckets, schema.json())]
-    spark.createDataFrame(row, LAYOUT).coalesce(1).write.mode("append").json(f"{table_folder(spark, name)}/layout")
+    row = {"number": number, "keys": list(keys), "buckets": buckets, "table_schema": schema.json()}
+    write_file(spark, f"{table_folder(spark, name)}/layout/{number:012d}.json", json.dumps(row))
 
 
 def _stored(spark: SparkSession, name: str) -> DataFrame:
@@ -134,14 +137,13 @@ def known_batch(spark: SparkSession, name: str, batch: str) -> bool:
 
 
 def _partitions(spark: SparkSession, folder: str, kind: str) -> list[tuple[int, str, str]]:
-    """``(bucket, batch, folder)`` of the partitions of one kind in a generation."""
-    found, batch = [], folder.rpartition("/")[2]
+    """``(bucket, batch, folder)`` of the partitions in ``rows`` or ``gone`` of a generation."""
+    own, found = folder.rpartition("/")[2], []
     for bucket in subfolders(spark, f"{folder}/{kind}"):
-        number, path = int(bucket.partition("=")[2]), f"{folder}/{kind}/{bucket}"
-        if kind == "new":
-            found.append((number, batch, path))
-        else:
-            found += [(number, b.partition("=")[2], f"{path}/{b}") for b in subfolders(spark, path)]
+        path = f"{folder}/{kind}/{bucket}"
+        for name in subfolders(spark, path):
+            batch = name.partition("=")[2]
+            found.append((int(bucket.partition("=")[2]), own if batch == NEW else batch, f"{path}/{name}"))
     return found
 
 
@@ -158,8 +160,8 @@ def _apply(spark: SparkSession, name: str, generation: str) -> None:
     ]
     if gone:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(gone)}")
-    added = _partitions(spark, folder, "new")
-    for bucket, batch, path in _partitions(spark, folder, "kept"):
+    added = []
+    for bucket, batch, path in _partitions(spark, folder, "rows"):
         if f"{BUCKET}={bucket}/{BATCH}={batch}" in known:
             spark.sql(f"ALTER TABLE {name} {_spec(bucket, batch)} SET LOCATION '{path}'")
         else:
@@ -216,23 +218,21 @@ class _Write:
         """The bucket of a row: by the hash of its keys, a missing key value counts as one."""
         return F.pmod(F.hash(*self.keys), F.lit(self.buckets)) if self.keys else F.lit(0)
 
-    def _put(self, df: DataFrame, kind: str, places: Sequence[str]) -> None:
-        if self.cluster_keys:
-            laid = clustered(df, self.cluster_keys, places)
+    def rows(self, rows: DataFrame, places: Sequence[tuple[int, str]] = (), partitions: int | None = None) -> None:
+        """Rows with their bucket and batch: NEW ones, and all that the partitions ``places`` have from now on."""
+        if self.cluster_keys or partitions:
+            laid = clustered(rows, self.cluster_keys or [], PLACE, partitions)
         else:
-            laid = df.hint("rebalance", *places) if self.buckets > 1 else df.hint("rebalance")
-        laid.write.options(**self.options).partitionBy(*places).parquet(f"{self.aside}/{kind}")
-
-    def new(self, rows: DataFrame) -> None:
-        self._put(rows.withColumn(BUCKET, self.bucket()), "new", (BUCKET,))
+            laid = rows.hint("rebalance", *PLACE) if self.buckets > 1 or places else rows.hint("rebalance")
+        laid.write.options(**self.options).partitionBy(*PLACE).parquet(f"{self.aside}/rows")
+        if places:
+            held = {(b, batch) for b, batch, _ in _partitions(self.spark, self.aside, "rows")}
+            for bucket, batch in places:
+                if (bucket, batch) not in held:
+                    make_folder(self.spark, f"{self.aside}/gone/{BUCKET}={bucket}/{BATCH}={batch}")
 
-    def kept(self, rows: DataFrame, places: Sequence[tuple[int, str]]) -> None:
-        """All rows that the partitions ``places`` have from now on."""
-        self._put(rows, "kept", PLACE)
-        held = {(b, batch) for b, batch, _ in _partitions(self.spark, self.aside, "kept")}
-        for bucket, batch in places:
-            if (bucket, batch) not in held:
-                make_folder(self.spark, f"{self.aside}/gone/{BUCKET}={bucket}/{BATCH}={batch}")
+    def new(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(BUCKET, self.bucket()).withColumn(BATCH, F.lit(NEW))
 
     def changes(self, rows: DataFrame) -> None:
         rows.write.parquet(f"{self.aside}/changes")
@@ -321,7 +321,7 @@ def _create(df: DataFrame, name: str, keys, buckets, cluster_keys, options, chec
 
 def _add_rows(df: DataFrame, name: str, cluster_keys, options: dict[str, str], batch: str | None) -> None:
     write = _Write(df.sparkSession, name, batch, cluster_keys, options)
-    write.new(df)
+    write.rows(write.new(df))
     write.publish(df.schema)
 
 
@@ -333,12 +333,14 @@ def _replace_all(df: DataFrame, name: str, cluster_keys, options: dict[str, str]
     first: dict[int, str] = {}
     for bucket, old in places:
         first.setdefault(bucket, old)
-    chosen = F.lit(write.generation)
+    chosen = F.lit(NEW)
     for bucket, old in first.items():
         chosen = F.when(F.col(BUCKET) == bucket, F.lit(old)).otherwise(chosen)
-    write.kept(df.withColumn(BUCKET, write.bucket()).withColumn(BATCH, chosen), places)
+    write.rows(df.withColumn(BUCKET, write.bucket()).withColumn(BATCH, chosen), places)
+    # Rows in a bucket that had none are new ones already.
+    taken = df.where(write.bucket().isin(list(first))).withColumn(CHANGE, F.lit("insert"))
     before = read_table(spark, name).withColumn(CHANGE, F.lit("delete"))
-    write.changes(before.unionByName(df.withColumn(CHANGE, F.lit("insert")), allowMissingColumns=True))
+    write.changes(before.unionByName(taken, allowMissingColumns=True))
     write.publish(df.schema)
 
 
@@ -371,7 +373,7 @@ def _put(
             types = StructType([schema[k] for k in keys])
             asked = stage.keep(asked.unionAll(_to_table_types(removed.select(*keys), types)).distinct(), "asked")
         target = _stored(spark, name)
-        if list(keys) == write.keys:
+        if list(keys) == write.keys and write.buckets > BUCKETS:
             buckets = [r[0] for r in asked.select(write.bucket()).distinct().collect()]  # at most ``buckets``
             target = target.where(F.col(BUCKET).isin(buckets))
         known = target.select(*keys, *([newer_by] if newer_by else []), *PLACE)
@@ -390,7 +392,7 @@ def _put(
         places = [] if hit is None else [(r[BUCKET], r[BATCH]) for r in hit.select(*PLACE).distinct().collect()]
         if not places:
             if not rows.isEmpty():
-                write.new(rows)
+                write.rows(write.new(rows))
                 write.publish(rows.schema)
             return
         one = hit.groupBy(*keys).agg(F.min(F.struct(*PLACE)).alias("__place"))
@@ -400,8 +402,8 @@ def _put(
         )
         old = _in_places(target, places)
         kept = old.join(hit, same_key(old, hit, keys), "left_anti")
-        write.kept(kept.unionByName(placed, allowMissingColumns=True), places)
-        write.new(rows.join(one, match, "left_anti"))
+        added = write.new(rows.join(one, match, "left_anti"))
+        write.rows(kept.unionByName(placed, allowMissingColumns=True).unionByName(added), places)
         again = rows.select(*[F.col(k).alias(f"__{k}") for k in keys], F.lit(True).alias("__again"))
         offered_too = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
         before = old.join(hit, same_key(old, hit, keys), "left_semi").join(again, offered_too, "left")
@@ -534,12 +536,7 @@ def compact(
     rows = _in_places(_stored(spark, table_name), places).withColumn(BATCH, first)
     schema = table_schema(spark, table_name)
     files = sum(-(-r["bytes"] // target_bytes) for r in buckets)
-    laid = clustered(rows, cluster_keys or [], PLACE, max(files, len(buckets)))
-    laid.write.options(**write.options).partitionBy(*PLACE).parquet(f"{write.aside}/kept")
-    held = {(b, batch) for b, batch, _ in _partitions(spark, write.aside, "kept")}
-    for bucket, batch in places:
-        if (bucket, batch) not in held:
-            make_folder(spark, f"{write.aside}/gone/{BUCKET}={bucket}/{BATCH}={batch}")
+    write.rows(rows, places, max(files, len(buckets)))
     write.publish(schema)
 
 
@@ -552,7 +549,7 @@ def expire_versions(spark: SparkSession, table_name: str, keep: int = 2) -> None
     folder, found = table_folder(spark, table_name), _settle(spark, table_name)
     newest: dict[tuple[int, str], str] = {}
     for generation in found:
-        for kind in ("new", "kept", "gone"):
+        for kind in ("rows", "gone"):
             for bucket, batch, _ in _partitions(spark, f"{folder}/{generation}", kind):
                 newest[bucket, batch] = generation
     used = set(newest.values())

@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tillwork.operators.dedup import latest_per_key
 from tillwork.operators.diff import CHANGE
 from tillwork.session import literal_path
-from tillwork.sources.tables import table_folder, table_schema
+from tillwork.sources.tables import BATCH, NEW, table_folder, table_schema
 
 GENERATION = "_generation"  # orders the writes of a table
 
@@ -26,10 +26,10 @@ def change_feed(spark: SparkSession, table: str) -> DataFrame:
     stream = (
         spark.readStream.schema(schema).option("recursiveFileLookup", "true")
         .option("maxFileAge", "36500d")  # the default leaves out files a week older than the newest
-        .parquet(f"{literal_path(table_folder(spark, table))}/[0-9]*/{{new,changes}}")
+        .parquet(f"{literal_path(table_folder(spark, table))}/[0-9]*/{{rows/*/{BATCH}={NEW},changes}}")
     )
     return stream.withColumns(
-        {CHANGE: added, GENERATION: F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)-[0-9a-f]+/(new|changes)/", 1)}
+        {CHANGE: added, GENERATION: F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)-[0-9a-f]+/(rows|changes)/", 1)}
     )
 
 
