@@ -23,6 +23,7 @@ from checks.oracle import (
     title,
     whole,
 )
+from tillwork.functions.calling_codes import CALLING_CODE_LENGTHS, lengths
 
 AUDIT_OUT = text("_ingest_timestamp") + ", _source_file, _record_source"
 
@@ -162,6 +163,19 @@ RELATIONS["merged_latest_sales"] = latest(
 )
 RELATIONS["merged_sales"] = RELATIONS["silver_sales"].replace("FROM latest_sales", "FROM merged_latest_sales")
 
+# Every code with every length it allows; the number must be one of its rows.
+_CODES = [*CALLING_CODE_LENGTHS, "999"]
+_ALLOWED = ", ".join(
+    f"('{code}', {n})" for code in _CODES
+    for n in (lengths(CALLING_CODE_LENGTHS[code]) if code in CALLING_CODE_LENGTHS else range(7 - 3, 15 - 3 + 1))
+)
+PHONE_SQL = f"""WITH allowed(code, n) AS (VALUES {_ALLOWED}),
+made AS (SELECT c_custkey, ['{"','".join(_CODES)}'][(c_custkey % {len(_CODES)} + 1)::BIGINT] AS code,
+    substr('2345678912345678', 1, (c_custkey % 13 + 3)::BIGINT) AS rest FROM customer)
+SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '+' ELSE '00' END || m.code || ' ' || rest AS phone,
+  CASE WHEN n IS NOT NULL THEN '+' || m.code || rest END AS cleaned_phone
+FROM made m LEFT JOIN allowed a ON a.code = m.code AND a.n = length(rest)"""
+
 FINAL_SQL = {
     "dedup_latest": f"SELECT customer_id, {columns(CUSTOMER_COLUMNS)}, {text('ingesttime')}, file_name FROM latest_customers",
     "dedup_latest_two_keys": f"SELECT transaction_id, {columns(SALES_COLUMNS)}, last_modified_ts, {text('ingesttime')}, file_name FROM latest_sales",
@@ -219,6 +233,9 @@ FINAL_SQL = {
     "ingest_reordered": f"""SELECT * REPLACE (nullif(email, '') AS email, nullif(phone, '') AS phone) FROM (
         SELECT CASE WHEN last_name IS NULL AND file_name LIKE '%/part-1.%' THEN 'customer_id'
         ELSE customer_id END AS customer_id, {columns(CUSTOMER_COLUMNS)}, {NO_RESCUE} FROM feed_customers)""",
+    "ingest_widened": f"""SELECT p_partkey::BIGINT AS p_partkey, {NO_RESCUE}, CASE p_partkey % 3
+        WHEN 0 THEN CAST(CAST(p_size AS DOUBLE) AS VARCHAR)
+        WHEN 1 THEN CAST(CAST(p_retailprice + 0.25 AS DOUBLE) AS VARCHAR) ELSE p_brand END AS value FROM part""",
     "ingest_odd_names": f"""SELECT * REPLACE (nullif(email, '') AS email, nullif(phone, '') AS phone) FROM (
         SELECT customer_id, {columns(CUSTOMER_COLUMNS)}, {NO_RESCUE} FROM feed_customers)""",
     "compact_then_ingest": f"SELECT event_id, {columns(CLICK_COLUMNS)}, {NO_RESCUE} FROM feed_clicks",
@@ -248,6 +265,8 @@ FINAL_SQL = {
     "governed_table": f"""SELECT * REPLACE ('CONFIDENTIAL DATA' AS email) FROM (
         SELECT {GOLD_OUT['dim_customers']} FROM dim_customers WHERE region IN ('APAC', 'LATAM'))""",
     "governed_dim_admin": gold("dim_customers"),
+    "governed_members": f"""SELECT * REPLACE ('CONFIDENTIAL DATA' AS email) FROM (
+        SELECT {GOLD_OUT['dim_customers']} FROM dim_customers WHERE region = 'APAC')""",
     "governed_sql": "SELECT customer_id, region, 'CONFIDENTIAL DATA' AS email FROM dim_customers WHERE region = 'APAC'",
     "alerts_after_restock": f"""SELECT {GOLD_OUT['low_stock_alert']} FROM (
         SELECT event_id, session_id, product_id, available_stock, alert_timestamp FROM low_stock_alert
@@ -262,4 +281,4 @@ FINAL_SQL = {
     "cut_batches": f"SELECT {SILVER_OUT['sales']}, _record_source FROM silver_sales",
 }
 
-ORACLE_SQL = {name: statement(sql) for name, sql in FINAL_SQL.items()}
+ORACLE_SQL = {name: statement(sql) for name, sql in FINAL_SQL.items()} | {"phone_countries": PHONE_SQL}

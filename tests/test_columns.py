@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwork import functions as fn
+from tillwork.functions.calling_codes import CALLING_CODE_LENGTHS, lengths
 
 D = Decimal
 
@@ -45,6 +46,14 @@ PHONES = {
     "212 555 01478": None,
     "12345": None,
     "+1 212 555": None,
+    "+33 1 23 45 67 89": "+33123456789",
+    "+33 1 23 45 67": None,
+    "0035121 123 4567": "+351211234567",
+    "+351 21 123 456": None,
+    "+7 495 123 45 67": "+74951234567",
+    "+7 495 123 45": None,
+    "+999 1234567": "+9991234567",
+    "+999 123": None,
     "": None,
     "n/a": None,
     None: None,
@@ -155,6 +164,12 @@ def _texts(alphabet, count=400, longest=18, seed=7):
     return ["".join(pick.choice(alphabet) for _ in range(pick.randint(0, longest))) for _ in range(count)]
 
 
+def test_no_calling_code_begins_another():
+    codes = list(CALLING_CODE_LENGTHS)
+    assert not [(a, b) for a in codes for b in codes if a != b and b.startswith(a)]
+    assert lengths("4-6 9") == {4, 5, 6, 9}
+
+
 def test_phone_against_plain_rules(spark):
     import re
 
@@ -167,12 +182,15 @@ def test_phone_against_plain_rules(spark):
             if len(digits) in (7, 10):
                 return "+1" + digits
             return "+" + digits if len(digits) == 11 and digits[0] == "1" else None
-        if digits.startswith("1"):
-            return "+" + digits if len(digits) in (8, 11) else None
-        return "+" + digits if 7 <= len(digits) <= 15 and digits[0] != "0" else None
+        if digits.startswith("0"):
+            return None
+        for n in (3, 2, 1):
+            if digits[:n] in CALLING_CODE_LENGTHS and len(digits) >= 6:
+                return "+" + digits if len(digits) - n in lengths(CALLING_CODE_LENGTHS[digits[:n]]) else None
+        return "+" + digits if 7 <= len(digits) <= 15 else None
 
     values = _texts("0123456789012345678901234567890123456789+-() x") + ["00" + t for t in _texts("0123456789 ", 200)]
-    values += ["+" + t for t in _texts("0123456789 ", 200)] + ["1" + t for t in _texts("0123456789", 200, 12)]
+    values += ["+" + t for t in _texts("0123456789 ", 600)] + ["1" + t for t in _texts("0123456789", 200, 12)]
     found = apply(spark, values, fn.format_phone_e164)
     assert sum(v is not None for v in found) > 100
     assert [(v, f) for v, f in zip(values, found) if f != expected(v)] == []

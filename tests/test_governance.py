@@ -61,3 +61,38 @@ def test_governed_view_of_a_table(spark, layers):
         assert rows(spark.table(view)) == expected
     with pytest.raises(ValueError, match="no columns"):
         g.create_governed_view(spark, view, table, set(), ["phone"])
+
+
+def test_one_view_shows_each_reader_their_rows(spark, layers):
+    """The reader is looked up when the view is read, also after memberships changed."""
+    table, members, reader = layers("gold", "t"), layers("gold", "members"), layers("gold", "reader")
+    data = [("LATAM", "a", 1), ("AP'AC\\", "b", 2), ("EMEA", "c", 3), (None, "d", 4)]
+    write_table(spark.createDataFrame(data, "region string, email string, n int"), table, "merge", "email")
+    groups = "user_name string, group_name string"
+    write_table(spark.createDataFrame([("eva", "latam_managers"), ("kim", "apac_managers"), ("sam", g.ADMIN_GROUP)], groups), members, "append")
+    write_table(spark.createDataFrame([("eva",)], "name string"), reader, "overwrite")
+    view = layers("gold", "seen")
+    rules = {"latam_managers": "LATAM", "apac_managers": "AP'AC\\"}
+    g.create_policy_view(spark, view, table, members, ["email"], rules=rules, reader=f"(SELECT max(name) FROM {reader})")
+
+    def seen_by(name):
+        write_table(spark.createDataFrame([(name,)], "name string"), reader, "overwrite")
+        spark.catalog.refreshTable(reader)
+        return rows(spark.table(view))
+
+    assert seen_by("eva") == [("LATAM", g.MASK_TEXT, 1)]
+    assert seen_by("kim") == [("AP'AC\\", g.MASK_TEXT, 2)]
+    assert seen_by("sam") == sorted(data, key=repr)
+    assert seen_by("nobody") == []
+    write_table(spark.createDataFrame([("kim", "latam_managers")], groups), members, "append")
+    spark.catalog.refreshTable(members)
+    assert [r[2] for r in seen_by("kim")] == [2, 1]
+    own = layers("gold", "own")
+    g.create_policy_view(spark, own, table, members, ["email"])
+    assert spark.table(own).isEmpty()
+    me = spark.sql("SELECT current_user() AS me").first()["me"]
+    write_table(spark.createDataFrame([(me, "latam_managers")], groups), members, "append")
+    spark.catalog.refreshTable(members)
+    assert rows(spark.table(own)) == [("LATAM", g.MASK_TEXT, 1)]
+    with pytest.raises(ValueError, match="string columns"):
+        g.create_policy_view(spark, own, table, members, ["n"])

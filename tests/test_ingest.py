@@ -12,7 +12,8 @@ from pyspark.sql.types import DateType, IntegerType, StringType, StructField, St
 from tillwork.sources.ingest import _headers, ingest_raw_to_bronze
 from tillwork.sources.landing import land_csv, land_json_array, land_json_lines
 from tillwork.sources.schemas import text_schema
-from tillwork.sources.tables import compact, read_table, write_table
+from tillwork.sources.tables import compact, create_layers, read_table, write_table
+from tillwork.sources.types import wider
 
 SCHEMA = text_schema(["id", "name"])
 
@@ -170,6 +171,50 @@ def test_types_are_inferred_once_and_misfits_rescued(spark, folder, layers):
         (1, 2.5, "a", None), (2, None, "7", '{"price":"free"}')]
 
 
+@pytest.mark.parametrize("a, b, both", [
+    ("int", "bigint", "bigint"), ("bigint", "decimal(10,2)", "decimal(22,2)"), ("int", "decimal(3,2)", "decimal(12,2)"),
+    ("decimal(5,4)", "decimal(8,1)", "decimal(11,4)"), ("decimal(38,0)", "decimal(5,4)", "double"), ("int", "double", "double"),
+    ("decimal(20,0)", "double", "double"), ("double", "string", "string"), ("boolean", "int", "string"),
+    ("date", "timestamp", "timestamp"), ("date", "int", "string"), ("float", "double", "double")])
+def test_the_wider_of_two_types(a, b, both):
+    a, b, both = (StructType.fromDDL(f"x {t}")["x"].dataType for t in (a, b, both))
+    assert wider(a, b) == wider(b, a) == both and wider(both, a) == wider(both, b) == both
+
+
+def test_types_widen_and_nothing_is_rescued(spark, folder, layers):
+    """Whole numbers, then large ones, then decimals, then text; files that fit stay as they are."""
+    feed = Landing(spark, folder, layers, "csv", {"inferSchema": "true"}, widen_types=True)
+    steps = [("1,7", "int"), ("2,3000000000", "bigint"), ("3,2.5", "double"), ("4,free", "string"), ("5,8", "string")]
+    values = [["7"], ["7", "3000000000"], ["7.0", "3.0E9", "2.5"], ["7.0", "3.0E9", "2.5", "free"], ["7.0", "3.0E9", "2.5", "free", "8"]]
+    for number, ((line, kind), expected) in enumerate(zip(steps, values)):
+        before = set(read_table(spark, feed.table).inputFiles()) if number else set()
+        feed.put(f"{number}.csv", f"id,price\n{line}\n")
+        feed.run()
+        table = read_table(spark, feed.table)
+        assert dict(table.dtypes)["price"] == kind
+        assert rows(table.orderBy("id").selectExpr("id", "string(price)", "_rescued_data")) == [
+            (i + 1, v, None) for i, v in enumerate(expected)]
+        kept = before <= set(table.inputFiles())
+        assert kept == (number not in (2, 3))  # a bigint is not read as a double, nor a number as text
+
+
+def test_a_new_catalog_knows_the_wider_types(spark, folder, layers):
+    feed = Landing(spark, folder, layers, "csv", {"inferSchema": "true"}, widen_types=True)
+    for number, value in enumerate(("7", "x")):
+        feed.put(f"{number}.csv", f"id,v\n{number},{value}\n")
+        feed.run()
+    create_layers(spark, folder, "wider_")
+    assert rows(read_table(spark, "wider_bronze.feed"), "id", "v") == [(0, "7"), (1, "x")]
+
+
+def test_a_table_that_lost_its_entry_is_found_by_the_next_write(spark, folder, layers):
+    table = layers("silver", "t")
+    write_table(spark.createDataFrame([(1, "a")], "k int, v string"), table, "merge", "k")
+    spark.sql(f"DROP TABLE {table}")
+    write_table(spark.createDataFrame([(2, "b")], "k int, v string"), table, "merge", "k")
+    assert rows(read_table(spark, table)) == [(1, "a"), (2, "b")]
+
+
 def test_keys_that_differ_in_case_are_rescued(spark, folder, layers):
     feed = Landing(spark, folder, layers, "json", schema=SCHEMA)
     feed.put("a.jsonl", '{"id": 1, "Name": "a"}\n{"id": 2, "name": "b", "NAME": "c"}\n')

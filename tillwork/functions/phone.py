@@ -4,25 +4,31 @@ The rules read a number the way a US caller writes it:
 
 * a leading ``00`` stands for ``+``; an extension (``x``, ``ext``, ``#``) is dropped;
 * without ``+``: 10 digits, or 11 starting with 1, or 7 (a local number);
-* with ``+1``: 10 or 7 digits after the country code;
-* with any other country code: 7 to 15 digits in all, the first one not 0.
+* with ``+``: the calling code is the longest prefix that ``calling_codes`` lists (no code is
+  the beginning of another one), and as many digits must follow as that country uses;
+* with a code that is not listed: 7 to 15 digits in all, the first one not 0.
 
-Anything else is null. No per-country length table is applied, and letters are not
-turned into digits, so foreign numbers of the wrong length for their country pass.
+Anything else is null. Letters are not turned into digits. The lengths are an array by code,
+so a number costs three look-ups however many countries there are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import cache
+
 from pyspark.sql import Column, functions as F
 
 from tillwork.functions._args import ColumnLike, as_column
+from tillwork.functions.calling_codes import CALLING_CODE_LENGTHS, length_masks
 
 # Country code of numbers without one, and the accepted forms once
 # everything but digits and a leading plus is gone.
 DEFAULT_COUNTRY_CODE = "1"
 LOCAL_FORM = r"^(\d{7}|\d{10})$"
 NATIONAL_FORM = r"^1\d{10}$"
-INTERNATIONAL_FORM = r"^\+(1(\d{7}|\d{10})|[2-9]\d{6,14})$"
+INTERNATIONAL_FORM = r"^\+[1-9]\d{5,18}$"
+UNLISTED_DIGITS = (7, 15)
 
 _EXTENSION = r"(?i)\s*(?:;?ext|x|#).*$"
 _NOT_LEADING_PLUS_OR_DIGIT = r"(?!^\+)\D"
@@ -33,13 +39,35 @@ def clean_phone(name: ColumnLike) -> Column:
     return F.regexp_replace(as_column(name), "[^0-9+]", "")
 
 
-def format_phone_e164(name: ColumnLike) -> Column:
+@cache
+def _masks(codes: tuple[tuple[str, str], ...]) -> str:
+    return f"array({', '.join(f'{m}L' for m in length_masks(dict(codes)))})"
+
+
+def is_possible_length(digits: Column, codes: Mapping[str, str] = CALLING_CODE_LENGTHS) -> Column:
+    """Whether as many digits follow the calling code as its country uses; ``digits`` starts with the code."""
+    masks, size = F.expr(_masks(tuple(codes.items()))), F.length(digits)
+    known = [(F.get(masks, F.substring(digits, 1, n).cast("int")), size - n) for n in (3, 2, 1)]
+    fits = F.lit(None).cast("boolean")
+    for mask, rest in reversed(known):
+        fits = F.when(mask > 0, F.expr("1L").bitwiseAND(_shifted(mask, rest)) == 1).otherwise(fits)
+    return F.coalesce(fits, size.between(*UNLISTED_DIGITS))
+
+
+def _shifted(mask: Column, by: Column) -> Column:
+    return F.call_function("shiftright", mask, by)
+
+
+def format_phone_e164(name: ColumnLike, codes: Mapping[str, str] = CALLING_CODE_LENGTHS) -> Column:
     """Phone number in E.164 form (``+12125550147``), or null if it cannot be one."""
     number = F.regexp_replace(F.trim(as_column(name)), "^00", "+")
     number = F.regexp_replace(number, _EXTENSION, "")
     packed = F.regexp_replace(number, _NOT_LEADING_PLUS_OR_DIGIT, "")
     return (
-        F.when(packed.rlike(INTERNATIONAL_FORM), packed)
+        F.when(
+            packed.startswith("+"),
+            F.when(packed.rlike(INTERNATIONAL_FORM) & is_possible_length(F.substring(packed, 2, 20), codes), packed),
+        )
         .when(packed.rlike(LOCAL_FORM), F.concat(F.lit("+" + DEFAULT_COUNTRY_CODE), packed))
         .when(packed.rlike(NATIONAL_FORM), F.concat(F.lit("+"), packed))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, IntegerType, StringType, StructField, StructType
 
 from tillwork import functions as fn
+from tillwork.functions.calling_codes import CALLING_CODE_LENGTHS
 from tillwork.operators import governance
 from tillwork.operators.diff import table_diff
 from tillwork.plans import clean, marts
@@ -150,6 +151,17 @@ def clean_phone(spark, sf_dir):
     )
 
 
+def phone_countries(spark, sf_dir):
+    """Numbers of every listed country and of an unlisted one, in all lengths, from customer ids."""
+    codes = ", ".join(f"'{c}'" for c in [*CALLING_CODE_LENGTHS, "999"])
+    number = (
+        f"concat(IF(c_custkey % 2 = 0, '+', '00'), element_at(array({codes}), CAST(c_custkey % {len(CALLING_CODE_LENGTHS) + 1}"
+        " AS INT) + 1), ' ', substring('2345678912345678', 1, CAST(c_custkey % 13 AS INT) + 3))"
+    )
+    rows = feeds.read_table(spark, sf_dir, "customer").select("c_custkey", F.expr(number).alias("phone"))
+    return rows.select("c_custkey", "phone", fn.format_phone_e164("phone").alias("cleaned_phone"))
+
+
 def clean_ids(spark, sf_dir):
     return feed(spark, sf_dir, "clicks").select(
         fn.upper_trim("event_id").alias("event_id"),
@@ -360,6 +372,20 @@ def ingest_reordered(spark, sf_dir):
     return read_table(spark, table).select(*FEED_SCHEMAS["customers"].names, RESCUED)
 
 
+def ingest_widened(spark, sf_dir):
+    """Three deliveries of one column: whole numbers, then amounts, then text; nothing is rescued."""
+    space = Workspace(spark, "widened")
+    landing, table = f"{space.root}/landing", space.name("bronze", "parts")
+    parts = feeds.read_table(spark, sf_dir, "part")
+    for number, value in enumerate(("p_size", "p_retailprice + 0.25", "p_brand")):
+        rows = parts.filter(F.col("p_partkey") % 3 == number).selectExpr("p_partkey", f"string({value}) AS value")
+        rows.write.mode("append").option("header", True).csv(landing)
+        ingest_raw_to_bronze(
+            spark, landing, table, f"{space.root}/checkpoint", "csv", {"inferSchema": "true"}, widen_types=True
+        )
+    return comparable(read_table(spark, table).select("p_partkey", "value", RESCUED))
+
+
 def ingest_odd_names(spark, sf_dir):
     """Files whose names look like patterns that match their neighbours."""
     space, source = Workspace(spark, "odd_names"), FEEDS["customers"]
@@ -611,6 +637,23 @@ def governed_table(spark, sf_dir):
     return comparable(read_table(spark, view))
 
 
+def governed_members(spark, sf_dir):
+    """Through a view that looks its reader up among the members of the groups."""
+    space = Workspace(spark, "members")
+    table, members, view = (space.name("gold", n) for n in ("dim_customers", "members", "customers_by_reader"))
+    customers = mart(spark, sf_dir, "dim_customers")
+    write_table(customers, table, "overwrite", "customer_id", check_unique=False)
+    # Every customer is a user; each region's customers are in that region's group.
+    users = customers.select(
+        F.col("customer_id").alias("user_name"),
+        F.concat(F.lower("region"), F.lit("_managers")).alias("group_name"),
+    )
+    own = [F.expr("current_user()").alias("user_name"), F.lit("apac_managers").alias("group_name")]
+    write_table(users.unionByName(spark.range(1).select(*own)), members, "append")
+    governance.create_policy_view(spark, view, table, members, ["email"])
+    return comparable(spark.table(view))
+
+
 def governed_sql(spark, sf_dir):
     governance.register_sql_functions(spark)
     groups = F.array(F.lit("apac_managers"))
@@ -688,6 +731,7 @@ QUERIES: dict[str, Query] = {
     "clean_text": clean_text,
     "clean_email_flag": clean_email_flag,
     "clean_phone": clean_phone,
+    "phone_countries": phone_countries,
     "clean_ids": clean_ids,
     "parse_dates": parse_dates,
     "cast_defaults": cast_defaults,
@@ -715,6 +759,7 @@ QUERIES: dict[str, Query] = {
     "rescued_documents": rescued_documents,
     "ingest_reordered": ingest_reordered,
     "ingest_odd_names": ingest_odd_names,
+    "ingest_widened": ingest_widened,
     "compact_then_ingest": compact_then_ingest,
     "append_after_ingest": append_after_ingest,
     "upsert": upsert,
@@ -734,6 +779,7 @@ QUERIES: dict[str, Query] = {
     "governed_dim_admin": governed_dim_admin,
     "governed_table": governed_table,
     "governed_sql": governed_sql,
+    "governed_members": governed_members,
     "alerts_after_restock": alerts_after_restock,
     "rerun_daily_sales": rerun_daily_sales,
     "corrected_sales": corrected_sales,

@@ -23,7 +23,8 @@ from pyspark.sql.types import AtomicType, StringType, StructField, StructType
 
 from tillwork.session import literal_path
 from tillwork.sources.schemas import ARRIVAL, FILE_TIME, RESCUED, SOURCE_FILE, text_schema
-from tillwork.sources.tables import write_table
+from tillwork.sources.tables import widen_columns, write_table
+from tillwork.sources.types import widened
 
 _CORRUPT = "_corrupt_record"
 _EXTRA = "_extra_value"
@@ -281,6 +282,7 @@ def ingest_raw_to_bronze(
     extra_read_options: dict[str, str] | None = None,
     schema: StructType | None = None,
     add_new_columns: bool = True,
+    widen_types: bool = False,
 ) -> None:
     """Append the files of ``source_path`` that are new since the last call.
 
@@ -290,7 +292,9 @@ def ingest_raw_to_bronze(
     true. A column with a type other than string is cast, and a value that does not fit
     goes to ``_rescued_data``. CSV columns go by the names in each file's header, in any
     order and case. With ``add_new_columns=False`` the columns stay fixed and unknown data
-    goes to ``_rescued_data``.
+    goes to ``_rescued_data``. With ``widen_types`` and inferred types, a column whose new
+    values need a wider type gets it, and its stored values with it; nothing is rescued for
+    its type.
     """
     if file_format not in ("csv", "json"):
         raise ValueError(f"file format {file_format!r} is not supported; use csv or json")
@@ -316,6 +320,11 @@ def ingest_raw_to_bronze(
             feed = _inferred(session, files, file_format, options if _flag(options, "inferSchema") else plain)
             if not _flag(options, "inferSchema"):
                 feed = StructType([StructField(f.name, StringType()) for f in feed])
+        elif widen_types and _flag(options, "inferSchema"):
+            feed = widened(feed, _inferred(session, files, file_format, options))
+            types = {f.name: f.dataType for f in feed if f.name in logged.names and f != logged[f.name]}
+            if types and session.catalog.tableExists(target_table):
+                widen_columns(session, target_table, types)
         rows, columns = read(session, files, options, feed.names, add_new_columns)
         if rows is None:
             return

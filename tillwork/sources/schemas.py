@@ -11,6 +11,8 @@ ARRIVAL = "ingesttime"
 SOURCE_FILE = "file_name"
 FILE_TIME = "file_time"  # when the file was last changed; ingest adds it
 ORDER = "_order"  # of a cleaned row among the versions of its key
+BUCKET, BATCH = "_bucket", "_batch"  # partition columns of every table
+PLACE = (BUCKET, BATCH)
 CLOCKS = ("_silver_processed_at", "_gold_updated_at")  # when a run wrote a row
 
 

@@ -29,7 +29,7 @@ from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from tillwork.operators.clustering import clustered
 from tillwork.operators.diff import CHANGE, table_diff
@@ -42,14 +42,13 @@ from tillwork.session import (
     subfolders,
     write_file,
 )
-from tillwork.sources.schemas import CLOCKS
+from tillwork.sources.schemas import BATCH, BUCKET, CLOCKS, PLACE
+from tillwork.sources.types import read_as
 
 # Layer names and write modes.
 LAYERS = ("bronze", "silver", "gold")
 WRITE_MODES = ("merge", "append", "overwrite")
 
-BUCKET, BATCH = "_bucket", "_batch"
-PLACE = (BUCKET, BATCH)
 NEW = "new"
 BUCKETS = 8  # of a keyed table, unless its first write says otherwise
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -72,13 +71,17 @@ def create_layers(spark: SparkSession, root: str, prefix: str = "") -> None:
         except AnalysisException:
             continue  # no table yet
         table = F.element_at(F.split("_metadata.file_path", "/"), -3).alias("table")
-        last = listed.groupBy(table).agg(F.max_by(F.struct("*"), "number").alias("layout"))
-        for row in last.collect():
-            name, layout = f"{prefix}{layer}.{row['table']}", row["layout"]
-            if not spark.catalog.tableExists(name):
-                schema = StructType.fromJson(json.loads(layout["table_schema"]))
-                _catalog_entry(spark, name, schema, layout["keys"], layout["buckets"])
-            _settle(spark, name)
+        for row in listed.select(table).distinct().collect():
+            _register(spark, f"{prefix}{layer}.{row['table']}")
+
+
+def _register(spark: SparkSession, name: str) -> None:
+    """Give the catalog a table that is known from its folder."""
+    if not spark.catalog.tableExists(name):
+        layout = _last_layout(spark, name)
+        schema = StructType.fromJson(json.loads(layout["table_schema"]))
+        _catalog_entry(spark, name, schema, layout["keys"], layout["buckets"])
+    _settle(spark, name)
 
 
 def table_folder(spark: SparkSession, name: str) -> str:
@@ -184,9 +187,13 @@ def _settle(spark: SparkSession, name: str) -> list[str]:
     return found
 
 
-def _last_schema(spark: SparkSession, name: str) -> StructType:
+def _last_layout(spark: SparkSession, name: str):
     listed = spark.read.schema(LAYOUT).json(literal_path(f"{table_folder(spark, name)}/layout"))
-    return StructType.fromJson(json.loads(listed.orderBy(F.desc("number")).first()["table_schema"]))
+    return listed.orderBy(F.desc("number")).first()
+
+
+def _last_schema(spark: SparkSession, name: str) -> StructType:
+    return StructType.fromJson(json.loads(_last_layout(spark, name)["table_schema"]))
 
 
 def _grow(spark: SparkSession, name: str, schema: StructType) -> None:
@@ -456,6 +463,8 @@ def write_table(
         raise ValueError(f"merging into {table_name} needs a merge_key")
     spark, options = df.sparkSession, dict(option_dict or {})
 
+    if not spark.catalog.tableExists(table_name) and "layout" in subfolders(spark, table_folder(spark, table_name)):
+        _register(spark, table_name)
     if not spark.catalog.tableExists(table_name):
         _create(df, table_name, keys, buckets, cluster_keys, options, check_unique, batch)
         return
@@ -499,6 +508,32 @@ def _changed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
 # Upkeep
 
 
+def widen_columns(spark: SparkSession, table_name: str, types: dict[str, DataType]) -> None:
+    """Give columns wider types.
+
+    Where Spark's reader can read the stored files in the new type, only the catalog changes.
+    Otherwise the rows are written anew once. While the catalog's entry is replaced the table
+    is missing for a moment. Jobs that follow the table must have read what was there before a
+    change that writes rows anew.
+    """
+    _settle(spark, table_name)
+    old = table_schema(spark, table_name)
+    new = StructType([StructField(f.name, types.get(f.name, f.dataType)) for f in old])
+    if new == old:
+        return
+    write = _Write(spark, table_name, None, None, {})
+    places = _known_places(spark, table_name)
+    anew = places and not all(read_as(f.dataType, new[f.name].dataType) for f in old if f.dataType != new[f.name].dataType)
+    if anew:
+        rows = _stored(spark, table_name)
+        write.rows(rows.withColumns({n: F.col(n).cast(t) for n, t in types.items() if n in old.names}), places)
+    _write_layout(spark, table_name, write.number, new, write.keys, write.buckets)
+    if anew:
+        move_folder(spark, write.aside, f"{write.folder}/{write.generation}")
+    spark.sql(f"DROP TABLE {table_name}")  # the files are the table's own and stay
+    _register(spark, table_name)
+
+
 def file_sizes(spark: SparkSession, name: str) -> DataFrame:
     """``(_bucket, _batch, file, bytes)`` of all files of a table."""
     return _stored(spark, name).select(

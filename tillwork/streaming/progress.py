@@ -10,7 +10,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tillwork.operators.dedup import latest_per_key
 from tillwork.operators.diff import CHANGE
 from tillwork.session import literal_path
-from tillwork.sources.tables import BATCH, NEW, table_folder, table_schema
+from tillwork.sources.schemas import BATCH
+from tillwork.sources.tables import NEW, table_folder, table_schema
 
 GENERATION = "_generation"  # orders the writes of a table
 
