@@ -91,6 +91,8 @@ def brute(rows, threshold=0.9):
                     links[a] += 1
                     links[b] += 1
                     group[top(a)] = top(b)
+            if b < a and rows[a][0] is not None and rows[a][0] == rows[b][0]:
+                group[top(a)] = top(b)
     least = {}
     for i, (v, _) in enumerate(rows):
         if v is not None:
@@ -114,6 +116,8 @@ def vectors():
         (300, None), (301, []), (302, [0.0] * 16), (303, [float("nan")] + [1.0] * 15), (304, [None] + [1.0] * 15),
         (305, [float("inf")] + [1.0] * 15), (306, rows[3][1]), (306, rows[3][1]), (None, rows[3][1]),
         (None, rng.normal(size=16).astype(np.float32).tolist()), (-5, rows[7][1]),
+        # Ids again, of other vectors: the least of two classes, and neither's least.
+        (0, rng.normal(size=16).astype(np.float32).tolist()), (0, rows[9][1]), (0, rows[9][1]), (-5, rows[11][1]), (306, rows[12][1]),
         (307, [1.0, 2.0]), (308, [2.0, 4.0]), (309, [-0.0, 1.0]), (310, [0.0, 3.0]),
     ]
     random.Random(1).shuffle(rows)
@@ -132,6 +136,12 @@ def test_embeddings_against_brute_force(spark, vectors, monkeypatch):
     assert sorted(map(tuple, got), key=repr) == sorted(brute(vectors), key=repr)
 
 
+def test_an_id_of_two_vectors_keeps_the_links_of_both(spark):
+    rows = [(5, [1.0, 0.0, 0.0]), (5, [0.0, 1.0, 0.0]), (6, [0.0, 1.0, 0.1]), (7, [1.0, 0.0, 0.1]), (8, [0.0, 0.0, 1.0])]
+    got = embeddings.near_duplicates(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got)) == sorted([(5, 1, 5, True), (5, 1, 5, True), (6, 1, 5, False), (7, 1, 5, False), (8, 0, 8, True)])
+
+
 def test_embeddings_of_few_rows(spark):
     assert embeddings.near_duplicates(frame(spark, [])).count() == 0
     odd = embeddings.near_duplicates(frame(spark, [(1, None), (2, [0.0])])).collect()

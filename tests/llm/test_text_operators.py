@@ -194,6 +194,13 @@ def test_one_document_of_each_group_stays(spark, docs):
     assert ids.count(None) == 2
 
 
+def test_clashing_columns_stay_as_they_are(spark):
+    rows = [(1, "a b c d e f g", 9, 8, "r", 7), (2, "a b c d e f g", 9, 8, "r", 7), (1, "x", 9, 8, "r", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_id int, __turn int, row string, turn int")
+    kept = jaccard.keep_one_of_each(spark, docs, "")
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == rows[:1]
+
+
 # Byte-level BPE
 
 

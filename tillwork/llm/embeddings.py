@@ -55,25 +55,38 @@ def normal_vectors(embeddings: DataFrame, column: str = "embedding") -> DataFram
 def distinct_vectors(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Classes ``(first, dims, v, n)`` and members ``(vec_id, first)``.
 
-    Equal vectors are found by a 128-bit hash, counted before the shuffle; the class's
-    number is its least vec_id (that of null ids comes from the hash, below all ids).
+    Equal vectors are found by a 128-bit hash, counted before the shuffle. The class's number
+    is its least vec_id, unless it has none or a class before it by hash has the same one; then
+    the number comes from the hash and lies below all ids.
     """
     key = F.md5(F.to_json(F.struct("v")))
     keyed = vectors.where("v is not null").withColumn("key", key)
+    counted = staged(keyed.groupBy("key").agg(F.min("vec_id").alias("least"), F.count("*").alias("n")), "vector-counts")
+    owner = counted.where("least is not null").groupBy(F.col("least").alias("id")).agg(F.min("key").alias("owner"))
     stand_in = -F.lit(1 << 62) - F.xxhash64("key").bitwiseAND(F.lit((1 << 60) - 1))
     classes = staged(
-        keyed.groupBy("key").agg(F.min("vec_id").alias("first"), F.count("*").alias("n"))
-        .withColumn("first", F.coalesce("first", stand_in)),
+        counted.join(owner, counted["least"] == owner["id"], "left").select(
+            "key", "least", "n", F.when(F.col("key") == F.col("owner"), F.col("least")).otherwise(stand_in).alias("first")
+        ),
         "vector-classes",
     )
     members = keyed.join(classes, "key").select("vec_id", "first")
-    own = keyed.withColumn("mine", F.coalesce("vec_id", stand_in))
-    chosen = own.join(classes, (own["key"] == classes["key"]) & (own["mine"] == classes["first"])).select(
+    chosen = keyed.join(classes, (keyed["key"] == classes["key"]) & keyed["vec_id"].eqNullSafe(classes["least"])).select(
         classes["first"], F.size("v").alias("dims"), "v", "n"
     ).dropDuplicates(["first"])
     return staged(chosen, "vectors"), members
 
 
+def same_id_edges(members: DataFrame) -> DataFrame:
+    """``(a, b)``: classes that hold a vec_id in common, a star around the least one of each id."""
+    shared = staged(
+        members.where("vec_id is not null").groupBy("vec_id").agg(F.min("first").alias("a"), F.max("first").alias("most"))
+        .where("a <> most"),
+        "shared-ids",
+    )
+    return members.join(shared, "vec_id").where("first <> a").select("a", F.col("first").alias("b")).distinct()
+
+
 def matrix(batch_column: pa.Array) -> np.ndarray:
     flat = batch_column.combine_chunks() if isinstance(batch_column, pa.ChunkedArray) else batch_column
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
@@ -225,11 +238,12 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
         part = block_links(classes, dims, principal_axes(classes, dims), threshold)
         found = part if found is None else found.unionAll(part)
     alone = F.lit(0).cast("long")
-    if found is None:
+    if found is None:  # there is no class
         return vectors.select("vec_id", alone.alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     found = staged(found, "vector-links")
     links = found.groupBy("first").agg(F.sum("links").alias("links"))
-    joined = components(found.where("first <> joined").select(F.col("first").alias("a"), F.col("joined").alias("b")), "vector-components")
+    edges = found.where("first <> joined").select(F.col("first").alias("a"), F.col("joined").alias("b"))
+    joined = components(edges.unionAll(same_id_edges(members)), "vector-components")
     least = joined.groupBy(F.col("node").alias("first")).agg(F.min("component").alias("component"))
     # The least real id of a component: stand-ins of classes without ids don't count.
     known = (

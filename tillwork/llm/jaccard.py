@@ -423,8 +423,11 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     found = staged(linked_components(docs.select("doc_id", "text")), "linked-documents")
     kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
     kept = staged(kept, "kept")
-    out = docs.join(kept.select(F.col("doc_id").alias("kept_id")), F.col("doc_id") == F.col("kept_id"), "left_semi")
+    # Rows travel as one struct, so no column of theirs meets one of ours.
+    rows = docs.select(F.struct(*[docs[n] for n in docs.columns]).alias("row"))
+    out = rows.join(kept.select(F.col("doc_id").alias("id")), F.col("row.doc_id") == F.col("id"), "left_semi")
     if not kept.where("rows > 1").isEmpty():
-        turn = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
-        out = out.select("*", F.row_number().over(turn).alias("__turn")).where("__turn = 1").drop("__turn")
+        turn = Window.partitionBy("row.doc_id").orderBy(F.col("row.text").asc_nulls_first())
+        out = out.select("row", F.row_number().over(turn).alias("turn")).where("turn = 1")
+    out = out.select("row.*")
     return out.unionByName(docs.where("doc_id is null"))
