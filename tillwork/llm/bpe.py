@@ -28,13 +28,45 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillwork.llm.common import smaller_batches, table
 
 LEAF_BYTES = 4
-CACHE_CHUNKS = 250_000
+# Entries of a generation of a worker's memories, see Memory.
+CACHE_CHUNKS = 500_000
 CACHE_PAIRS = 200_000
 CACHE_PARTS = 200_000
 PART_BYTES = 12
 CODES = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+class Memory:
+    """A bounded dictionary in two generations.
+
+    When the young one is full it becomes the old one, which is dropped; what is found in the
+    old one moves to the young one. So what is met often stays, and nothing is counted.
+    """
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
+
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
+
+LETTERS = "".join(chr(c) for c in range(65, 256) if chr(c).isalpha() and c not in (170, 181, 186))
+PLAIN = re.compile(f"([{LETTERS}]+)([.,]?)")
+
+
 class BytePairs:
     """Encoder and decoder for the ranks of one vocabulary."""
 
@@ -42,8 +74,11 @@ class BytePairs:
         self.ranks, self.leaf_bytes = ranks, leaf_bytes
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.stable: dict[tuple[bytes, bytes], bool] = {}
-        self.parts: dict[bytes, list[bytes]] = {}
+        # A space and letters are one match of most patterns, a comma or stop behind them
+        # another one; then they need no search.
+        plain = [[" " + letters, *sign] for letters in (LETTERS * 9, *LETTERS) for sign in ("", ",", ".")]
+        self.plain_match = all(self.pattern.findall("".join(x)) == x for x in plain)
+        self.stable, self.parts = Memory(CACHE_PAIRS), Memory(CACHE_PARTS)
 
     @classmethod
     def from_file(cls, path: str, pattern: str) -> BytePairs:
@@ -71,9 +106,8 @@ class BytePairs:
         pair = (left, right)
         known = self.stable.get(pair)
         if known is None:
-            if len(self.stable) >= CACHE_PAIRS:
-                self.stable.clear()
-            known = self.stable[pair] = self.merge(left + right) == [left, right]
+            known = self.merge(left + right) == [left, right]
+            self.stable.put(pair, known)
         return known
 
     def join(self, left: list[bytes], right: list[bytes]) -> list[bytes]:
@@ -97,9 +131,7 @@ class BytePairs:
         found = self.parts.get(data)
         if found is None:
             found = encode(data)
-            if len(self.parts) >= CACHE_PARTS:
-                self.parts.clear()
-            self.parts[data] = found
+            self.parts.put(data, found)
         return found
 
     def reduce(self, data: bytes) -> list[bytes]:
@@ -146,7 +178,7 @@ def chunks(text: str) -> list[str]:
 
 
 _loaded: dict[tuple[str, str], BytePairs] = {}
-_chunks: dict[str, tuple[int, str, bytes]] = {}
+_chunks = Memory(CACHE_CHUNKS)  # (number of ids, the ids in decimal, the bytes they decode to)
 
 
 def codec(path: str, pattern: str) -> BytePairs:
@@ -157,12 +189,29 @@ def codec(path: str, pattern: str) -> BytePairs:
     return _loaded[path, pattern]
 
 
-def code(text: str, pairs: BytePairs) -> tuple[int, str, bytes]:
+def code(matches: list[str], pairs: BytePairs) -> tuple[int, str, bytes]:
     """Number of ids, the ids in decimal, the bytes they decode to."""
-    ids = pairs.encode(text)
+    ids = [i for match in matches for i in pairs.encode_match(match.encode())]
     return len(ids), ",".join(map(str, ids)), pairs.decode(ids)
 
 
+def code_chunk(chunk: str, pairs: BytePairs) -> tuple[int, str, bytes]:
+    """The codes of a space and ``chunk``, from memory where it was met before."""
+    known = _chunks.get(chunk)
+    if known is None:
+        plain = PLAIN.fullmatch(chunk) if pairs.plain_match else None
+        if not plain:
+            known = code(pairs.pattern.findall(" " + chunk), pairs)
+        elif not plain[2]:
+            known = code([" " + chunk], pairs)
+        else:
+            word, sign = code_chunk(plain[1], pairs), code([plain[2]], pairs)
+            known = word[0] + sign[0], f"{word[1]},{sign[1]}", word[2] + sign[2]
+        if len(chunk) <= 200:
+            _chunks.put(chunk, known)
+    return known
+
+
 def digests(text: str, pairs: BytePairs) -> tuple[int, str, str]:
     """Tokens, digest of the decimal ids, digest of the bytes the ids decode to.
 
@@ -175,16 +224,10 @@ def digests(text: str, pairs: BytePairs) -> tuple[int, str, str]:
         rest = [c[1:] for c in rest]
     else:
         first, *rest = text.split(" ")
-    found = [code(first, pairs), *map(_chunks.get, rest)]
-    for i, known in enumerate(found):
-        if known is None:
-            chunk = rest[i - 1]
-            found[i] = code(" " + chunk, pairs)
-            if len(chunk) <= 200:
-                if len(_chunks) >= CACHE_CHUNKS:
-                    _chunks.clear()
-                _chunks[chunk] = found[i]
-    counts, ids, decoded = zip(*found)
+    found = list(map(_chunks.young.get, rest))
+    if None in found:
+        found = [code_chunk(c, pairs) if known is None else known for c, known in zip(rest, found)]
+    counts, ids, decoded = zip(code(pairs.pattern.findall(first), pairs), *found)
     ids_text = ",".join(filter(None, ids))
     return (
         sum(counts),
