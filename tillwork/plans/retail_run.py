@@ -21,7 +21,14 @@ from tillwork.plans import clean, marts
 from tillwork.plans.daily_view import maintain_daily_sales
 from tillwork.sources.ingest import ingest_raw_to_bronze
 from tillwork.sources.schemas import FEED_SCHEMAS, FEEDS, GOLD_TABLES, ORDER, SILVER_TABLES, Contract
-from tillwork.sources.tables import create_layers, read_table, write_table
+from tillwork.sources.tables import (
+    compact,
+    create_layers,
+    expire_versions,
+    generations,
+    read_table,
+    write_table,
+)
 from tillwork.streaming.alerts import stream_low_stock
 from tillwork.streaming.clicks import stream_clickstream
 from tillwork.streaming.progress import GENERATION, change_feed, current_rows, follow_table
@@ -160,6 +167,19 @@ class RetailRun:
             gold("fact_low_stock_alert"), self.checkpoint("fact_low_stock_alert"),
         )
 
+    def upkeep(self, most: int = 50, keep: int = 4) -> None:
+        """Compact the tables that more than ``most`` writes make up and drop what no table needs any more.
+
+        All followers of the run's tables must have read them, as they have at the end of a run.
+        """
+        for layer, contracts in (("bronze", {}), ("silver", SILVER_TABLES), ("gold", GOLD_TABLES)):
+            for table in self.spark.catalog.listTables(f"{self.prefix}{layer}"):
+                name = self.name(layer, table.name)
+                if len(generations(self.spark, name)) > most:
+                    contract = contracts.get(table.name)
+                    compact(self.spark, name, contract.cluster if contract else None)
+                    expire_versions(self.spark, name, keep)
+
     def run(self, run_id: str | None = None) -> None:
         """Bring everything up to date. Give a run that is retried the same ``run_id``."""
         create_layers(self.spark, self.root, self.prefix)
@@ -171,3 +191,4 @@ class RetailRun:
         together([partial(bring_in, feed) for feed in FEEDS])
         together([self.customers, partial(self.products, run_id or uuid.uuid4().hex), self.sales, self.clicks])
         together([self.daily_sales, self.low_stock])
+        self.upkeep()
