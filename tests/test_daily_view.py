@@ -110,5 +110,4 @@ def test_a_pass_that_dies_counts_every_change_once(shop, monkeypatch, dies_at):
     # The dimensions change again before the retry.
     shop.customers(C1="APAC", C2="APAC", C9="EMEA")
     shop.maintain()
-    shop.maintain()
     shop.check()

@@ -41,8 +41,13 @@ def lengths(text: str) -> set[int]:
 
 
 def length_masks(codes: Mapping[str, str]) -> list[int]:
-    """By calling code, from 0 to 999: bit n stands for n digits; 0 for a code without a rule."""
+    """By a number's first three digits, from 0 to 999: bit n stands for n digits with the code.
+
+    No code begins another one, so three digits settle the code; 0 stands for no rule.
+    """
     masks = [0] * 1000
     for code, text in codes.items():
-        masks[int(code)] = sum(1 << n for n in lengths(text))
+        span = 10 ** (3 - len(code))
+        first = int(code) * span
+        masks[first : first + span] = [sum(1 << n + len(code) for n in lengths(text))] * span
     return masks

@@ -4,12 +4,12 @@ The rules read a number the way a US caller writes it:
 
 * a leading ``00`` stands for ``+``; an extension (``x``, ``ext``, ``#``) is dropped;
 * without ``+``: 10 digits, or 11 starting with 1, or 7 (a local number);
-* with ``+``: the calling code is the longest prefix that ``calling_codes`` lists (no code is
-  the beginning of another one), and as many digits must follow as that country uses;
+* with ``+``: the first three digits settle the calling code, as no code of ``calling_codes``
+  is the beginning of another one, and as many digits must follow as that country uses;
 * with a code that is not listed: 7 to 15 digits in all, the first one not 0.
 
-Anything else is null. Letters are not turned into digits. The lengths are an array by code,
-so a number costs three look-ups however many countries there are.
+Anything else is null. Letters are not turned into digits. The lengths are an array by the first
+three digits, so a number costs one look-up however many countries there are.
 """
 
 from __future__ import annotations
@@ -46,16 +46,9 @@ def _masks(codes: tuple[tuple[str, str], ...]) -> str:
 
 def is_possible_length(digits: Column, codes: Mapping[str, str] = CALLING_CODE_LENGTHS) -> Column:
     """Whether as many digits follow the calling code as its country uses; ``digits`` starts with the code."""
-    masks, size = F.expr(_masks(tuple(codes.items()))), F.length(digits)
-    known = [(F.get(masks, F.substring(digits, 1, n).cast("int")), size - n) for n in (3, 2, 1)]
-    fits = F.lit(None).cast("boolean")
-    for mask, rest in reversed(known):
-        fits = F.when(mask > 0, F.expr("1L").bitwiseAND(_shifted(mask, rest)) == 1).otherwise(fits)
-    return F.coalesce(fits, size.between(*UNLISTED_DIGITS))
-
-
-def _shifted(mask: Column, by: Column) -> Column:
-    return F.call_function("shiftright", mask, by)
+    mask = F.get(F.expr(_masks(tuple(codes.items()))), F.substring(digits, 1, 3).try_cast("int"))
+    allowed = F.call_function("shiftright", mask, F.length(digits)).bitwiseAND(F.lit(1))
+    return F.when(mask > 0, allowed == 1).otherwise(F.length(digits).between(*UNLISTED_DIGITS))
 
 
 def format_phone_e164(name: ColumnLike, codes: Mapping[str, str] = CALLING_CODE_LENGTHS) -> Column:
