@@ -50,6 +50,7 @@ SIGNATURES_PER_TASK = 1_500_000
 SKETCH_BITS = 1024
 SHARE_ROWS = 500  # partners of a pivot that are compared in one place
 BLOCK = 2048  # sharing sets compared at once
+MAP_BITS = 1 << 24  # of the bitmap of documents whose texts are asked for: 4 MB as rows
 
 
 def bands(t: tuple[int, int], largest: int) -> list[int]:
@@ -123,16 +124,17 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def planes(values: np.ndarray) -> bytes:
-    """64-bit numbers byte plane by byte plane, so that equal high bytes compress."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """32-bit numbers byte plane by byte plane, so that the empty high bytes of small ones compress."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
 def from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def signed(docs: DataFrame, words: int, t: tuple[int, int], starts: list[int], tasks: int) -> DataFrame:
-    """``(task, sigs, sets)``: packed signatures and the set each belongs to, by hash range.
+    """``(task, sigs, sets, counts)``: packed signatures, the sets they belong to in the same
+    order, and how many are each set's, by hash range.
 
     A set that occurs again in the same task is signed once. Inside a task of the next step
     32 bits of a signature are kept; two that agree by chance only cost a comparison.
@@ -146,13 +148,17 @@ def signed(docs: DataFrame, words: int, t: tuple[int, int], starts: list[int], t
             task = ((sigs >> U64(32)) * U64(tasks)) >> U64(32)
             order = np.argsort(task, kind="stable")
             sigs, own, task = sigs[order].astype("<u4"), own[order], task[order]
-            cuts = np.flatnonzero(np.diff(task)) + 1
-            starts_, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(task)]))
+            runs = np.flatnonzero(np.concatenate(([True], (task[1:] != task[:-1]) | (own[1:] != own[:-1]))))
+            names, lengths = own[runs], np.diff(np.append(runs, len(own)))
+            starts_ = np.flatnonzero(np.concatenate(([True], task[1:] != task[:-1])))
+            ends = np.append(starts_[1:], len(task))
+            of = np.searchsorted(runs, np.append(starts_, len(task)))  # each task's runs
             yield pa.RecordBatch.from_arrays(
                 [pa.array(task[starts_].astype(np.int32)),
                  pa.array([sigs[a:b].tobytes() for a, b in zip(starts_, ends)], pa.binary()),
-                 pa.array([planes(own[a:b]) for a, b in zip(starts_, ends)], pa.binary())],
-                ["task", "sigs", "sets"],
+                 pa.array([names[a:b].tobytes() for a, b in zip(of, of[1:])], pa.binary()),
+                 pa.array([planes(lengths[a:b]) for a, b in zip(of, of[1:])], pa.binary())],
+                ["task", "sigs", "sets", "counts"],
             )
             held.clear()
             owners.clear()
@@ -174,7 +180,9 @@ def signed(docs: DataFrame, words: int, t: tuple[int, int], starts: list[int], t
         if held:
             yield from flush()
 
-    return docs.where("doc_id is not null").select("text").mapInArrow(sign, "task int, sigs binary, sets binary")
+    return docs.where("doc_id is not null").select("text").mapInArrow(
+        sign, "task int, sigs binary, sets binary, counts binary"
+    )
 
 
 def sharing(packed: DataFrame, tasks: int) -> DataFrame:
@@ -193,7 +201,7 @@ def sharing(packed: DataFrame, tasks: int) -> DataFrame:
                     sigs, owners = [], []
                 task = row[0]
                 sigs.append(np.frombuffer(row[1], "<u4"))
-                owners.append(from_planes(row[2]))
+                owners.append(np.repeat(np.frombuffer(row[2], U64), from_planes(row[3])))
         if sigs:
             yield from lists(np.concatenate(sigs), np.concatenate(owners))
 
@@ -248,24 +256,23 @@ def may_link(apart: np.ndarray, total: np.ndarray, t: tuple[int, int]) -> np.nda
     return apart * (t[0] + t[1]) <= total * (t[1] - t[0])
 
 
-def candidates(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``(name, text)`` of the sets ``wanted (doc_id, name)``."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in smaller_batches(batches, 256):
-            # Another row of a repeated doc_id has another set.
-            right = [
-                set_name(shingle_set(text, words)) == name
-                for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            ]
-            yield batch.filter(pa.array(right, pa.bool_()))
+def offered(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose doc_id is not ``wanted``; none that is wanted is lost.
 
-    found = docs.join(wanted, "doc_id").select("name", "text")
-    return staged(found.mapInArrow(check, "name long, text binary"), "candidates")
+    A bitmap of MAP_BITS bits, in at most MAP_BITS / 64 rows whatever the tables, goes to every
+    task, so few texts are shuffled for the join that follows.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
+    place, bit = F.shiftright(slot, 6).cast("int"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {MAP_BITS}) % 64 as int))")
+    bits = wanted.select(place.alias("place"), bit.alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits"))
+    return (
+        docs.select("doc_id", "text", place.alias("place")).join(F.broadcast(bits), "place")
+        .where(F.col("bits").bitwiseAND(bit) != 0).select("doc_id", "text")
+    )
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, t: tuple[int, int]) -> DataFrame:
-    """The linked ones of ``pairs (a, b)`` of set names; ``texts`` (name, text).
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, t: tuple[int, int]) -> DataFrame:
+    """The linked ones of ``pairs (a, b)`` of set names; ``classes`` (name, doc_id) of one document each.
 
     Texts go to the share of their pivot ``a``, where the pivot's set is held while its
     partners stream past; a pivot of many pairs has many shares.
@@ -275,7 +282,8 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, t: tuple[int, int])
     wanted = dealt.select(F.col("b").alias("name"), "a", "share", F.lit(1).alias("role")).unionAll(
         dealt.select(F.col("a").alias("name"), "a", "share", F.lit(0).alias("role")).distinct()
     )
-    rows = texts.select("name", "text").join(wanted, "name").select("a", "share", "role", "name", "text")
+    wanted = staged(wanted.join(classes.select("name", "doc_id"), "name"), "wanted")
+    rows = offered(docs, wanted).join(wanted, "doc_id").select("a", "share", "role", "name", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot, own = None, None
@@ -283,6 +291,8 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, t: tuple[int, int])
             out = []
             for a, share_, role, name, text in zip(*(c.to_pylist() for c in batch.columns)):
                 found = shingle_set(text, words)
+                if set_name(found) != name:  # another row of a repeated doc_id
+                    continue
                 if role == 0:
                     pivot, own = (a, share_), found
                     continue
@@ -383,18 +393,15 @@ def linked_components(docs: DataFrame, words: int = WORDS, t: tuple[int, int] =
     # Rows of one doc_id are one document: they tie their sets together.
     tied = keyed.groupBy("doc_id").agg(F.min("name").alias("a"), F.max("name").alias("z")).where("a <> z")
     tied = keyed.join(tied, "doc_id").select("a", F.col("name").alias("b")).where("a <> b")
-    # Lists that these pairs leave apart bring their other pairs. All texts needed are then
-    # known: a pair left out has both its sets in pairs of the same component.
+    # Lists that these pairs leave apart bring their other pairs.
     more = apart_pairs(lists, components(pairs, "close"), classes, t)
     pairs = staged(pairs.unionAll(more).distinct(), "all-pairs")
-    named = pairs.select(F.col("a").alias("name")).unionAll(pairs.select(F.col("b").alias("name"))).distinct()
-    texts = candidates(docs, classes.select("doc_id", "name").join(named, "name"), words)
-    links = staged(verified(pairs, texts, words, t).unionAll(tied), "links")
+    links = staged(verified(pairs, docs, classes, words, t).unionAll(tied), "links")
     place = components(links, "linked")
     # Pairs that passed for links but are none may have hidden pairs of their lists.
     hidden = staged(apart_pairs(lists, place, classes, t).join(pairs, ["a", "b"], "left_anti"), "hidden")
     if not hidden.isEmpty():
-        links = staged(links.unionAll(verified(hidden, texts, words, t)), "more-links")
+        links = staged(links.unionAll(verified(hidden, docs, classes, words, t)), "more-links")
         place = components(links, "linked-again")
     placed = staged(
         classes.join(place.withColumnRenamed("node", "name"), "name", "left")
