@@ -33,6 +33,7 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
 PER_LANGUAGE = 1500
+SAMPLE_PARTS = 4  # Spark limits a group before the shuffle up to 1,000 rows
 WINDOWS_PER_TEXT = 6
 EPOCHS = 6
 BATCH = 64
@@ -200,14 +201,16 @@ def gradients(p: dict, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network:
     """From text and non-null language of the rows whose crc32 fold is not HELD_OUT.
 
-    The sample's ids are at most ``per_language`` a language and are broadcast to the texts;
-    no text is shuffled.
+    The sample's ids are at most ``per_language`` a language, an equal number from each of
+    SAMPLE_PARTS parts by hash: so few that each task keeps only its first ones before the
+    shuffle. They are broadcast to the texts; no text is shuffled.
     """
     rows = docs.where(fold("doc_id", FOLDS) != HELD_OUT).where("lang is not null and text is not null")
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_PARTS)).alias("part")
+    by_hash = Window.partitionBy("lang", "part").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
-        rows.select("doc_id", "lang").withColumn("turn", F.row_number().over(by_hash))
-        .where(F.col("turn") <= per_language).select("doc_id", "lang").distinct()
+        rows.select("doc_id", "lang", part).withColumn("turn", F.row_number().over(by_hash))
+        .where(F.col("turn") <= max(1, per_language // SAMPLE_PARTS)).select("doc_id", "lang").distinct()
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
