@@ -345,6 +345,26 @@ def test_base_score_and_counts_against_brute_force(docs, empty):
     assert suffix_tree.score_documents(empty).count() == 0
 
 
+def test_unseen_tokens_share_one_mass(spark):
+    """A word's share of the tokens, and the spelling, each with its own weight and nothing more."""
+    training = [(i, "aa bb aa") for i in range(40) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(40, 400) if zlib.crc32(str(i).encode()) % 7 == 2]
+    new = ["", "aa", "ab", "c" * 5000, "aa aa"]
+    docs = table(spark, [*training, *zip(held, new)])
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.score_documents(docs).collect()}
+    tree = suffix_tree.grow_tree(suffix_tree.count_grams(table(spark, training).selectExpr("cast(text as binary) as text")))
+    share = {b"aa": 0.5, b"bb": 0.25, b"": 0.25}
+    for doc_id, text in zip(held, new):
+        spelled = tree.spelled([suffix_tree.normal(text.encode())])
+        parts = zip([*text.encode().split(), b""], spelled)
+        known = suffix_tree.WORD_SHARE
+        expected = sum(
+            math.log10(known * share[w] + (1 - known) * 10.0**s) if w in share else math.log10(1 - known) + s
+            for w, s in parts
+        )
+        assert math.isclose(got[doc_id], expected, rel_tol=1e-4)
+
+
 def test_tree_gives_probabilities_and_uses_the_longest_context():
     texts = [suffix_tree.normal(t) for t in (b"abra cadabra " * 40, b"abc " * 60, b"xyz " * 9)]
     codes = np.concatenate([suffix_tree.gram_codes(np.append(suffix_tree.stream([t])[0], 0)[:-1]) for t in texts])

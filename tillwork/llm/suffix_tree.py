@@ -8,9 +8,10 @@ of at least MIN_DIVERGENCE, and too much for chance at its count). Kept contexts
 suffixes. Distributions are smoothed by the suffix's distribution, the root's by one count for
 every byte, so every token has a probability: the product of its bytes'.
 
-A token's probability is WORD_SHARE times its share of the training tokens (add-one, as in the
-base score) plus the rest times what the tree gives its spelling. So frequent words keep their
-share, and rare and new ones are priced by how they are built.
+A token's probability is WORD_SHARE times its share of the training tokens plus the rest times
+what the tree gives its spelling. Shares add up to 1 and spellings to no more than 1, so it is a
+proper mixture: all new tokens together have the rest, dealt by the tree. Without training rows
+the tree stands alone.
 
 Counts of all grams of the training texts are summed over the cluster and grow with them; what
 reaches the driver are the contexts of MIN_SHARE, at most DEPTH / MIN_SHARE of them however
@@ -275,6 +276,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     common = tokens.where(F.col("c") >= max(1.0, COMMON_SHARE * n_all)).toArrow()
     values = dict(zip(common["token"].to_pylist(), map(float, common["c"].to_pylist())))
     size = n_all + distinct + 1
+    word_share = WORD_SHARE if n_all else 0.0
     shared = spark.sparkContext.broadcast((tree, values))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,7 +292,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             c = np.array([value.get(w, -1.0) for w in flat])
             n, common_ = len(words), c >= 0
             owner = np.repeat(np.arange(n), sizes)
-            mixed = np.log10(WORD_SHARE * (c + 1) / size + (1 - WORD_SHARE) * 10.0**spelled)
+            mixed = np.log10(np.where(common_, word_share * c / max(1, n_all) + (1 - word_share) * 10.0**spelled, 1.0))
             rare = np.flatnonzero(~common_)
             cuts = np.searchsorted(owner[rare], np.arange(n + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -317,7 +319,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
         F.sum((c > 0).cast("long")).alias("more_known"),
         F.sum(F.log10(c + 1)).alias("more_base"),
         F.sum(
-            F.log10(F.lit(WORD_SHARE / size) * (c + 1) + F.lit(1 - WORD_SHARE) * F.pow(F.lit(10.0), F.col("spelled")))
+            F.when(
+                c > 0,
+                F.log10(F.lit(word_share / max(1, n_all)) * c + F.lit(1 - word_share) * F.pow(F.lit(10.0), F.col("spelled"))),
+            ).otherwise(F.lit(math.log10(1 - word_share)) + F.col("spelled"))  # a long word's power may be 0
         ).alias("more_score"),
     )
     zero = F.lit(0.0)
