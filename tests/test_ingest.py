@@ -291,3 +291,20 @@ def test_stream_failure_is_not_swallowed(spark, folder, layers):
     feed.put("a.json", '[{"id": ')
     with pytest.raises(StreamingQueryException):
         feed.run()
+
+
+@pytest.mark.parametrize("file_format", ["csv", "json"])
+def test_a_large_batch_is_written_without_a_shuffle(spark, folder, layers, monkeypatch, file_format):
+    """The tasks that read a batch write it; a small one is shuffled to fewer files."""
+    feed = Landing(spark, folder, layers, file_format, schema=SCHEMA)
+    for at in range(4):
+        lines = [f'{i},"n {i}"' if file_format == "csv" else json.dumps({"id": str(i), "name": f"n {i}"}) for i in range(at * 50, at * 50 + 50)]
+        feed.put(f"{at}.{file_format}", "\n".join([*(["id,name"] if file_format == "csv" else []), *lines]) + "\n")
+    monkeypatch.setattr("tillwork.sources.ingest.SCAN_BYTES", 1, raising=False)
+    expected = sorted(((str(i), f"n {i}") for i in range(200)), key=repr)
+    assert feed.run("id", "name") == expected
+    assert len(read_table(spark, feed.table).inputFiles()) == 4
+    monkeypatch.undo()
+    feed.put(f"4.{file_format}", ("id,name\n" if file_format == "csv" else "") + ('x,y\n' if file_format == "csv" else '{"id": "x", "name": "y"}\n') * 2)
+    assert feed.run("id", "name") == [*expected, ("x", "y"), ("x", "y")]
+    assert len(read_table(spark, feed.table).inputFiles()) == 5

@@ -31,6 +31,8 @@ _EXTRA = "_extra_value"
 _LOG_SCHEMA = "version LONG, feed_schema STRING"
 _FILES = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 HEADER_OPTIONS = ("multiline", "encoding", "charset")  # with these a line of text is no record
+# From so many bytes of files for each core on, a batch goes to the table without a shuffle.
+SCAN_BYTES = 16 << 20
 # Options of the reader that are the file stream's own.
 STREAM_OPTIONS = ("maxfilespertrigger", "pathglobfilter", "recursivefilelookup")
 
@@ -310,9 +312,12 @@ def ingest_raw_to_bronze(
 
     def add(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        files = sorted(r["path"] for r in batch.collect() if nested or _depth(r["path"]) <= deepest)
+        found = [r for r in batch.collect() if nested or _depth(r["path"]) <= deepest]
+        files = sorted(r["path"] for r in found)
         if not files:
             return
+        # The scan's tasks then read, and write, enough each.
+        large = sum(r["length"] for r in found) >= SCAN_BYTES * session.sparkContext.defaultParallelism
         logged = log.last()
         feed = logged or schema
         if feed is None:
@@ -334,7 +339,7 @@ def ingest_raw_to_bronze(
         rows = _typed(rows, feed).select(
             *columns, RESCUED, F.current_timestamp().alias(ARRIVAL), SOURCE_FILE, FILE_TIME
         )
-        write_table(rows, target_table, "append", batch=f"{checkpoint_path}#{number}")
+        write_table(rows, target_table, "append", batch=f"{checkpoint_path}#{number}", rebalance=not large)
 
     query = (
         spark.readStream.format("binaryFile").schema(_FILES).options(**own)
@@ -342,7 +347,7 @@ def ingest_raw_to_bronze(
         # subfolders are left out above.
         .option("recursiveFileLookup", "true")
         .option("maxFileAge", "36500d")  # the default leaves out files a week older than the newest
-        .load(source_path).select("path")  # the content isn't read here
+        .load(source_path).select("path", "length")  # the content isn't read here
         .writeStream.foreachBatch(add)
         .option("checkpointLocation", f"{checkpoint_path}/write")
         .trigger(availableNow=True)

@@ -225,10 +225,14 @@ class _Write:
         """The bucket of a row: by the hash of its keys, a missing key value counts as one."""
         return F.pmod(F.hash(*self.keys), F.lit(self.buckets)) if self.keys else F.lit(0)
 
-    def rows(self, rows: DataFrame, places: Sequence[tuple[int, str]] = (), partitions: int | None = None) -> None:
+    def rows(
+        self, rows: DataFrame, places: Sequence[tuple[int, str]] = (), partitions: int | None = None, rebalance: bool = True
+    ) -> None:
         """Rows with their bucket and batch: NEW ones, and all that the partitions ``places`` have from now on."""
         if self.cluster_keys or partitions:
             laid = clustered(rows, self.cluster_keys or [], PLACE, partitions)
+        elif not rebalance and self.buckets == 1 and not places:
+            laid = rows
         else:
             laid = rows.hint("rebalance", *PLACE) if self.buckets > 1 or places else rows.hint("rebalance")
         laid.write.options(**self.options).partitionBy(*PLACE).parquet(f"{self.aside}/rows")
@@ -312,7 +316,9 @@ def _in_places(df: DataFrame, places: Sequence[tuple[int, str]]) -> DataFrame:
     return df.where(_place().isin([f"{bucket}/{batch}" for bucket, batch in places]))
 
 
-def _create(df: DataFrame, name: str, keys, buckets, cluster_keys, options, check: bool, batch: str | None) -> None:
+def _create(
+    df: DataFrame, name: str, keys, buckets, cluster_keys, options, check: bool, batch: str | None, rebalance: bool
+) -> None:
     spark = df.sparkSession
     with Stage(spark) as stage:
         if keys and check:
@@ -323,12 +329,14 @@ def _create(df: DataFrame, name: str, keys, buckets, cluster_keys, options, chec
         buckets = (buckets or BUCKETS) if keys else 1
         _write_layout(spark, name, 0, df.schema, keys, buckets)
         _catalog_entry(spark, name, df.schema, keys, buckets)
-        _add_rows(df, name, cluster_keys, options, batch)
+        _add_rows(df, name, cluster_keys, options, batch, rebalance)
 
 
-def _add_rows(df: DataFrame, name: str, cluster_keys, options: dict[str, str], batch: str | None) -> None:
+def _add_rows(
+    df: DataFrame, name: str, cluster_keys, options: dict[str, str], batch: str | None, rebalance: bool
+) -> None:
     write = _Write(df.sparkSession, name, batch, cluster_keys, options)
-    write.rows(write.new(df))
+    write.rows(write.new(df), rebalance=rebalance)
     write.publish(df.schema)
 
 
@@ -435,6 +443,7 @@ def write_table(
     replaced_keys: DataFrame | None = None,
     batch: str | None = None,
     buckets: int | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Write ``df`` to a catalog table, creating it when missing.
 
@@ -453,7 +462,9 @@ def write_table(
     ``option_dict`` goes to the parquet writer. Rows that are unique by construction, such as
     the result of a group by, need no ``check_unique``, which saves a shuffle of the keys. A
     write whose ``batch`` name the table knows is skipped. ``buckets`` counts when the table is
-    made: the unit that an upsert reads and writes, so give a large table hundreds.
+    made: the unit that an upsert reads and writes, so give a large table hundreds. Without
+    ``rebalance`` rows added to a table of one bucket are written by the tasks that bring them,
+    a file each, and not shuffled to files of a good size first.
     """
     mode = write_mode.lower()
     if mode not in WRITE_MODES:
@@ -466,7 +477,7 @@ def write_table(
     if not spark.catalog.tableExists(table_name) and "layout" in subfolders(spark, table_folder(spark, table_name)):
         _register(spark, table_name)
     if not spark.catalog.tableExists(table_name):
-        _create(df, table_name, keys, buckets, cluster_keys, options, check_unique, batch)
+        _create(df, table_name, keys, buckets, cluster_keys, options, check_unique, batch, rebalance)
         return
     _settle(spark, table_name)
     if batch and known_batch(spark, table_name, batch):
@@ -496,7 +507,8 @@ def write_table(
     else:
         with Stage(spark) as stage:
             rows = _to_table_types(df, schema)
-            _add_rows(stage.keep(rows, "append") if cluster_keys else rows, table_name, cluster_keys, options, batch)
+            rows = stage.keep(rows, "append") if cluster_keys else rows
+            _add_rows(rows, table_name, cluster_keys, options, batch, rebalance)
 
 
 def _changed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
