@@ -281,6 +281,21 @@ def test_compaction_leaves_large_files_alone(spark, layers):
     assert files_of(spark, table) == left
 
 
+def test_compaction_gives_no_task_more_rows_than_it_can_hold(spark, layers):
+    """Rows that all look alike pack to next to nothing; they are still cut, and not compacted again."""
+    table, text = layers("silver", "t"), "'x' || repeat('y', 200)"
+    for _ in range(3):
+        packed = spark.range(20_000).selectExpr("id % 100 k", f"{text} v", "array(id % 2) a")
+        write_table(packed, table, "append", option_dict={"maxRecordsPerFile": "5000"})
+    compact(spark, table, ["k"], target_bytes=1 << 20)
+    left = files_of(spark, table)
+    per_file = read_table(spark, table).groupBy("_metadata.file_path").agg(F.sum(F.octet_length("v")).alias("bytes"))
+    assert len(left) >= 4 and per_file.agg(F.max("bytes")).first()[0] < 1.5 * 3 * (1 << 20)
+    assert read_table(spark, table).count() == 60_000
+    compact(spark, table, ["k"], target_bytes=1 << 20)
+    assert files_of(spark, table) == left
+
+
 def test_several_cluster_keys_all_narrow_the_files(spark, folder):
     """Row-group ranges of the second key are narrower than under a plain sort of both."""
     df = spark.range(0, 40_000, 1, 4).selectExpr("lpad(string(hash(id) % 5000), 6, '0') a", "hash(id, 7) % 5000 b")

@@ -29,7 +29,16 @@ from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DataType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    VariantType,
+)
 
 from tillwork.operators.clustering import clustered
 from tillwork.operators.diff import CHANGE, table_diff
@@ -52,6 +61,7 @@ WRITE_MODES = ("merge", "append", "overwrite")
 NEW = "new"
 BUCKETS = 8  # of a keyed table, unless its first write says otherwise
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+UNPACKED = 3  # a file's rows take at most so many times its target size in a task that sorts them
 LAYOUT = "number LONG, keys ARRAY<STRING>, buckets INT, table_schema STRING"
 APPLIED = "tillwork.applied"  # table property: the last generation the catalog knows
 
@@ -553,6 +563,19 @@ def file_sizes(spark: SparkSession, name: str) -> DataFrame:
     ).distinct()
 
 
+def _unpacked_bytes(schema: StructType) -> Column:
+    """About the bytes of a row in memory: 8 for each column, and what its texts and nested values hold."""
+    size = F.lit(8 * len(schema))
+    for field in schema:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (ArrayType, MapType, StructType, VariantType)):
+            value = F.to_json(F.struct(value))
+        elif not isinstance(field.dataType, (StringType, BinaryType)):
+            continue
+        size = size + F.coalesce(F.octet_length(value), F.lit(0))
+    return size.cast("long")
+
+
 def compact(
     spark: SparkSession,
     table_name: str,
@@ -562,15 +585,26 @@ def compact(
 ) -> None:
     """Rewrite the partitions of small files, those of a bucket together, in files of ``target_bytes``.
 
-    A partition counts where its files have less than half that size on average and, with the
+    Rows that are packed tightly give smaller files: each is sorted by one task, so its rows
+    take at most UNPACKED times ``target_bytes`` in memory, and count as much. A partition counts where its files have less than half that size on average and, with the
     other such partitions of its bucket, there are at least two files to put together. Other
     files stay where they are. The write brings no rows, so jobs that follow the table read
     nothing again.
     """
     _settle(spark, table_name)
+    schema = table_schema(spark, table_name)
     per_place = file_sizes(spark, table_name).groupBy(*PLACE).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("files"))
-    small = per_place.where(F.col("bytes") / F.col("files") < target_bytes / 2)
-    buckets = small.groupBy(BUCKET).agg(
+    small = per_place.where(F.col("bytes") / F.col("files") < target_bytes / 2).collect()  # at most the table's partitions
+    if not small:
+        return
+    stored = _stored(spark, table_name)
+    unpacked = _in_places(stored, [(r[BUCKET], r[BATCH]) for r in small]).groupBy(*PLACE).agg(
+        F.sum(_unpacked_bytes(schema)).alias("unpacked")
+    )
+    sized = spark.createDataFrame(small).join(unpacked, [*PLACE], "left").withColumn(
+        "bytes", F.greatest("bytes", F.ceil(F.col("unpacked") / UNPACKED))
+    )
+    buckets = sized.where(F.col("bytes") / F.col("files") < target_bytes / 2).groupBy(BUCKET).agg(
         F.sum("bytes").alias("bytes"), F.sum("files").alias("files"), F.array_sort(F.collect_list(BATCH)).alias("batches")
     ).where("files > 1").collect()  # at most the table's partitions
     if not buckets:
@@ -580,8 +614,7 @@ def compact(
     for r in buckets:
         first = F.when(F.col(BUCKET) == r[BUCKET], F.lit(r["batches"][0])).otherwise(first)
     write = _Write(spark, table_name, None, cluster_keys, dict(option_dict or {}))
-    rows = _in_places(_stored(spark, table_name), places).withColumn(BATCH, first)
-    schema = table_schema(spark, table_name)
+    rows = _in_places(stored, places).withColumn(BATCH, first)
     files = sum(-(-r["bytes"] // target_bytes) for r in buckets)
     write.rows(rows, places, max(files, len(buckets)))
     write.publish(schema)
