@@ -201,6 +201,19 @@ def test_clashing_columns_stay_as_they_are(spark):
     assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == rows[:1]
 
 
+def test_of_a_repeated_document_one_row_stays(spark):
+    """Document 5 is empty in one row and a copy of 1 in the other; 7 is in a group by its second row only."""
+    rows = [(1, "a b c d e f g"), (5, ""), (5, "a b c d e f g"), (6, "p q r s t u v"), (7, "x"), (7, "p q r s t u v"), (9, "y")]
+    kept = jaccard.keep_one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, "a b c d e f g"), (5, ""), (6, "p q r s t u v"), (9, "y")]
+
+
+def test_few_rows_are_marked_beyond_those_asked_for(spark):
+    docs, ids = spark.range(5_000).selectExpr("id doc_id", "'t' text"), spark.range(0, 5_000, 50).selectExpr("id doc_id")
+    found = {r["doc_id"] for r in jaccard.marked(docs, ids).where("maybe").collect()}
+    assert jaccard.marked(docs, ids).count() == 5_000 and set(range(0, 5_000, 50)) <= found and len(found) < 110
+
+
 # Byte-level BPE
 
 

@@ -50,7 +50,7 @@ SIGNATURES_PER_TASK = 1_500_000
 SKETCH_BITS = 1024
 SHARE_ROWS = 500  # partners of a pivot that are compared in one place
 BLOCK = 2048  # sharing sets compared at once
-MAP_BITS = 1 << 24  # of the bitmap of documents whose texts are asked for: 4 MB as rows
+MAP_BITS = 1 << 24  # of a bitmap of documents, as of those whose texts are asked for: 4 MB as rows
 
 
 def bands(t: tuple[int, int], largest: int) -> list[int]:
@@ -256,19 +256,18 @@ def may_link(apart: np.ndarray, total: np.ndarray, t: tuple[int, int]) -> np.nda
     return apart * (t[0] + t[1]) <= total * (t[1] - t[0])
 
 
-def offered(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``docs`` without most rows whose doc_id is not ``wanted``; none that is wanted is lost.
+def marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` with a column ``maybe``: false for most doc_ids that are not among ``ids``, true for all that are.
 
     A bitmap of MAP_BITS bits, in at most MAP_BITS / 64 rows whatever the tables, goes to every
-    task, so few texts are shuffled for the join that follows.
+    task, so few texts are shuffled for an exact join that follows.
     """
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
     place, bit = F.shiftright(slot, 6).cast("int"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {MAP_BITS}) % 64 as int))")
-    bits = wanted.select(place.alias("place"), bit.alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits"))
-    return (
-        docs.select("doc_id", "text", place.alias("place")).join(F.broadcast(bits), "place")
-        .where(F.col("bits").bitwiseAND(bit) != 0).select("doc_id", "text")
-    )
+    bits = ids.select(place.alias("place"), bit.alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits"))
+    found = docs.withColumn("place", place).join(F.broadcast(bits), "place", "left")
+    maybe = F.coalesce(F.col("bits").bitwiseAND(bit) != 0, F.lit(False))
+    return found.withColumn("maybe", maybe).drop("place", "bits")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, t: tuple[int, int]) -> DataFrame:
@@ -283,7 +282,8 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
         dealt.select(F.col("a").alias("name"), "a", "share", F.lit(0).alias("role")).distinct()
     )
     wanted = staged(wanted.join(classes.select("name", "doc_id"), "name"), "wanted")
-    rows = offered(docs, wanted).join(wanted, "doc_id").select("a", "share", "role", "name", "text")
+    offered = marked(docs.select("doc_id", "text"), wanted).where("maybe")
+    rows = offered.join(wanted, "doc_id").select("a", "share", "role", "name", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot, own = None, None
@@ -428,13 +428,20 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     kept doc_id the first by text stays.
     """
     found = staged(linked_components(docs.select("doc_id", "text")), "linked-documents")
-    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    kept = staged(kept, "kept")
+    ids = found.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("doc_id") == F.col("component_id")).alias("kept")
+    )
+    # Rows of other ids stay as they are, where they are.
+    odd = staged(ids.where("kept = 0 or rows > 1").select("doc_id", "kept"), "odd")
     # Rows travel as one struct, so no column of theirs meets one of ours.
-    rows = docs.select(F.struct(*[docs[n] for n in docs.columns]).alias("row"))
-    out = rows.join(kept.select(F.col("doc_id").alias("id")), F.col("row.doc_id") == F.col("id"), "left_semi")
-    if not kept.where("rows > 1").isEmpty():
-        turn = Window.partitionBy("row.doc_id").orderBy(F.col("row.text").asc_nulls_first())
-        out = out.select("row", F.row_number().over(turn).alias("turn")).where("turn = 1")
-    out = out.select("row.*")
+    rows = docs.where("doc_id is not null").select(
+        F.struct(*[docs[n] for n in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id")
+    )
+    rows = marked(rows, odd)
+    turn = Window.partitionBy("doc_id").orderBy(F.col("row.text").asc_nulls_first())
+    asked = (
+        rows.where("maybe").join(odd, "doc_id", "left").where("kept is null or kept > 0")
+        .withColumn("turn", F.row_number().over(turn)).where("turn = 1")
+    )
+    out = rows.where("not maybe").select("row").unionAll(asked.select("row")).select("row.*")
     return out.unionByName(docs.where("doc_id is null"))
