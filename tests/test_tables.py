@@ -162,6 +162,44 @@ def test_one_corrected_row_rewrites_one_bucket(spark, layers):
     assert read_table(spark, table).count() == 40_000
 
 
+def test_whole_rows_stay_where_they_are_in_large_keyed_writes(spark, layers, monkeypatch):
+    """Kept rows are written by the tasks that read them, and states agree with those of a dict."""
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 0)
+    monkeypatch.setattr(tables, "PASS_CHUNKS", 2)  # several passes
+    plans, keep = [], tables._Write.keep
+    monkeypatch.setattr(tables._Write, "keep", lambda write, laid: (plans.append(plan_of(laid)), keep(write, laid)))
+    table, schema = layers("silver", "t"), "k string, at int, v string"
+    expected: dict = {}
+
+    def offer(numbers, at, mode, **options):
+        given = [(None if i == 50 else str(i), at + i % 3, f"{mode} {at}") for i in numbers]
+        write_table(frame(spark, *given, schema=schema).repartition(3), table, mode, "k", check_unique=False, **options)
+        return {k: (at, v) for k, at, v in given}
+
+    expected |= offer(range(0, 2000), 5, "append", buckets=2)
+    expected |= offer(range(1500, 2500), 1, "merge")
+    newer = offer(range(0, 2600, 7), 4, "append", newer_by="at")
+    expected |= {k: row for k, row in newer.items() if k not in expected or row[0] > expected[k][0]}
+    assert any(newer[k] != expected[k] for k in newer)  # some stayed
+    expected = {**offer(range(0, 3000, 5), 9, "append"), **expected}
+    gone = frame(spark, *[(str(i),) for i in range(100, 400)], (None,), schema="k string")
+    merged = offer(range(300, 500), 20, "merge", replaced_keys=gone.unionAll(gone))
+    expected = {k: row for k, row in expected.items() if k is not None and not 100 <= int(k) < 400} | merged
+    state = {r["k"]: (r["at"], r["v"]) for r in read_table(spark, table).collect()}
+    assert state == expected and read_table(spark, table).count() == len(expected)
+    expected = offer(range(0, 1000, 2), 30, "overwrite")
+    assert {r["k"]: (r["at"], r["v"]) for r in read_table(spark, table).collect()} == expected
+    assert len(plans) > 8
+    assert not [p for p in plans if "Exchange" in p.replace("BroadcastExchange", "")]
+
+
+def test_digests_tell_missing_values_apart(spark, layers):
+    table, schema = layers("gold", "t"), "k string, a string, b string"
+    write_table(frame(spark, ("1", None, "x"), ("2", "y", None), schema=schema), table, "overwrite", "k")
+    write_table(frame(spark, ("1", "x", None), ("2", "y", None), schema=schema), table, "overwrite", "k")
+    assert rows(read_table(spark, table)) == [("1", "x", None), ("2", "y", None)]
+
+
 def test_upserts_read_the_buckets_of_their_keys(spark, layers):
     table = layers("silver", "t")
     write_table(spark.range(400).selectExpr("string(id) k", "id v"), table, "merge", "k", buckets=40)
